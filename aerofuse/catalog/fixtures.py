@@ -1,7 +1,7 @@
 """Air-quality shaped views over the driver's tables.
 
-One text serves Spark and DuckDB. ``{events}`` and the like stand for base tables: Spark reads the
-Parquet file in place, DuckDB the view of that name. A view may use the views before it.
+One text serves Spark and DuckDB. ``{events}`` and the like stand for base tables: Spark binds a
+DataFrame to them, DuckDB has views of those names. A view may use the views before it.
 """
 
 from __future__ import annotations
@@ -10,7 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerofuse.session import prepare
 
-BASE_TABLES = ("supplier", "events", "lineitem", "orders")
+# Declared, so that no job is run to infer them.
+BASE_TABLES = {
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 
 VIEWS = {
     "stations": """
@@ -54,10 +65,20 @@ VIEWS = {
                CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(value / 1e2 + (event_id % 13) / 1e1, 4) END AS aod,
                CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(270 + event_id % 41 AS DOUBLE) END AS temperature,
                CASE WHEN event_id % 9 < 5 THEN NULL ELSE CAST((event_id * 31) % 101 AS DOUBLE) END AS humidity,
-               CASE WHEN event_id % 6 = 1 THEN NULL ELSE ((event_id * 7) % 120) / 1e1 END AS wind_speed,
+               CASE WHEN event_id % 6 = 1 OR station_id LIKE '%3' THEN NULL ELSE ((event_id * 7) % 120) / 1e1 END AS wind_speed,
                CASE WHEN event_id % 4 = 3 THEN NULL ELSE CAST(100 + (event_id * 13) % 2900 AS DOUBLE) END
                    AS boundary_layer_height
         FROM obs_long""",
+    # Wide station rows, some without the coarse reading.
+    "station_rows": """
+        SELECT event_id, station_id, time, lat, lon, pm25,
+               CASE WHEN event_id % 3 = 0 THEN NULL ELSE round(pm25 * 14 / 1e1, 4) END AS pm10
+        FROM obs""",
+    # Long measurements a little off in place and time, so that only some meet a station row.
+    "measured": """
+        SELECT event_id, station_id, lat + (day(time) % 5) * 3 / 1e2 AS lat, lon,
+               time + (hour(time) % 7) * INTERVAL '12' MINUTE AS time, parameter, value + 1 AS value
+        FROM obs_long WHERE parameter IN ('pm25', 'pm10')""",
     # Observed against predicted values.
     "scored": """
         SELECT event_id, station_id, time, value AS y,
@@ -70,9 +91,13 @@ def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view, or a base table, as a DataFrame."""
     prepare(spark)
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    tables = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in BASE_TABLES}
-    return spark.sql(with_views(f"SELECT * FROM {name}", (name,), tables))
+        return _base(spark, sf_dir, name)
+    text = with_views(f"SELECT * FROM {name}", (name,), {t: f"{{{t}}}" for t in BASE_TABLES})
+    return spark.sql(text, **{t: _base(spark, sf_dir, t) for t in BASE_TABLES if f"{{{t}}}" in text})
+
+
+def _base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(BASE_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _needed(names: tuple[str, ...]) -> list[str]:
@@ -87,4 +112,4 @@ def with_views(sql: str, names: tuple[str, ...], tables: dict[str, str] | None =
     """``sql`` preceded by the views it needs as common table expressions."""
     tables = tables or {t: t for t in BASE_TABLES}
     clauses = [f"{name} AS ({VIEWS[name].format(**tables)})" for name in _needed(names)]
-    return f"WITH {', '.join(clauses)}\n{sql}"
+    return f"WITH {', '.join(clauses)}\n{sql}" if clauses else sql

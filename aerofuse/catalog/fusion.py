@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from aerofuse.catalog.binding import Part, rounded
 from aerofuse.operators.asof import asof_join
-from aerofuse.operators.spatial import nearest_within
+from aerofuse.operators.reshape import merge_pm10
+from aerofuse.operators.spatial import coverage_gaps, grid_skeleton, nearest_within, place_of, regrid_mean
+from aerofuse.operators.update import match_update as update_near
 from aerofuse.params import FusionParams
 from aerofuse.plans import fusion
+from aerofuse.plans.preprocess import load_measured
 
 part = Part()
 WIDE = FusionParams(aerosol_radius_km=50.0, weather_radius_km=50.0)
@@ -38,11 +41,11 @@ def _nearest_sql(left: str, right: str, radius: float, name: str) -> str:
 
 
 def _fuse_sql(left: str, grid: str, values: tuple[str, ...], order: tuple[str, ...], hours: int, name: str,
-              sites: str | None = None) -> str:
+              sites: str | None = None, radius: float = 50.0) -> str:
     """Nearest cell, then nearest time in that cell, by ranking all pairs."""
     picked = ", ".join(values)
     ranked = ", ".join(f"g.{c}" for c in order)
-    return f"""{_nearest_sql(sites or left, grid, 50.0, name + '_site')},
+    return f"""{_nearest_sql(sites or left, grid, radius, name + '_site')},
     {name}_best AS (
         SELECT event_id, {picked} FROM (
             SELECT o.event_id, {', '.join(f'g.{v}' for v in values)},
@@ -123,4 +126,117 @@ def fuse_all(obs, aerosol, weather):
     return rounded(fusion.fuse(obs, aerosol, weather, WIDE, aerosol_order=AEROSOL_ORDER, weather_order=WEATHER_ORDER))
 
 
+UPDATE_SQL = """
+    , {name}_hit AS (
+        SELECT m.event_id AS m_id, m.pm10_id, m.pm25 AS m25, m.pm10 AS m10, t.event_id,
+               row_number() OVER (PARTITION BY m.event_id, m.pm10_id ORDER BY t.time, t.event_id) AS rn
+        FROM {observed} m JOIN {targets} t ON abs(epoch_us(m.time) - epoch_us(t.time)) < 3600000000
+            AND abs(m.lat - t.lat) < 0.1 AND abs(m.lon - t.lon) < 0.1),
+    {name}_new AS (
+        SELECT event_id, arg_max(m25, (m_id, coalesce(pm10_id, -1))) AS m25,
+               arg_max(m10, (m_id, coalesce(pm10_id, -1))) FILTER (WHERE m10 IS NOT NULL) AS m10
+        FROM {name}_hit WHERE rn = 1 GROUP BY event_id)"""
+WIDE_MEASURED_SQL = """
+    , wide AS (
+        SELECT a.event_id, b.event_id AS pm10_id, a.time, a.lat, a.lon, a.value AS pm25, b.value AS pm10
+        FROM measured a LEFT JOIN (SELECT * FROM measured WHERE parameter = 'pm10') b
+            ON a.time = b.time AND a.lat = b.lat AND a.lon = b.lon
+        WHERE a.parameter = 'pm25')"""
+
+
+@part.query("station_rows", "measured", sql=f"""{WIDE_MEASURED_SQL}
+    {UPDATE_SQL.format(name='u', observed='wide', targets='station_rows')}
+    SELECT t.event_id, t.station_id, t.time, t.lat, t.lon,
+           CASE WHEN n.event_id IS NULL THEN t.pm25 ELSE n.m25 END AS pm25, coalesce(n.m10, t.pm10) AS pm10
+    FROM station_rows t LEFT JOIN u_new n ON t.event_id = n.event_id""")
+def match_update(station_rows, measured):
+    wide = merge_pm10(measured, key="event_id")
+    return update_near(
+        station_rows, wide, target_key="event_id", observation_order=("event_id", "pm10_event_id")
+    )
+
+
+@part.query("station_rows", "measured", "aerosol", "weather", sql=f"""{WIDE_MEASURED_SQL},
+    {_fuse_sql('station_rows', 'aerosol', fusion.AEROSOL_VALUES, AEROSOL_ORDER, 6, 'with_aerosol')},
+    {_fuse_sql('with_aerosol', 'weather', fusion.WEATHER_VALUES, WEATHER_ORDER, 12, 'fused', radius=150.0)}
+    {UPDATE_SQL.format(name='u', observed='wide', targets='fused')}
+    SELECT t.event_id, t.station_id, t.time, t.lat, t.lon,
+           CASE WHEN n.event_id IS NULL THEN t.pm25 ELSE n.m25 END AS pm25, coalesce(n.m10, t.pm10) AS pm10,
+           round(aod, 6) AS aod, round(cloud_fraction, 6) AS cloud_fraction, temperature, humidity, wind_speed,
+           boundary_layer_height, CAST(dayofyear(t.time) AS INTEGER) AS day_of_year
+    FROM fused t LEFT JOIN u_new n ON t.event_id = n.event_id""")
+def real_load(station_rows, measured, aerosol, weather):
+    return rounded(
+        load_measured(
+            measured, station_rows, aerosol, weather, row_key="event_id", measurement_key="event_id",
+            aerosol_order=AEROSOL_ORDER, weather_order=WEATHER_ORDER,
+        )
+    )
+
+
+@part.query("obs_long", sql="""
+    SELECT a.event_id, a.station_id, a.time, a.value AS pm25, b.value AS pm10
+    FROM obs_long a LEFT JOIN (SELECT * FROM obs_long WHERE parameter = 'pm10') b
+        ON a.time = b.time AND a.lat = b.lat AND a.lon = b.lon
+    WHERE a.parameter = 'pm25'""")
+def pm_left_merge(obs_long):
+    return merge_pm10(obs_long).select("event_id", "station_id", "time", "pm25", "pm10")
+
+
+@part.query("obs_long", sql="""
+    SELECT a.event_id, a.station_id, a.time, a.value AS pm25, b.value AS pm10
+    FROM obs_long a LEFT JOIN (SELECT * FROM obs_long WHERE parameter = 'pm10') b ON a.time = b.time
+    WHERE a.parameter = 'pm25'""")
+def pm_time_merge(obs_long):
+    return merge_pm10(obs_long, on=("time",)).select("event_id", "station_id", "time", "pm25", "pm10")
+
+
+def _daily_grid(aerosol):
+    """Daily skeleton over the period of the data, and the days and cells that are observed."""
+    observed = aerosol.select("lat", "lon", F.date_trunc("day", "time").cast("timestamp_ntz").alias("time"))
+    start, end = observed.agg(F.min("time"), F.max("time")).first()
+    skeleton = grid_skeleton(
+        aerosol.sparkSession, start=start, end=end, lat_min=8.0, lat_max=35.0, lon_min=68.0, lon_max=97.0, step=1.0,
+        digits=1,
+    )
+    return skeleton, observed
+
+
+SKELETON_SQL = """
+    , days AS (SELECT min(date_trunc('day', time)) AS first_day, max(date_trunc('day', time)) AS last_day FROM aerosol),
+    skeleton AS (
+        SELECT CAST(first_day + d * INTERVAL '1' DAY AS TIMESTAMP) AS time, CAST(y AS DOUBLE) AS lat, CAST(x AS DOUBLE) AS lon
+        FROM days, range(8, 36) la(y), range(68, 98) lo(x), range(0, 1000) t(d)
+        WHERE first_day + d * INTERVAL '1' DAY <= last_day)"""
+
+
+@part.query("aerosol", name="grid_skeleton", sql=f"{SKELETON_SQL} SELECT time, lat, lon FROM skeleton")
+def daily_skeleton(aerosol):
+    return _daily_grid(aerosol)[0]
+
+
+@part.query("aerosol", name="coverage_gaps", sql=f"""{SKELETON_SQL}
+    SELECT s.time, s.lat, s.lon FROM skeleton s WHERE NOT EXISTS (
+        SELECT 1 FROM aerosol a WHERE CAST(date_trunc('day', a.time) AS TIMESTAMP) = s.time
+            AND a.lat = s.lat AND a.lon = s.lon)""")
+def days_without_data(aerosol):
+    return coverage_gaps(*_daily_grid(aerosol))
+
+
+@part.query("obs_long", "stations", sql="""
+    SELECT o.event_id, o.station_id, coalesce(s.lat, 20.0) AS lat, coalesce(s.lon, 75.0) AS lon
+    FROM obs_long o LEFT JOIN (SELECT * FROM stations WHERE station_key % 3 <> 0) s ON o.station_id = s.station_id""")
+def lookup_default(obs_long, stations):
+    known = stations.where("station_key % 3 <> 0")
+    return place_of(obs_long.select("event_id", "station_id"), known, "station_id", 20.0, 75.0)
+
+
+@part.query("obs", sql="""
+    SELECT round(round(lat - 8) + 8, 1) AS lat, round(round(lon - 68) + 68, 1) AS lon, time,
+           round(avg(pm25), 6) AS pm25, count(*) AS n
+    FROM obs GROUP BY 1, 2, 3""", name="regrid_mean")
+def coarse_means(obs):
+    return rounded(regrid_mean(obs, ["pm25"], lat_origin=8.0, lon_origin=68.0, step=1.0, digits=1))
+
+
 QUERIES, ORACLES = part.queries, part.oracles

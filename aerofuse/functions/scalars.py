@@ -44,7 +44,7 @@ def parse_number(text: Column) -> Column:
 
 def parse_time(text: Column) -> Column:
     """ISO timestamp, with a trailing ``Z`` or an offset, as zone-less UTC; NULL if unreadable."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    return text.try_cast("timestamp_ltz").cast("timestamp_ntz")
 
 
 def station_key(city: Column, name: Column, identifier: Column) -> Column:

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -159,16 +158,13 @@ def at_or_before(columns: Sequence[Column], cut: Sequence[float]) -> Column:
     return condition
 
 
-def split_at_fraction(df: DataFrame, order: Sequence[Column], fraction: float, rows: int | None = None,
-                      ) -> Column:
-    """Condition that holds for exactly the first ``ceil(rows * fraction)`` rows of an order."""
-    named = [f"_k{i}" for i in range(len(order))]
-    keys = df.select(*(c.alias(n) for c, n in zip(order, named, strict=True)))
-    total = keys.count() if rows is None else rows
-    wanted = ceil(total * fraction)
-    if wanted == 0:
+def first_rows(df: DataFrame, order: Sequence[Column], rows: int) -> Column:
+    """Condition that holds for exactly the first ``rows`` rows of an order that identifies rows."""
+    if rows == 0:
         return F.lit(False)
-    return at_or_before(order, cut_at_rank(keys, named, wanted - 1))
+    names = [f"_k{i}" for i in range(len(order))]
+    keys = df.select(*(c.alias(n) for c, n in zip(order, names, strict=True)))
+    return at_or_before(order, cut_at_rank(keys, names, rows - 1))
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS) -> dict[str, float | None]:

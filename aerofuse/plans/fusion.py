@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from aerofuse.operators.asof import asof_join
 from aerofuse.operators.spatial import PLACE, nearest_within
 from aerofuse.params import FusionParams
-from aerofuse.session import broadcast_if_small, materialize
+from aerofuse.session import broadcast_if_small, materialize_counted
 from aerofuse.sources.readers import between_dates, only_stations
 from aerofuse.sources.rules import ValidationError
 
@@ -38,10 +38,8 @@ def attach_grid(
     those would be dear to derive. The site-to-cell map holds one row per distinct coordinate; it
     is written once because the observations, the grid and the size check all read it.
     """
-    cells = materialize(
-        nearest_within(observations if sites is None else sites, grid, radius_km, prefix="_cell_"), "sites"
-    )
-    n_cells = cells.count()
+    nearest = nearest_within(observations if sites is None else sites, grid, radius_km, prefix="_cell_")
+    cells, n_cells = materialize_counted(nearest, "sites")
     key = ["_cell_lat", "_cell_lon"]
     located = observations.join(broadcast_if_small(cells, n_cells), list(PLACE))
     # Only the cells that some site uses take part in the shuffles that follow.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Row ceiling under which a frame whose size has been counted may be broadcast.
@@ -50,6 +50,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``materialize``, with the number of rows observed while they were written."""
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return written, seen.get["rows"]
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only when the counted size permits it; else leave the choice to AQE."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
@@ -69,6 +76,7 @@ def local_session(cores: int = 8, memory: str = "16g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
