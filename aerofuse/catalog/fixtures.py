@@ -87,13 +87,15 @@ VIEWS = {
 }
 
 
-def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view, or a base table, as a DataFrame."""
+def spark_view(spark: SparkSession, sf_dir: str, name: str, **replaced: DataFrame) -> DataFrame:
+    """A view, or a base table, as a DataFrame; ``replaced`` gives other frames for base tables."""
     prepare(spark)
     if name not in VIEWS:
         return _base(spark, sf_dir, name)
     text = with_views(f"SELECT * FROM {name}", (name,), {t: f"{{{t}}}" for t in BASE_TABLES})
-    return spark.sql(text, **{t: _base(spark, sf_dir, t) for t in BASE_TABLES if f"{{{t}}}" in text})
+    return spark.sql(text, **{
+        t: replaced[t] if t in replaced else _base(spark, sf_dir, t) for t in BASE_TABLES if f"{{{t}}}" in text
+    })
 
 
 def _base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

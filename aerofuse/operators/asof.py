@@ -5,7 +5,11 @@ same slice or is the last of the slice before or the first of the slice after, s
 given those two border rows and is then complete on its own. The window that finds the neighbours
 runs per (key, slice): a key that holds a third of all rows is spread over its slices, and no pairs
 are formed. Both sides are reduced to one row per (key, instant) first, with map-side combining, so
-copies never meet in one task.
+copies never meet in one task. A (key, slice) group thus holds at most one row per side and instant.
+
+Where one key has so many distinct instants within a tolerance that even a slice is too much for one
+task, the ``ranges`` layout sweeps range shards instead (see ``ordering``), at the cost of writing the
+layout. ``densest_slice`` measures, and ``layout="auto"`` measures and chooses.
 """
 
 from __future__ import annotations
@@ -16,9 +20,24 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerofuse.operators.ordering import range_shards, with_known_neighbours
 from aerofuse.session import micros
 
 DIRECTIONS = ("nearest", "backward", "forward")
+LAYOUTS = ("slices", "ranges", "auto")
+# More instants of one key within a tolerance than this are spread over range shards.
+MAX_SLICE_ROWS = 20_000_000
+
+
+def _slice_of(at: Column, width: int) -> Column:
+    return at - F.pmod(at, F.lit(width))
+
+
+def densest_slice(df: DataFrame, by: Sequence[str], tolerance: timedelta, time: str = "time") -> int:
+    """Most rows any key has in one slice; one narrow aggregate."""
+    width = max(tolerance // timedelta(microseconds=1), 1)
+    slices = df.groupBy(*by, _slice_of(micros(time), width).alias("_slice")).count()
+    return slices.agg(F.max("count")).first()[0] or 0
 
 
 def _one_per_instant(right: DataFrame, by: Sequence[str], values: Sequence[str],
@@ -31,9 +50,9 @@ def _one_per_instant(right: DataFrame, by: Sequence[str], values: Sequence[str],
     )
 
 
-def _with_borders(instants: DataFrame, by: Sequence[str], slice_of, width: int) -> DataFrame:
+def _with_borders(instants: DataFrame, by: Sequence[str], width: int) -> DataFrame:
     """Every right row in its own slice, plus each slice's border rows in the adjoining slices."""
-    own = instants.withColumn("_slice", slice_of(F.col("r._at")))
+    own = instants.withColumn("_slice", _slice_of(F.col("r._at"), width))
     borders = own.groupBy(*by, "_slice").agg(F.min("r").alias("first"), F.max("r").alias("last"))
     handed_on = borders.select(
         *by,
@@ -62,6 +81,44 @@ def _choose(direction: str, at: Column, tolerance: int) -> Column:
     return F.when(closer_later, later).when(earlier_ok, earlier)
 
 
+def _sweep_slices(asked: DataFrame, instants: DataFrame, by: Sequence[str], limit: int, direction: str,
+                  exact: bool) -> DataFrame:
+    """Asked instants with the right rows next to them, found in each slice alone."""
+    width = max(limit, 1)
+    both = asked.select("*", _slice_of(F.col("_at"), width).alias("_slice"), F.lit(1).alias("_asks")).unionByName(
+        _with_borders(instants, by, width).select("*", F.col("r._at").alias("_at"), F.lit(0).alias("_asks")),
+        allowMissingColumns=True,
+    )
+    group = Window.partitionBy(*by, "_slice")
+    # Both frames run from the start of the group to the current row, so each is one sweep.
+    asks = F.col("_asks").asc() if exact else F.col("_asks").desc()
+    found = []
+    if direction != "forward":
+        found.append(F.last("r", True).over(group.orderBy(F.col("_at").asc(), asks)).alias("_earlier"))
+    if direction != "backward":
+        found.append(F.last("r", True).over(group.orderBy(F.col("_at").desc(), asks)).alias("_later"))
+    return both.select("*", *found).where(F.col("_asks") == 1)
+
+
+def _sweep_ranges(asked: DataFrame, instants: DataFrame, by: Sequence[str], direction: str, exact: bool) -> DataFrame:
+    """The same over range shards of (key, instant), whatever a key holds."""
+    if direction == "nearest" and not exact:
+        raise ValueError("the ranges layout needs exact=True for the nearest row")
+    # A right row at the asked instant must lie on the side that is searched, or on the other one.
+    right_first = (direction == "forward") != exact
+    both = asked.withColumn("_order", F.lit(1 if right_first else 0)).unionByName(
+        instants.select("*", F.col("r._at").alias("_at"), F.lit(0 if right_first else 1).alias("_order")),
+        allowMissingColumns=True,
+    ).withColumn("_asks", F.col("r").isNull()).withColumnRenamed("_at", "_instant")
+    swept = with_known_neighbours(range_shards(both, [*by, "_instant", "_order"]), by, {"r": F.col("r")})
+    return swept.where("_asks").select(
+        *by,
+        F.col("_instant").alias("_at"),
+        F.col("_before_r.value").alias("_earlier"),
+        F.col("_after_r.value").alias("_later"),
+    )
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -74,52 +131,43 @@ def asof_join(
     order: Sequence[str] = (),
     exact: bool = True,
     unique_right: bool = False,
-    matched_at: str | None = None,
+    layout: str = "slices",
+    gap: str | None = None,
 ) -> DataFrame:
     """Left outer as-of join; unmatched rows have NULL ``values``.
 
     ``order`` ranks right rows of one key that share an instant. ``exact=False`` leaves out right
     rows at the very instant of the left row. ``unique_right=True`` promises one right row per
-    (key, instant), as in a regular grid, and saves the reduction. ``matched_at`` names a column
-    for the difference right minus left in microseconds.
+    (key, instant), as in a regular grid, and saves the reduction. ``gap`` names a column for the
+    difference right minus left in microseconds.
     """
     if direction not in DIRECTIONS:
         raise ValueError(f"direction must be one of {', '.join(DIRECTIONS)}")
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {', '.join(LAYOUTS)}")
     limit = tolerance // timedelta(microseconds=1)
-    width = max(limit, 1)
-
-    def slice_of(at: Column) -> Column:
-        return at - F.pmod(at, F.lit(width))
+    if layout == "auto":
+        densest = max(densest_slice(side, by, tolerance, time) for side in (left, right))
+        layout = "slices" if densest <= MAX_SLICE_ROWS else "ranges"
 
     stamped = right.withColumn("_at", micros(time)).where(F.col("_at").isNotNull())
     if unique_right:
         instants = stamped.select(*by, F.struct("_at", *values).alias("r"))
     else:
         instants = _one_per_instant(stamped, by, values, order)
-    rights = _with_borders(instants, by, slice_of, width)
-
     keyed = left.withColumn("_at", micros(time))
     asked = keyed.select(*by, "_at").where(F.col("_at").isNotNull()).distinct()
-    both = asked.withColumn("_slice", slice_of(F.col("_at"))).withColumn("_asks", F.lit(1)).unionByName(
-        rights.withColumn("_at", F.col("r._at")).withColumn("_asks", F.lit(0)), allowMissingColumns=True
-    )
-    group = Window.partitionBy(*by, "_slice")
-    # Both frames run from the start of the group to the current row, so each is one sweep.
-    asks = F.col("_asks").asc() if exact else F.col("_asks").desc()
-    swept = both
-    if direction != "forward":
-        swept = swept.withColumn(
-            "_earlier", F.last("r", ignorenulls=True).over(group.orderBy(F.col("_at").asc(), asks))
-        )
-    if direction != "backward":
-        swept = swept.withColumn(
-            "_later", F.last("r", ignorenulls=True).over(group.orderBy(F.col("_at").desc(), asks))
-        )
+    if layout == "slices":
+        swept = _sweep_slices(asked, instants, by, limit, direction, exact)
+    else:
+        swept = _sweep_ranges(asked, instants, by, direction, exact)
+
     hit = _choose(direction, F.col("_at"), limit)
-    answers = swept.where(F.col("_asks") == 1).select(*by, "_at", hit.alias("_hit"))
-    answers = answers.where(F.col("_hit").isNotNull()).select(
+    answers = swept.select(*by, "_at", hit.alias("_hit")).where(F.col("_hit").isNotNull())
+    answers = answers.select(
         *by, "_at", *(F.col(f"_hit.{v}").alias(v) for v in values), (F.col("_hit._at") - F.col("_at")).alias("_gap")
     )
+    # One answer per (key, instant): AQE may split a busy instant of the left side.
     joined = keyed.join(answers, [*by, "_at"], "left")
-    extra = [F.col("_gap").alias(matched_at)] if matched_at else []
+    extra = [F.col("_gap").alias(gap)] if gap else []
     return joined.select(*left.columns, *values, *extra)

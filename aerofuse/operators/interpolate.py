@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerofuse.operators.ordering import INDEX, SHARD, exact_medians, range_shards
+from aerofuse.operators.ordering import exact_medians, range_shards, with_known_neighbours
 
 
-def _between(value: Column, at: Column, before: Column, after: Column) -> Column:
+def _between(value: Column, before: Column, after: Column) -> Column:
     """Value on the line between two known neighbours; outside them, the only neighbour's value."""
-    share = (at - before["at"]) / (after["at"] - before["at"])
+    share = (F.col("_at") - before["at"]) / (after["at"] - before["at"])
     return (
         F.when(value.isNotNull(), value)
         .when(before.isNull(), after["value"])
@@ -27,77 +27,12 @@ def interpolate_linear(df: DataFrame, columns: Sequence[str], *, order_by: Seque
 
     Gaps at either end take the nearest known value; a column unknown throughout a key stays NULL.
     ``(*partition_by, *order_by)`` must identify a row. Without ``partition_by`` the whole table is
-    one series.
-
-    The rows are laid out in ranges of that order, so a series of any length is spread over many
-    shards and swept in each alone. The known value nearest to each border of a (key, shard) group
-    then comes from a table with one row per group; only the first and last group of a shard can
-    need it, which bounds the broadcast to two rows per shard.
+    one series. A series of any length is spread over range shards, see ``ordering``.
     """
     laid = range_shards(df, [*partition_by, *order_by])
-    keys = [*partition_by, SHARD]
-    known = {
-        c: F.when(F.col(c).isNotNull(), F.struct(F.col(INDEX).alias("at"), F.col(c).cast("double").alias("value")))
-        for c in columns
-    }
-
-    groups = laid.groupBy(*keys).agg(
-        F.max(INDEX).alias("_top"),
-        *(F.min(known[c]).alias(f"_first_{c}") for c in columns),
-        *(F.max(known[c]).alias(f"_last_{c}") for c in columns),
-    )
-    shard_sizes = groups.groupBy(SHARD).agg((F.max("_top") + 1).alias("_size"))
-    start = F.coalesce(
-        F.sum("_size").over(Window.orderBy(SHARD).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    # One row per shard: the number of rows in all earlier shards.
-    starts = shard_sizes.select(SHARD, start.alias("_start"))
-
-    def shifted(name: str) -> Column:
-        end = F.col(name)
-        return F.when(end.isNotNull(), F.struct((end["at"] + F.col("_start")).alias("at"), end["value"].alias("value")))
-
-    placed = groups.join(F.broadcast(starts), SHARD)
-    upward = Window.partitionBy(*partition_by).orderBy(F.col(SHARD).asc())
-    downward = Window.partitionBy(*partition_by).orderBy(F.col(SHARD).desc())
-    others = (Window.unboundedPreceding, -1)
-    carried = placed.select(
-        *keys,
-        "_start",
-        *(F.last(shifted(f"_last_{c}"), True).over(upward.rowsBetween(*others)).alias(f"_in_{c}") for c in columns),
-        *(F.last(shifted(f"_first_{c}"), True).over(downward.rowsBetween(*others)).alias(f"_out_{c}") for c in columns),
-    )
-    crossing = [F.col(f"_{side}_{c}").isNotNull() for side in ("in", "out") for c in columns]
-    needed = crossing[0]
-    for condition in crossing[1:]:
-        needed = needed | condition
-
-    rows = laid.join(F.broadcast(starts), SHARD)
-    same_group = F.lit(True)
-    handed = carried.where(needed).drop("_start").withColumnsRenamed({k: f"{k}_g" for k in keys})
-    for k in keys:
-        same_group = same_group & F.col(k).eqNullSafe(F.col(f"{k}_g"))
-    rows = rows.join(F.broadcast(handed), same_group, "left")
-
-    at = F.col(INDEX) + F.col("_start")
-    point = {c: F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).cast("double").alias("value")))
-             for c in columns}
-    group = Window.partitionBy(*keys)
-    swept = rows.select(
-        "*",
-        at.alias("_at"),
-        *(F.last(point[c], True).over(group.orderBy(F.col(INDEX).asc())).alias(f"_before_{c}") for c in columns),
-        *(F.last(point[c], True).over(group.orderBy(F.col(INDEX).desc())).alias(f"_after_{c}") for c in columns),
-    )
-    filled = {
-        c: _between(
-            F.col(c).cast("double"),
-            F.col("_at"),
-            F.coalesce(f"_before_{c}", f"_in_{c}"),
-            F.coalesce(f"_after_{c}", f"_out_{c}"),
-        )
-        for c in columns
-    }
+    values = {c: F.col(c).cast("double") for c in columns}
+    swept = with_known_neighbours(laid, partition_by, values)
+    filled = {c: _between(values[c], F.col(f"_before_{c}"), F.col(f"_after_{c}")) for c in columns}
     return swept.select(*(filled[c].alias(c) if c in filled else F.col(c) for c in df.columns))
 
 

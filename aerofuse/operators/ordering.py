@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from aerofuse.session import materialize
 SHARD = "_shard"
 INDEX = "_index"
 BINS = 4096
+# A search stops narrowing when so few rows are left that they can be looked at directly.
+FEW = 10_000
 # Below this many rows Spark's own exact median is used; its per-group value table is then small.
 DIRECT_ROWS = 2_000_000
 
@@ -73,14 +77,78 @@ def with_position(df: DataFrame, order_by: Sequence[str], partition_by: Sequence
     ).drop(SHARD, INDEX, "_start", "_before")
 
 
+def with_known_neighbours(laid: DataFrame, partition_by: Sequence[str], known: dict[str, Column]) -> DataFrame:
+    """For every row of a range layout, the nearest known values before and after it in its key.
+
+    ``known`` maps a name to a column that is NULL where nothing is known. Added columns: ``_at``, the
+    index of the row in the whole order, and ``_before_<name>`` and ``_after_<name>``, structs of
+    ``at`` and ``value``, both of which include the row itself.
+
+    Each (key, shard) group is swept alone. What a group needs from elsewhere comes from a table with
+    one row per group; only the first and the last group of a shard can need it, so the broadcast
+    holds at most two rows per shard.
+    """
+    # One row per shard.
+    sizes = laid.groupBy(SHARD).agg(F.count("*").alias("_size"))
+    earlier_shards = Window.orderBy(SHARD).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(SHARD, F.coalesce(F.sum("_size").over(earlier_shards), F.lit(0)).alias("_start"))
+    points = {
+        name: F.when(value.isNotNull(), F.struct(F.col("_at").alias("at"), value.alias("value")))
+        for name, value in known.items()
+    }
+    rows = laid.join(F.broadcast(starts), SHARD).withColumn("_at", F.col(INDEX) + F.col("_start")).drop("_start", INDEX)
+
+    keys = [*partition_by, SHARD]
+    groups = rows.groupBy(*keys).agg(
+        *(F.min(p).alias(f"_first_{n}") for n, p in points.items()),
+        *(F.max(p).alias(f"_last_{n}") for n, p in points.items()),
+    )
+    others = (Window.unboundedPreceding, -1)
+    upward = Window.partitionBy(*partition_by).orderBy(F.col(SHARD).asc()).rowsBetween(*others)
+    downward = Window.partitionBy(*partition_by).orderBy(F.col(SHARD).desc()).rowsBetween(*others)
+    handed = groups.select(
+        *(F.col(k).alias(f"_g_{k}") for k in keys),
+        *(F.last(f"_last_{n}", True).over(upward).alias(f"_in_{n}") for n in points),
+        *(F.last(f"_first_{n}", True).over(downward).alias(f"_out_{n}") for n in points),
+    ).where(reduce(or_, (F.col(f"_{side}_{n}").isNotNull() for side in ("in", "out") for n in points)))
+    same_group = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys))
+
+    group = Window.partitionBy(*keys)
+    # Both frames end at the current row, so each is one sweep.
+    up, down = group.orderBy(F.col("_at").asc()), group.orderBy(F.col("_at").desc())
+    return rows.join(F.broadcast(handed), same_group, "left").select(
+        *rows.columns,
+        *(F.coalesce(F.last(p, True).over(up), F.col(f"_in_{n}")).alias(f"_before_{n}") for n, p in points.items()),
+        *(F.coalesce(F.last(p, True).over(down), F.col(f"_out_{n}")).alias(f"_after_{n}") for n, p in points.items()),
+    )
+
+
 @dataclass(frozen=True)
 class _Bracket:
-    """Values [low, high] known to contain the wanted rank, and how many rows lie below ``low``."""
+    """Values [low, high] that hold the wanted rank, their rows, and how many rows lie below ``low``."""
 
     low: float
     high: float
+    rows: int
     below: int
 
+    @property
+    def settled(self) -> bool:
+        return self.low == self.high
+
+    def narrowed(self, bins: list, rank: int) -> _Bracket:
+        """The bin that holds the rank.
+
+        Its bounds are the smallest and largest value present in it, so the lowest and the highest
+        value of a bracket always part and the search ends.
+        """
+        below = self.below
+        for row in sorted(bins, key=lambda r: r["bin"]):
+            if rank < below + row["n"]:
+                return _Bracket(row["low"], row["high"], row["n"], below)
+            below += row["n"]
+        raise ValueError(f"rank {rank} is beyond the {below} values present")
+
 
 def _bin(value: Column, bracket: _Bracket, integral: bool) -> Column:
     if integral:
@@ -90,63 +158,70 @@ def _bin(value: Column, bracket: _Bracket, integral: bool) -> Column:
     return F.least(F.floor((value - F.lit(bracket.low)) / F.lit(span) * BINS), F.lit(BINS - 1)).cast("int")
 
 
-def _pick(bins: list, rank: int, bracket: _Bracket) -> _Bracket:
-    """The bin that holds the rank.
-
-    The new bounds are the smallest and largest value present in that bin, so the lowest and the
-    highest value of a bracket always part and the search ends.
-    """
-    below = bracket.below
-    for row in sorted(bins, key=lambda r: r["bin"]):
-        if rank < below + row["n"]:
-            return _Bracket(row["low"], row["high"], below)
-        below += row["n"]
-    raise ValueError(f"rank {rank} is beyond the {below} values present")
-
+def _inside(df: DataFrame, searches: Sequence[tuple[int, str, _Bracket]], integral: bool) -> DataFrame:
+    """(search, bin, value) for every search and every row inside its bracket."""
+    entries = []
+    for i, column, bracket in searches:
+        value = F.col(column)
+        entry = F.struct(
+            F.lit(i).alias("search"), _bin(value, bracket, integral).alias("bin"), value.alias("value")
+        )
+        entries.append(F.when(value.between(bracket.low, bracket.high), entry))
+    return df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
 
-def values_at_ranks(df: DataFrame, wanted: Sequence[tuple[str, int]]) -> list[tuple[float, int]]:
-    """For each (column, 0-based rank): the value there among the non-NULL values, and the number
-    of smaller values. The columns must all be integral or all be floating.
 
-    Each pass serves all open searches and returns at most ``BINS`` rows for each.
+def _brackets(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int) -> list[_Bracket]:
+    """A bracket for each (column, 0-based rank among the non-NULL values): a single value, or at
+    most ``few`` rows. All searches share each pass, which returns at most ``BINS`` rows for each.
     """
     columns = sorted({column for column, _ in wanted})
     integral = isinstance(df.schema[columns[0]].dataType, T.IntegralType)
-    extremes = df.agg(
-        *(F.min(c).alias(f"low_{c}") for c in columns), *(F.max(c).alias(f"high_{c}") for c in columns)
+    ends = df.agg(
+        *(f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max, F.count))
     ).first()
-    if any(extremes[f"low_{c}"] is None for c in columns):
+    if any(ends[f"count_{c}"] == 0 for c in columns):
         raise ValueError("a column holds no value")
-    found = [_Bracket(extremes[f"low_{c}"], extremes[f"high_{c}"], 0) for c, _ in wanted]
-    while pending := [i for i, b in enumerate(found) if b.low != b.high]:
-        entries = []
-        for i in pending:
-            value = F.col(wanted[i][0])
-            entry = F.struct(
-                F.lit(i).alias("search"),
-                _bin(value, found[i], integral).alias("bin"),
-                value.alias("value"),
-            )
-            entries.append(F.when(value.between(found[i].low, found[i].high), entry))
+    found = [_Bracket(ends[f"min_{c}"], ends[f"max_{c}"], ends[f"count_{c}"], 0) for c, _ in wanted]
+    while pending := [i for i, b in enumerate(found) if not b.settled and b.rows > few]:
         bins = (
-            df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-            .groupBy("e.search", "e.bin")
-            .agg(F.count("*").alias("n"), F.min("e.value").alias("low"), F.max("e.value").alias("high"))
+            _inside(df, [(i, wanted[i][0], found[i]) for i in pending], integral)
+            .groupBy("search", "bin")
+            .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
             .collect()
         )
         for i in pending:
-            found[i] = _pick([r for r in bins if r["search"] == i], wanted[i][1], found[i])
-    return [(b.low, b.below) for b in found]
-
-
-def cut_at_rank(df: DataFrame, columns: Sequence[str], rank: int) -> list[float]:
+            found[i] = found[i].narrowed([r for r in bins if r["search"] == i], wanted[i][1])
+    return found
+
+
+def values_at_ranks(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int = FEW) -> list[float]:
+    """The value at each (column, 0-based rank). The columns must all be integral or all floating."""
+    found = _brackets(df, wanted, few)
+    integral = isinstance(df.schema[wanted[0][0]].dataType, T.IntegralType)
+    open_searches = [(i, wanted[i][0], b) for i, b in enumerate(found) if not b.settled]
+    rest: dict[int, list] = {i: [] for i, _, _ in open_searches}
+    if open_searches:
+        # At most ``few`` rows for each search.
+        for row in _inside(df, open_searches, integral).collect():
+            rest[row["search"]].append(row["value"])
+    return [
+        sorted(rest[i])[rank - found[i].below] if i in rest else found[i].low
+        for i, (_, rank) in enumerate(wanted)
+    ]
+
+
+def cut_at_rank(df: DataFrame, columns: Sequence[str], rank: int, few: int = FEW) -> list[float]:
     """Values of the row at 0-based ``rank`` in the lexicographic order of numeric columns."""
-    cut = []
-    for column in columns:
-        [(value, below)] = values_at_ranks(df, [(column, rank)])
-        cut.append(value)
-        df = df.where(F.col(column) == value)
-        rank -= below
+    cut: list[float] = []
+    for depth, column in enumerate(columns):
+        [bracket] = _brackets(df, [(column, rank)], few)
+        df = df.where(F.col(column).between(bracket.low, bracket.high))
+        rank -= bracket.below
+        if bracket.rows <= few:
+            # At most ``few`` rows are left.
+            remaining = sorted(tuple(row) for row in df.select(*columns[depth:]).collect())
+            return [*cut, *remaining[rank]]
+        cut.append(bracket.low)
     return cut
 
 
@@ -179,6 +254,6 @@ def exact_medians(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRE
         return typed.agg(*(F.median(c).alias(c) for c in columns)).first().asDict()
     filled = [c for c in columns if counts[c]]
     wanted = [(c, rank) for c in filled for rank in ((counts[c] - 1) // 2, counts[c] // 2)]
-    values = [value for value, _ in values_at_ranks(typed, wanted)]
+    values = values_at_ranks(typed, wanted) if wanted else []
     middles = {c: (values[2 * i] + values[2 * i + 1]) / 2 for i, c in enumerate(filled)}
     return {c: middles.get(c) for c in columns}

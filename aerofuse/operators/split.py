@@ -34,7 +34,8 @@ def mark_test(df: DataFrame, params: TrainingParams, key: Sequence[str], time: s
     if params.shuffle:
         return df.withColumn(name, first_rows(df, _shuffled(key, params.seed), ceil(total * params.test_size)))
     train_rows = total - ceil(total * params.test_size)
-    order = [micros(time), *(F.col(k).cast("long") for k in key)]
+    # Rows without a time come first.
+    order = [F.coalesce(micros(time), F.lit(-(1 << 62))), *(F.col(k).cast("long") for k in key)]
     return df.withColumn(name, ~first_rows(df, order, train_rows))
 
 

@@ -28,6 +28,8 @@ def attach_grid(
     tolerance: timedelta,
     order: Sequence[str] = (),
     unique_grid: bool = False,
+    layout: str = "slices",
+    levels: int | None = None,
     sites: DataFrame | None = None,
     distance: str | None = None,
 ) -> DataFrame:
@@ -35,10 +37,11 @@ def attach_grid(
 
     Observations without a cell in the radius are dropped; those without a value in the tolerance
     keep NULL. ``sites`` may name a table that holds all coordinates of ``observations``, when
-    those would be dear to derive. The site-to-cell map holds one row per distinct coordinate; it
+    those would be dear to derive. ``layout`` and ``levels`` are passed on to the as-of join and to the
+    search for the nearest cell. The site-to-cell map holds one row per distinct coordinate; it
     is written once because the observations, the grid and the size check all read it.
     """
-    nearest = nearest_within(observations if sites is None else sites, grid, radius_km, prefix="_cell_")
+    nearest = nearest_within(observations if sites is None else sites, grid, radius_km, "_cell_", levels)
     cells, n_cells = materialize_counted(nearest, "sites")
     key = ["_cell_lat", "_cell_lon"]
     located = observations.join(broadcast_if_small(cells, n_cells), list(PLACE))
@@ -48,7 +51,8 @@ def attach_grid(
         broadcast_if_small(used, n_cells), key, "left_semi"
     )
     joined = asof_join(
-        located, nearby, values=values, tolerance=tolerance, by=key, order=order, unique_right=unique_grid
+        located, nearby, values=values, tolerance=tolerance, by=key, order=order, unique_right=unique_grid,
+        layout=layout,
     )
     extra = [F.col("distance_km").alias(distance)] if distance else []
     return joined.select(*observations.columns, *values, *extra)
@@ -86,10 +90,11 @@ def fuse(
     *,
     aerosol_order: Sequence[str] = (),
     weather_order: Sequence[str] = (),
+    **options,
 ) -> DataFrame:
     """All three sources. Both site maps come from the observations, so neither waits for a join."""
-    with_aerosol = fuse_aerosol(observations, aerosol, params, order=aerosol_order)
-    return fuse_weather(with_aerosol, weather, params, order=weather_order, sites=observations)
+    with_aerosol = fuse_aerosol(observations, aerosol, params, order=aerosol_order, **options)
+    return fuse_weather(with_aerosol, weather, params, order=weather_order, sites=observations, **options)
 
 
 def fuse_period(observations: DataFrame, aerosol: DataFrame, weather: DataFrame, start, end,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -59,10 +61,13 @@ def train_forest(train: DataFrame, params: TrainingParams = TrainingParams()) ->
 
 def score(model: PipelineModel, df: DataFrame, params: TrainingParams = TrainingParams(),
           name: str = "prediction") -> DataFrame:
-    """Predictions next to the rows they belong to. Works on a stream too."""
+    """Predictions next to the rows they belong to; NULL where a feature is missing. Works on a stream too."""
     require_columns(df, params.features)
-    scored = model.transform(df).drop("_features")
-    return scored if name == "prediction" else scored.withColumnRenamed("prediction", name)
+    assembler, *rest = model.stages
+    tolerant = PipelineModel([assembler.copy({assembler.handleInvalid: "keep"}), *rest])
+    complete = reduce(and_, (F.col(f).isNotNull() for f in params.features))
+    scored = tolerant.transform(df).drop("_features")
+    return scored.withColumn(name, F.when(complete, F.col("prediction"))).select(*df.columns, name)
 
 
 def score_file(model: PipelineModel, df: DataFrame, path: str, params: TrainingParams = TrainingParams(),

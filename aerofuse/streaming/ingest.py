@@ -64,7 +64,7 @@ def daily_means(stream: DataFrame, value: str, lateness: str = "1 day", station:
 def score_stream(stream: DataFrame, model: PipelineModel, params: TrainingParams = TrainingParams(),
                  time: str = "time") -> DataFrame:
     """Predictions with the day they are filed under."""
-    scored = score(model, stream.na.drop(subset=list(params.features)), params, "predicted_pm25")
+    scored = score(model, stream, params, "predicted_pm25")
     return scored.withColumn("date", F.to_date(time))
 
 
