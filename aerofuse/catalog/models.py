@@ -11,7 +11,7 @@ from aerofuse.operators.summaries import score_summary
 from aerofuse.params import ForestParams, TrainingParams
 from aerofuse.plans import training
 from aerofuse.plans.preprocess import preprocess
-from aerofuse.session import materialize
+from aerofuse.session import materialize, small_table
 from aerofuse.sources import load_metrics
 
 part = Part()
@@ -35,7 +35,7 @@ def rf_train(features):
     model, _ = _fitted(features)
     forest = model.stages[-1]
     rows = [(i, tree.depth, tree.numNodes) for i, tree in enumerate(forest.trees)]
-    return features.sparkSession.createDataFrame(rows, "tree int, depth int, nodes int")
+    return small_table(features.sparkSession, rows, "tree int, depth int, nodes int")
 
 
 @part.query("features")

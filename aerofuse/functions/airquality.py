@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerofuse.session import small_table
+
 # Upper bound of the band (None = open), index at its lower end, lower bound,
 # width, category, colour class and advice.
 BANDS = (
@@ -56,6 +58,4 @@ def delta_to_reference(pm25: Column) -> Column:
 
 def advice_table(spark: SparkSession) -> DataFrame:
     """Five-row lookup: category, colour class, advice."""
-    return spark.createDataFrame(
-        [band[4:] for band in BANDS], "category string, color string, advice string"
-    )
+    return small_table(spark, [band[4:] for band in BANDS], "category string, color string, advice string")

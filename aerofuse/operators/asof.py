@@ -20,7 +20,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerofuse.operators.ordering import range_shards, with_known_neighbours
+from aerofuse.operators.ordering import SO_FAR, range_shards, with_known_neighbours
 from aerofuse.session import micros
 
 DIRECTIONS = ("nearest", "backward", "forward")
@@ -94,9 +94,11 @@ def _sweep_slices(asked: DataFrame, instants: DataFrame, by: Sequence[str], limi
     asks = F.col("_asks").asc() if exact else F.col("_asks").desc()
     found = []
     if direction != "forward":
-        found.append(F.last("r", True).over(group.orderBy(F.col("_at").asc(), asks)).alias("_earlier"))
+        upward = group.orderBy(F.col("_at").asc(), asks).rowsBetween(*SO_FAR)
+        found.append(F.last("r", True).over(upward).alias("_earlier"))
     if direction != "backward":
-        found.append(F.last("r", True).over(group.orderBy(F.col("_at").desc(), asks)).alias("_later"))
+        downward = group.orderBy(F.col("_at").desc(), asks).rowsBetween(*SO_FAR)
+        found.append(F.last("r", True).over(downward).alias("_later"))
     return both.select("*", *found).where(F.col("_asks") == 1)
 
 

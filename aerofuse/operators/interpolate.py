@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerofuse.operators.ordering import exact_medians, range_shards, with_known_neighbours
+from aerofuse.session import materialize
 
 
 def _between(value: Column, before: Column, after: Column) -> Column:
@@ -42,7 +43,20 @@ def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.fillna(medians) if medians else df
 
 
+def _unknown_series(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str]) -> list[str]:
+    """Columns that some key has no value of, so that interpolation leaves gaps. One aggregate."""
+    counts = df.groupBy(*partition_by).agg(*(F.count(c).alias(c) for c in columns))
+    empty = counts.agg(*(F.count_if(F.col(c) == 0).alias(c) for c in columns)).first()
+    return [c for c in columns if empty[c]]
+
+
 def impute(df: DataFrame, columns: Sequence[str], *, order_by: Sequence[str],
            partition_by: Sequence[str] = ()) -> DataFrame:
-    """Interpolate, then fill with medians of the interpolated columns."""
-    return fill_median(interpolate_linear(df, columns, order_by=order_by, partition_by=partition_by), columns)
+    """Interpolate, then fill with medians of the interpolated columns.
+
+    Medians are needed only for columns that are unknown throughout some key. If there are any, the
+    interpolated rows are written once, since the median passes and the result all read them.
+    """
+    filled = interpolate_linear(df, columns, order_by=order_by, partition_by=partition_by)
+    gaps = _unknown_series(df, columns, partition_by)
+    return fill_median(materialize(filled, "interpolated"), gaps) if gaps else filled

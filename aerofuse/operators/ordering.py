@@ -24,6 +24,7 @@ from aerofuse.session import materialize
 
 SHARD = "_shard"
 INDEX = "_index"
+SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 BINS = 4096
 # A search stops narrowing when so few rows are left that they can be looked at directly.
 FEW = 10_000
@@ -99,23 +100,33 @@ def with_known_neighbours(laid: DataFrame, partition_by: Sequence[str], known: d
     rows = laid.join(F.broadcast(starts), SHARD).withColumn("_at", F.col(INDEX) + F.col("_start")).drop("_start", INDEX)
 
     keys = [*partition_by, SHARD]
-    groups = rows.groupBy(*keys).agg(
-        *(F.min(p).alias(f"_first_{n}") for n, p in points.items()),
-        *(F.max(p).alias(f"_last_{n}") for n, p in points.items()),
-    )
+    ends = []
+    for n, value in known.items():
+        at = F.when(value.isNotNull(), F.col("_at"))
+        # Position and value apart: numbers aggregate by hashing, structs would be sorted first.
+        ends += [
+            F.min(at).alias(f"_first_at_{n}"), F.min_by(value, at).alias(f"_first_{n}"),
+            F.max(at).alias(f"_last_at_{n}"), F.max_by(value, at).alias(f"_last_{n}"),
+        ]
+    groups = rows.groupBy(*keys).agg(*ends)
+
+    def end(side: str, name: str) -> Column:
+        at = F.col(f"_{side}_at_{name}")
+        return F.when(at.isNotNull(), F.struct(at.alias("at"), F.col(f"_{side}_{name}").alias("value")))
+
     others = (Window.unboundedPreceding, -1)
     upward = Window.partitionBy(*partition_by).orderBy(F.col(SHARD).asc()).rowsBetween(*others)
     downward = Window.partitionBy(*partition_by).orderBy(F.col(SHARD).desc()).rowsBetween(*others)
     handed = groups.select(
         *(F.col(k).alias(f"_g_{k}") for k in keys),
-        *(F.last(f"_last_{n}", True).over(upward).alias(f"_in_{n}") for n in points),
-        *(F.last(f"_first_{n}", True).over(downward).alias(f"_out_{n}") for n in points),
-    ).where(reduce(or_, (F.col(f"_{side}_{n}").isNotNull() for side in ("in", "out") for n in points)))
+        *(F.last(end("last", n), True).over(upward).alias(f"_in_{n}") for n in known),
+        *(F.last(end("first", n), True).over(downward).alias(f"_out_{n}") for n in known),
+    ).where(reduce(or_, (F.col(f"_{side}_{n}").isNotNull() for side in ("in", "out") for n in known)))
     same_group = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys))
 
     group = Window.partitionBy(*keys)
     # Both frames end at the current row, so each is one sweep.
-    up, down = group.orderBy(F.col("_at").asc()), group.orderBy(F.col("_at").desc())
+    up, down = (group.orderBy(o).rowsBetween(*SO_FAR) for o in (F.col("_at").asc(), F.col("_at").desc()))
     return rows.join(F.broadcast(handed), same_group, "left").select(
         *rows.columns,
         *(F.coalesce(F.last(p, True).over(up), F.col(f"_in_{n}")).alias(f"_before_{n}") for n, p in points.items()),

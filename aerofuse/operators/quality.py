@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerofuse.operators.ordering import exact_medians
+from aerofuse.session import small_table
 from aerofuse.sources.rules import ValidationError
 
 
@@ -48,4 +49,4 @@ def report_missing(df: DataFrame, columns: Sequence[str], threshold: float, on_e
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, median), exact; as many rows as columns."""
     medians = exact_medians(df, columns)
-    return df.sparkSession.createDataFrame([(c, medians[c]) for c in columns], "feature string, median double")
+    return small_table(df.sparkSession, [(c, medians[c]) for c in columns], "feature string, median double")

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerofuse.operators.asof import asof_join
-from aerofuse.operators.spatial import PLACE, nearest_within
+from aerofuse.operators.spatial import PLACE, nearest_within, places
 from aerofuse.params import FusionParams
 from aerofuse.session import broadcast_if_small, materialize_counted
 from aerofuse.sources.readers import between_dates, only_stations
@@ -19,6 +22,27 @@ AEROSOL_VALUES = ("aod", "cloud_fraction")
 WEATHER_VALUES = ("temperature", "humidity", "wind_speed", "boundary_layer_height")
 
 
+@dataclass(frozen=True)
+class SiteMap:
+    """The nearest grid cell of every site, written once, with its number of rows."""
+
+    rows: DataFrame
+    count: int
+
+
+def map_sites(sites: DataFrame, grid: DataFrame, radius_km: float, levels: int | None = None) -> SiteMap:
+    """One row per distinct site with a cell in the radius.
+
+    It is written because the observations, the grid and the size check all read it. The grid's
+    distinct cells are kept while the search measures and uses them, so the grid is scanned once.
+    """
+    cells = places(grid).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return SiteMap(*materialize_counted(nearest_within(sites, cells, radius_km, "_cell_", levels), "sites"))
+    finally:
+        cells.unpersist()
+
+
 def attach_grid(
     observations: DataFrame,
     grid: DataFrame,
@@ -30,25 +54,22 @@ def attach_grid(
     unique_grid: bool = False,
     layout: str = "slices",
     levels: int | None = None,
-    sites: DataFrame | None = None,
+    site_map: SiteMap | None = None,
     distance: str | None = None,
 ) -> DataFrame:
     """Give every observation the values of its nearest grid cell at the nearest time.
 
     Observations without a cell in the radius are dropped; those without a value in the tolerance
-    keep NULL. ``sites`` may name a table that holds all coordinates of ``observations``, when
-    those would be dear to derive. ``layout`` and ``levels`` are passed on to the as-of join and to the
-    search for the nearest cell. The site-to-cell map holds one row per distinct coordinate; it
-    is written once because the observations, the grid and the size check all read it.
+    keep NULL. ``layout`` and ``levels`` are passed on to the as-of join and to the search for the
+    nearest cell. A ``site_map`` made before saves that search.
     """
-    nearest = nearest_within(observations if sites is None else sites, grid, radius_km, "_cell_", levels)
-    cells, n_cells = materialize_counted(nearest, "sites")
+    sites = site_map or map_sites(observations, grid, radius_km, levels)
     key = ["_cell_lat", "_cell_lon"]
-    located = observations.join(broadcast_if_small(cells, n_cells), list(PLACE))
+    located = observations.join(broadcast_if_small(sites.rows, sites.count), list(PLACE))
     # Only the cells that some site uses take part in the shuffles that follow.
-    used = cells.select(*key).distinct()
+    used = sites.rows.select(*key).distinct()
     nearby = grid.withColumnsRenamed({"lat": "_cell_lat", "lon": "_cell_lon"}).join(
-        broadcast_if_small(used, n_cells), key, "left_semi"
+        broadcast_if_small(used, sites.count), key, "left_semi"
     )
     joined = asof_join(
         located, nearby, values=values, tolerance=tolerance, by=key, order=order, unique_right=unique_grid,
@@ -90,11 +111,21 @@ def fuse(
     *,
     aerosol_order: Sequence[str] = (),
     weather_order: Sequence[str] = (),
+    levels: int | None = None,
     **options,
 ) -> DataFrame:
-    """All three sources. Both site maps come from the observations, so neither waits for a join."""
-    with_aerosol = fuse_aerosol(observations, aerosol, params, order=aerosol_order, **options)
-    return fuse_weather(with_aerosol, weather, params, order=weather_order, sites=observations, **options)
+    """All three sources. Both site maps come from the observations' distinct places, which are
+    gathered once, and are made side by side; neither waits for a join.
+    """
+    sites = places(observations).persist(StorageLevel.MEMORY_AND_DISK)
+    searches = ((aerosol, params.aerosol_radius_km), (weather, params.weather_radius_km))
+    try:
+        with ThreadPoolExecutor(len(searches)) as pool:
+            air, met = pool.map(lambda search: map_sites(sites, *search, levels), searches)
+    finally:
+        sites.unpersist()
+    with_aerosol = fuse_aerosol(observations, aerosol, params, order=aerosol_order, site_map=air, **options)
+    return fuse_weather(with_aerosol, weather, params, order=weather_order, site_map=met, **options)
 
 
 def fuse_period(observations: DataFrame, aerosol: DataFrame, weather: DataFrame, start, end,

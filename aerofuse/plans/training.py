@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from aerofuse.operators.split import split
 from aerofuse.operators.summaries import regression_metrics
 from aerofuse.params import TrainingParams
+from aerofuse.session import small_table
 from aerofuse.sources.readers import require_columns
 from aerofuse.sources.sinks import save_metrics, write_table
 
@@ -79,7 +80,7 @@ def feature_importance(model: PipelineModel, features: Sequence[str], df: DataFr
     """(feature, importance) by impurity decrease; one row per feature."""
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(f, float(w)) for f, w in zip(features, weights, strict=True)]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    return small_table(df.sparkSession, rows, "feature string, importance double")
 
 
 def top_importances(importances: DataFrame, n: int = 5) -> DataFrame:

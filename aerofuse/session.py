@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,13 @@ def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     return written, seen.get["rows"]
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table of a few rows held in the plan itself, so that it starts no Python worker."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only when the counted size permits it; else leave the choice to AQE."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
