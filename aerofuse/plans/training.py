@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerofuse.operators.split import split
@@ -18,6 +18,7 @@ from aerofuse.operators.summaries import regression_metrics
 from aerofuse.params import TrainingParams
 from aerofuse.session import small_table
 from aerofuse.sources.readers import require_columns
+from aerofuse.sources.rules import ValidationError
 from aerofuse.sources.sinks import save_metrics, write_table
 
 
@@ -71,6 +72,17 @@ def score(model: PipelineModel, df: DataFrame, params: TrainingParams = Training
     return scored.withColumn(name, F.when(complete, F.col("prediction"))).select(*df.columns, name)
 
 
+def feature_frame(spark: SparkSession, request: Mapping[str, Sequence[float]],
+                  params: TrainingParams = TrainingParams()) -> DataFrame:
+    """A request of equally long lists, one per feature, as rows with their position ``row``."""
+    absent = [f for f in params.features if f not in request]
+    if absent:
+        raise ValidationError(f"Missing features: {', '.join(absent)}")
+    columns = [request[f] for f in params.features]
+    rows = [(i, *map(float, values)) for i, values in enumerate(zip(*columns, strict=True))]
+    return small_table(spark, rows, ", ".join(["row int", *(f"{f} double" for f in params.features)]))
+
+
 def score_file(model: PipelineModel, df: DataFrame, path: str, params: TrainingParams = TrainingParams(),
                file_format: str = "parquet") -> None:
     write_table(score(model, df, params, "predicted_pm25"), path, file_format, mode="overwrite")

@@ -23,6 +23,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions for an input of this size; returns it.
+
+    AQE merges partitions that turn out small but does not cut the ranges of a range shuffle, so the
+    number has to be large enough beforehand.
+    """
+    partitions = max(-(-input_bytes // partition_bytes), spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return partitions
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

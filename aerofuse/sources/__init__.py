@@ -10,6 +10,7 @@ from aerofuse.sources.readers import (
     read_table,
     read_unified,
     require_columns,
+    schema_by_header,
     union_all,
     unify_layout,
 )
@@ -56,6 +57,7 @@ __all__ = [
     "read_unified",
     "require_columns",
     "save_metrics",
+    "schema_by_header",
     "union_all",
     "unify_layout",
     "violation_report",

@@ -38,10 +38,18 @@ def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType
     return nan_to_null(reader.format(file_format).load(path))
 
 
+def schema_by_header(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a CSV file from its header line: known columns typed, all others text. Nothing is inferred."""
+    names = spark.read.option("header", True).csv(path).columns
+    return T.StructType([T.StructField(n, schemas.KNOWN_TYPES.get(n, T.StringType())) for n in names])
+
+
 def read_unified(spark: SparkSession, path: str, file_format: str = "csv",
-                 schema: T.StructType | None = schemas.UNIFIED,
+                 schema: T.StructType | None = None,
                  required: Sequence[str] = (*FEATURES, TARGET)) -> DataFrame:
-    """The training table: declared types, required columns checked, extra columns kept."""
+    """The training table: known types, required columns checked, extra columns kept."""
+    if schema is None and file_format == "csv":
+        schema = schema_by_header(spark, path)
     return require_columns(read_table(spark, path, schema, file_format), required)
 
 

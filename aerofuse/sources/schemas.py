@@ -66,6 +66,12 @@ LANDING = T.StructType(
 UNIFIED = T.StructType(
     [T.StructField(name, _int if name == "day_of_year" else _double) for name in (*FEATURES, TARGET)]
 )
+# Types of columns by name, for CSV files that may hold extra columns in any order; others are text.
+KNOWN_TYPES = {
+    f.name: f.dataType
+    for schema in (LONG_MEASUREMENT, STATION, AEROSOL, WEATHER, UNIFIED)
+    for f in schema.fields
+}
 FUSED_COLUMNS = (
     "time",
     "lat",

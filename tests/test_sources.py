@@ -127,6 +127,14 @@ def test_csv_round_trip_makes_folders_and_projects(spark, tmp_path):
     assert [tuple(r) for r in spark.read.csv(path, header=True).collect()] == [("s", "1.5")]
 
 
+def test_csv_columns_are_typed_by_name_and_extra_ones_kept(spark, tmp_path):
+    path = str(tmp_path / "u")
+    spark.sql("SELECT 'x' note, 1.5D aod, 40 pm25, TIMESTAMP_NTZ '2024-01-01 00:00:00' time").write.csv(path, header=True)
+    df = sources.read_unified(spark, path, required=["aod", "pm25"])
+    assert df.schema.simpleString() == "struct<note:string,aod:double,pm25:double,time:timestamp_ntz>"
+    assert df.first()["aod"] == 1.5
+
+
 def test_read_unified_reports_missing_columns(spark, tmp_path):
     path = str(tmp_path / "u")
     spark.sql("SELECT 1D aod, 2D pm25").write.parquet(path)
