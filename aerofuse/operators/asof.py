@@ -121,7 +121,7 @@ def _sweep_ranges(asked: DataFrame, instants: DataFrame, by: Sequence[str], dire
     )
 
 
-def asof_join(
+def asof_answers(
     left: DataFrame,
     right: DataFrame,
     *,
@@ -134,14 +134,10 @@ def asof_join(
     exact: bool = True,
     unique_right: bool = False,
     layout: str = "slices",
-    gap: str | None = None,
 ) -> DataFrame:
-    """Left outer as-of join; unmatched rows have NULL ``values``.
+    """One row per (key, instant) of ``left`` that has a match: the key, ``_at``, the values and ``_gap``.
 
-    ``order`` ranks right rows of one key that share an instant. ``exact=False`` leaves out right
-    rows at the very instant of the left row. ``unique_right=True`` promises one right row per
-    (key, instant), as in a regular grid, and saves the reduction. ``gap`` names a column for the
-    difference right minus left in microseconds.
+    For joins of one left side with several right sides: all answers follow from the left side itself.
     """
     if direction not in DIRECTIONS:
         raise ValueError(f"direction must be one of {', '.join(DIRECTIONS)}")
@@ -157,19 +153,31 @@ def asof_join(
         instants = stamped.select(*by, F.struct("_at", *values).alias("r"))
     else:
         instants = _one_per_instant(stamped, by, values, order)
-    keyed = left.withColumn("_at", micros(time))
-    asked = keyed.select(*by, "_at").where(F.col("_at").isNotNull()).distinct()
+    asked = left.select(*by, micros(time).alias("_at")).where(F.col("_at").isNotNull()).distinct()
     if layout == "slices":
         swept = _sweep_slices(asked, instants, by, limit, direction, exact)
     else:
         swept = _sweep_ranges(asked, instants, by, direction, exact)
 
     hit = _choose(direction, F.col("_at"), limit)
-    answers = swept.select(*by, "_at", hit.alias("_hit")).where(F.col("_hit").isNotNull())
-    answers = answers.select(
+    found = swept.select(*by, "_at", hit.alias("_hit")).where(F.col("_hit").isNotNull())
+    return found.select(
         *by, "_at", *(F.col(f"_hit.{v}").alias(v) for v in values), (F.col("_hit._at") - F.col("_at")).alias("_gap")
     )
+
+
+def asof_join(left: DataFrame, right: DataFrame, *, values: Sequence[str], tolerance: timedelta,
+              by: Sequence[str] = (), time: str = "time", gap: str | None = None, **options) -> DataFrame:
+    """Left outer as-of join; unmatched rows have NULL ``values``.
+
+    Options: ``direction``, nearest (default), backward or forward. ``order`` ranks right rows of one
+    key that share an instant. ``exact=False`` leaves out right rows at the very instant of the left
+    row. ``unique_right=True`` promises one right row per (key, instant), as in a regular grid, and
+    saves the reduction. ``layout``, see above. ``gap`` names a column for the difference right minus
+    left in microseconds.
+    """
+    answers = asof_answers(left, right, values=values, tolerance=tolerance, by=by, time=time, **options)
     # One answer per (key, instant): AQE may split a busy instant of the left side.
-    joined = keyed.join(answers, [*by, "_at"], "left")
+    joined = left.withColumn("_at", micros(time)).join(answers, [*by, "_at"], "left")
     extra = [F.col("_gap").alias(gap)] if gap else []
     return joined.select(*left.columns, *values, *extra)

@@ -1,41 +1,107 @@
-"""Overwrite fused rows with measured values taken nearby at nearly the same time."""
+"""Overwrite fused rows with measured values taken nearby at nearly the same time.
+
+The first target in reach of an observation can be found in two ways, both exact:
+
+* ``places``: list the pairs of observed and target places that are close, then look forward in time
+  at each observed place with an as-of join. No row of an observation meets more than one target. This
+  suits stations, which have few places and long histories.
+* ``moments``: meet rows in cells of place and time. This suits instruments that move, where nearly
+  every row has a place of its own and the list of close places would outgrow the rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerofuse.operators.asof import asof_join
 from aerofuse.operators.spatial import PLACE, places
+from aerofuse.session import micros
 
+ROUTES = ("places", "moments", "auto")
+# Close places per place above which rows meet in cells of place and time instead.
+MAX_CLOSE_PLACES = 1000
 
-def neighbouring_places(left: DataFrame, right: DataFrame, degrees: float, prefix: str = "at_") -> DataFrame:
-    """Pairs of distinct places that differ by less than ``degrees`` in both coordinates.
 
-    Equi-join on square cells one ``degrees`` wide, of which three per axis can hold a partner.
-    """
-    side = degrees * (1 + 1e-9)
+def _cell(name: str, degrees: float) -> Column:
+    # Slightly wider than the limit, so that rounding cannot part neighbours by two cells.
+    return F.floor(F.col(name) / (degrees * (1 + 1e-9)))
 
-    def cell(name: str):
-        return F.floor(F.col(name) / side)
 
-    near = places(right).select(
-        F.col("lat").alias(f"{prefix}lat"),
-        F.col("lon").alias(f"{prefix}lon"),
-        cell("lat").alias("_y"),
-        cell("lon").alias("_x"),
-    )
-    around = places(left).select(
-        *PLACE, F.explode(F.sequence(cell("lat") - 1, cell("lat") + 1)).alias("_y"), cell("lon").alias("_x0")
+def _in_cell(df: DataFrame, degrees: float) -> DataFrame:
+    return df.select("*", _cell("lat", degrees).alias("_y"), _cell("lon", degrees).alias("_x"))
+
+
+def _around(df: DataFrame, degrees: float) -> DataFrame:
+    """Each row in its own cell and the eight next to it."""
+    rows = df.withColumn("_y", F.explode(F.sequence(_cell("lat", degrees) - 1, _cell("lat", degrees) + 1)))
+    return rows.withColumn("_x", F.explode(F.sequence(_cell("lon", degrees) - 1, _cell("lon", degrees) + 1)))
+
+
+def _close(degrees: float) -> Column:
+    return (F.abs(F.col("lat") - F.col("_t_lat")) < degrees) & (F.abs(F.col("lon") - F.col("_t_lon")) < degrees)
+
+
+def close_places(left: DataFrame, right: DataFrame, degrees: float) -> DataFrame:
+    """Pairs of distinct places that differ by less than ``degrees`` in both coordinates."""
+    near = _in_cell(places(right), degrees).withColumnsRenamed({"lat": "_t_lat", "lon": "_t_lon"})
+    return _around(places(left), degrees).join(near, ["_y", "_x"]).where(_close(degrees)).drop("_y", "_x")
+
+
+def close_places_per_place(left: DataFrame, right: DataFrame, degrees: float) -> float:
+    """Upper bound of the mean number of close places, from counts per cell."""
+    near = _in_cell(places(right), degrees).groupBy("_y", "_x").agg(F.count("*").alias("n_near"))
+    around = _around(places(left), degrees).groupBy("_y", "_x").agg(F.count("*").alias("n_around"))
+    row = around.join(near, ["_y", "_x"], "full").agg(
+        F.sum(F.col("n_near").cast("double") * F.col("n_around")).alias("pairs"),
+        F.sum("n_near").alias("near"),
+        (F.sum("n_around") / 9).alias("left"),
+    ).first()
+    return (row["pairs"] or 0.0) / max(row["near"] or 0, row["left"] or 0, 1)
+
+
+def _found_by_place(observations: DataFrame, firsts: DataFrame, sites: DataFrame, within: timedelta,
+                    degrees: float) -> DataFrame:
+    """As targets are ordered by time, the first in reach is the first after the lower time limit."""
+    pairs = close_places(observations, sites, degrees)
+    reachable = firsts.withColumnsRenamed({"lat": "_t_lat", "lon": "_t_lon"}).join(pairs, ["_t_lat", "_t_lon"])
+    asking = observations.withColumn("time", F.col("time") - within)
+    return asof_join(
+        asking,
+        reachable.select(*PLACE, "time", "_target"),
+        values=("_target",),
+        by=PLACE,
+        order=("_target",),
+        tolerance=2 * within - timedelta(microseconds=1),
+        direction="forward",
+        exact=False,
     )
-    around = around.select(*PLACE, "_y", F.explode(F.sequence(F.col("_x0") - 1, F.col("_x0") + 1)).alias("_x"))
-    close = (F.abs(F.col("lat") - F.col(f"{prefix}lat")) < degrees) & (
-        F.abs(F.col("lon") - F.col(f"{prefix}lon")) < degrees
+
+
+def _found_by_moment(observations: DataFrame, firsts: DataFrame, within: timedelta, degrees: float) -> DataFrame:
+    """Rows meet per cell of place and time; only the first target per (place, instant) is kept."""
+    span = within // timedelta(microseconds=1)
+
+    def slot(at: Column) -> Column:
+        return F.call_function("div", at - F.pmod(at, F.lit(2 * span)), F.lit(2 * span))
+
+    near = _in_cell(firsts, degrees).select(
+        "_y", "_x", F.col("lat").alias("_t_lat"), F.col("lon").alias("_t_lon"), micros("time").alias("_t_at"), "_target"
+    ).withColumn("_slot", slot(F.col("_t_at")))
+    keyed = observations.withColumn("_at", micros("time"))
+    asked = keyed.select(*PLACE, "_at").dropna().distinct()
+    asked = asked.withColumn("_slot", F.explode(F.sequence(slot(F.col("_at") - span), slot(F.col("_at") + span))))
+    met = (
+        _around(asked, degrees)
+        .join(near, ["_y", "_x", "_slot"])
+        .where(_close(degrees) & (F.abs(F.col("_at") - F.col("_t_at")) < span))
     )
-    return around.join(near, ["_y", "_x"]).where(close).select(*PLACE, f"{prefix}lat", f"{prefix}lon")
+    first = met.groupBy(*PLACE, "_at").agg(F.min(F.struct("_t_at", "_target")).alias("first"))
+    answers = first.select(*PLACE, "_at", F.col("first._target").alias("_target"))
+    return keyed.join(answers, [*PLACE, "_at"], "left").drop("_at")
 
 
 def match_update(
@@ -46,32 +112,29 @@ def match_update(
     observation_order: Sequence[str],
     within: timedelta = timedelta(hours=1),
     degrees: float = 0.1,
+    route: str = "auto",
+    sites: DataFrame | None = None,
 ) -> DataFrame:
     """Each observation overwrites the first target within the (open) limits of time and place.
 
     Targets are ordered by (time, ``target_key``), observations by ``observation_order``; a later
     observation overrides an earlier one, and a missing pm10 leaves the target's value alone.
-
-    As targets are ordered by time, the first one in reach of an observation is the first after
-    the lower time limit: a forward as-of join per observed place. No pairs of an observation and
-    its targets are made.
+    ``sites`` may name a table with all places of the targets, when those would be dear to derive.
     """
-    pairs = neighbouring_places(observations, targets, degrees, prefix="_t_")
-    # One row per (place, time) of the targets before they are handed to the observed places.
+    sites = targets if sites is None else sites
+    if route not in ROUTES:
+        raise ValueError(f"route must be one of {', '.join(ROUTES)}")
+    if route == "auto":
+        crowded = close_places_per_place(observations, sites, degrees) > MAX_CLOSE_PLACES
+        route = "moments" if crowded else "places"
+    # One row per (place, instant), combined map-side.
     firsts = targets.groupBy(*PLACE, "time").agg(F.min(target_key).alias("_target"))
-    reachable = firsts.withColumnsRenamed({"lat": "_t_lat", "lon": "_t_lon"}).join(pairs, ["_t_lat", "_t_lon"])
+    if route == "places":
+        found = _found_by_place(observations, firsts, sites, within, degrees)
+    else:
+        found = _found_by_moment(observations, firsts, within, degrees)
+    found = found.where(F.col("_target").isNotNull())
 
-    asking = observations.withColumnRenamed("time", "_seen").withColumn("time", F.col("_seen") - within)
-    found = asof_join(
-        asking,
-        reachable.select(*PLACE, "time", "_target"),
-        values=("_target",),
-        by=PLACE,
-        order=("_target",),
-        tolerance=2 * within - timedelta(microseconds=1),
-        direction="forward",
-        exact=False,
-    ).where(F.col("_target").isNotNull())
     order = F.struct(*observation_order)
     newest = found.groupBy("_target").agg(
         F.max_by(F.struct(F.col("pm25").alias("value")), order).alias("_pm25"),

@@ -9,12 +9,11 @@ from datetime import timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from aerofuse.operators.asof import asof_join
+from aerofuse.operators.asof import asof_answers
 from aerofuse.operators.spatial import PLACE, nearest_within, places
 from aerofuse.params import FusionParams
-from aerofuse.session import broadcast_if_small, materialize_counted
+from aerofuse.session import broadcast_if_small, materialize_counted, micros
 from aerofuse.sources.readers import between_dates, only_stations
 from aerofuse.sources.rules import ValidationError
 
@@ -22,6 +21,19 @@ AEROSOL_VALUES = ("aod", "cloud_fraction")
 WEATHER_VALUES = ("temperature", "humidity", "wind_speed", "boundary_layer_height")
 
 
+@dataclass(frozen=True)
+class Grid:
+    """A gridded product and how it is matched. ``order`` ranks rows of one cell and instant;
+    ``unique`` promises that there is only one."""
+
+    rows: DataFrame
+    values: Sequence[str]
+    radius_km: float
+    tolerance: timedelta
+    order: Sequence[str] = ()
+    unique: bool = False
+
+
 @dataclass(frozen=True)
 class SiteMap:
     """The nearest grid cell of every site, written once, with its number of rows."""
@@ -30,77 +42,75 @@ class SiteMap:
     count: int
 
 
-def map_sites(sites: DataFrame, grid: DataFrame, radius_km: float, levels: int | None = None) -> SiteMap:
+def map_sites(sites: DataFrame, grid: Grid, prefix: str, levels: int | None = None) -> SiteMap:
     """One row per distinct site with a cell in the radius.
 
     It is written because the observations, the grid and the size check all read it. The grid's
     distinct cells are kept while the search measures and uses them, so the grid is scanned once.
     """
-    cells = places(grid).persist(StorageLevel.MEMORY_AND_DISK)
+    cells = places(grid.rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return SiteMap(*materialize_counted(nearest_within(sites, cells, radius_km, "_cell_", levels), "sites"))
+        nearest = nearest_within(sites, cells, grid.radius_km, prefix, levels)
+        return SiteMap(*materialize_counted(nearest.withColumnRenamed("distance_km", f"{prefix}km"), "sites"))
     finally:
         cells.unpersist()
 
 
-def attach_grid(
-    observations: DataFrame,
-    grid: DataFrame,
-    *,
-    values: Sequence[str],
-    radius_km: float,
-    tolerance: timedelta,
-    order: Sequence[str] = (),
-    unique_grid: bool = False,
-    layout: str = "slices",
-    levels: int | None = None,
-    site_map: SiteMap | None = None,
-    distance: str | None = None,
-) -> DataFrame:
-    """Give every observation the values of its nearest grid cell at the nearest time.
+def attach_grids(observations: DataFrame, grids: Sequence[Grid], *, layout: str = "slices",
+                 levels: int | None = None) -> DataFrame:
+    """Give every observation the values of each grid's nearest cell at the nearest time.
+
+    Observations without a cell in the radius of some grid are dropped; those without a value in the
+    tolerance keep NULL. ``layout`` is passed on to the as-of join and ``levels`` to the search for
+    the nearest cell.
 
-    Observations without a cell in the radius are dropped; those without a value in the tolerance
-    keep NULL. ``layout`` and ``levels`` are passed on to the as-of join and to the search for the
-    nearest cell. A ``site_map`` made before saves that search.
+    The site maps follow from the observations' distinct places, which are gathered once, and are made
+    side by side. The answers for each grid follow from the located observations, so no grid waits for
+    the join with another.
     """
-    sites = site_map or map_sites(observations, grid, radius_km, levels)
-    key = ["_cell_lat", "_cell_lon"]
-    located = observations.join(broadcast_if_small(sites.rows, sites.count), list(PLACE))
-    # Only the cells that some site uses take part in the shuffles that follow.
-    used = sites.rows.select(*key).distinct()
-    nearby = grid.withColumnsRenamed({"lat": "_cell_lat", "lon": "_cell_lon"}).join(
-        broadcast_if_small(used, sites.count), key, "left_semi"
-    )
-    joined = asof_join(
-        located, nearby, values=values, tolerance=tolerance, by=key, order=order, unique_right=unique_grid,
-        layout=layout,
-    )
-    extra = [F.col("distance_km").alias(distance)] if distance else []
-    return joined.select(*observations.columns, *values, *extra)
-
-
-def fuse_aerosol(observations: DataFrame, aerosol: DataFrame, params: FusionParams = FusionParams(),
-                 **options) -> DataFrame:
-    return attach_grid(
-        observations,
-        aerosol,
-        values=AEROSOL_VALUES,
-        radius_km=params.aerosol_radius_km,
-        tolerance=params.aerosol_tolerance,
-        **options,
-    )
-
-
-def fuse_weather(observations: DataFrame, weather: DataFrame, params: FusionParams = FusionParams(),
-                 **options) -> DataFrame:
-    return attach_grid(
-        observations,
-        weather,
-        values=WEATHER_VALUES,
-        radius_km=params.weather_radius_km,
-        tolerance=params.weather_tolerance,
-        **options,
-    )
+    prefixes = [f"_cell{i}_" for i in range(len(grids))]
+    sites = places(observations).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPoolExecutor(len(grids)) as pool:
+            maps = list(pool.map(lambda grid, prefix: map_sites(sites, grid, prefix, levels), grids, prefixes))
+    finally:
+        sites.unpersist()
+
+    located = observations
+    for site_map in maps:
+        located = located.join(broadcast_if_small(site_map.rows, site_map.count), list(PLACE))
+    joined = located.withColumn("_at", micros("time"))
+    for grid, prefix, site_map in zip(grids, prefixes, maps, strict=True):
+        cell = [f"{prefix}lat", f"{prefix}lon"]
+        # Only the cells that some site uses take part in the shuffles that follow.
+        used = broadcast_if_small(site_map.rows.select(*cell).distinct(), site_map.count)
+        nearby = grid.rows.withColumnsRenamed(dict(zip(PLACE, cell, strict=True))).join(used, cell, "left_semi")
+        answers = asof_answers(
+            located, nearby, values=grid.values, tolerance=grid.tolerance, by=cell, order=grid.order,
+            unique_right=grid.unique, layout=layout,
+        )
+        joined = joined.join(answers.drop("_gap"), [*cell, "_at"], "left")
+    return joined.select(*observations.columns, *(v for grid in grids for v in grid.values))
+
+
+def aerosol_grid(rows: DataFrame, params: FusionParams = FusionParams(), order: Sequence[str] = (),
+                 unique: bool = False) -> Grid:
+    return Grid(rows, AEROSOL_VALUES, params.aerosol_radius_km, params.aerosol_tolerance, order, unique)
+
+
+def weather_grid(rows: DataFrame, params: FusionParams = FusionParams(), order: Sequence[str] = (),
+                 unique: bool = False) -> Grid:
+    return Grid(rows, WEATHER_VALUES, params.weather_radius_km, params.weather_tolerance, order, unique)
+
+
+def fuse_aerosol(observations: DataFrame, aerosol: DataFrame, params: FusionParams = FusionParams(), *,
+                 order: Sequence[str] = (), unique: bool = False, **options) -> DataFrame:
+    return attach_grids(observations, [aerosol_grid(aerosol, params, order, unique)], **options)
+
+
+def fuse_weather(observations: DataFrame, weather: DataFrame, params: FusionParams = FusionParams(), *,
+                 order: Sequence[str] = (), unique: bool = False, **options) -> DataFrame:
+    return attach_grids(observations, [weather_grid(weather, params, order, unique)], **options)
 
 
 def fuse(
@@ -111,21 +121,15 @@ def fuse(
     *,
     aerosol_order: Sequence[str] = (),
     weather_order: Sequence[str] = (),
-    levels: int | None = None,
+    unique_grids: bool = False,
     **options,
 ) -> DataFrame:
-    """All three sources. Both site maps come from the observations' distinct places, which are
-    gathered once, and are made side by side; neither waits for a join.
-    """
-    sites = places(observations).persist(StorageLevel.MEMORY_AND_DISK)
-    searches = ((aerosol, params.aerosol_radius_km), (weather, params.weather_radius_km))
-    try:
-        with ThreadPoolExecutor(len(searches)) as pool:
-            air, met = pool.map(lambda search: map_sites(sites, *search, levels), searches)
-    finally:
-        sites.unpersist()
-    with_aerosol = fuse_aerosol(observations, aerosol, params, order=aerosol_order, site_map=air, **options)
-    return fuse_weather(with_aerosol, weather, params, order=weather_order, site_map=met, **options)
+    """All three sources."""
+    grids = [
+        aerosol_grid(aerosol, params, aerosol_order, unique_grids),
+        weather_grid(weather, params, weather_order, unique_grids),
+    ]
+    return attach_grids(observations, grids, **options)
 
 
 def fuse_period(observations: DataFrame, aerosol: DataFrame, weather: DataFrame, start, end,

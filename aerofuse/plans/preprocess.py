@@ -63,5 +63,5 @@ def load_measured(
     wide = merge_pm10(measurements, key=measurement_key)
     fused = fuse(station_rows, aerosol, weather, params, **orders)
     order = (measurement_key, f"pm10_{measurement_key}")
-    updated = match_update(fused, wide, target_key=row_key, observation_order=order)
+    updated = match_update(fused, wide, target_key=row_key, observation_order=order, sites=station_rows)
     return updated.withColumn("day_of_year", F.dayofyear("time"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from aerofuse.operators import spatial
 from aerofuse.operators.asof import asof_join, densest_slice
 from aerofuse.operators.reshape import merge_pm10, pivot_measurements
-from aerofuse.operators.update import match_update
+from aerofuse.operators.update import close_places_per_place, match_update
 from aerofuse.params import FusionParams
 from aerofuse.plans.fusion import fuse, fuse_period
 from aerofuse.sources.rules import ValidationError
@@ -180,7 +180,7 @@ WIDE = FusionParams(aerosol_radius_km=80.0, weather_radius_km=160.0)
 
 
 def test_fusion_has_the_documented_columns_and_drops_far_stations(spark):
-    fused = fuse(*grids(spark), WIDE, unique_grid=True)
+    fused = fuse(*grids(spark), WIDE, unique_grids=True)
     assert set(fused.columns) == {
         "time", "lat", "lon", "station_id", "pm25", "pm10", "aod", "cloud_fraction", "temperature", "humidity",
         "wind_speed", "boundary_layer_height",
@@ -227,7 +227,8 @@ def test_coarse_reading_is_estimated_only_without_any(spark):
     assert sorted((r["pm25"], r["pm10"]) for r in only_fine.collect()) == [(10.0, 15.0), (20.0, 30.0)]
 
 
-def test_match_update_equals_row_by_row(spark):
+@pytest.mark.parametrize("route", ["places", "moments", "auto"])
+def test_match_update_equals_row_by_row(spark, route):
     rng = random.Random(9)
 
     def place():
@@ -249,12 +250,21 @@ def test_match_update_equals_row_by_row(spark):
     got = match_update(
         frame(spark, targets, "tid long, time timestamp_ntz, lat double, lon double, pm25 double, pm10 double"),
         frame(spark, observed, "oid long, time timestamp_ntz, lat double, lon double, pm25 double, pm10 double"),
-        target_key="tid", observation_order=("oid",),
+        target_key="tid", observation_order=("oid",), route=route,
     )
     assert {r["tid"]: [r["pm25"], r["pm10"]] for r in got.collect()} == want
     assert sum(v[0] != 1.0 for v in want.values()) > 20
 
 
+def test_moving_instruments_are_recognised(spark):
+    def trail(n, spread):
+        return spark.range(n).select((20 + F.col("id") % spread * 1e-6).alias("lat"), F.lit(75.0).alias("lon"))
+
+    assert close_places_per_place(trail(3000, 3000), trail(3000, 3000), 0.1) == pytest.approx(3000)
+    assert close_places_per_place(trail(3000, 2), trail(3000, 3), 0.1) <= 3
+    assert close_places_per_place(trail(0, 1), trail(3, 3), 0.1) == 0
+
+
 def test_skeleton_covers_both_ends_and_gaps_are_what_is_missing(spark):
     skeleton = spatial.grid_skeleton(
         spark, start=START, end=START + timedelta(days=2), lat_min=8.0, lat_max=9.0, lon_min=68.0, lon_max=68.5,
