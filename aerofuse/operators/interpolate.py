@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerofuse.operators.ordering import exact_medians, range_shards, with_known_neighbours
-from aerofuse.session import materialize
+from aerofuse.session import materialize_counted
 
 
 def _between(value: Column, before: Column, after: Column) -> Column:
@@ -37,26 +37,36 @@ def interpolate_linear(df: DataFrame, columns: Sequence[str], *, order_by: Seque
     return swept.select(*(filled[c].alias(c) if c in filled else F.col(c) for c in df.columns))
 
 
-def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fill_median(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> DataFrame:
     """Replace what is missing by the column's exact median; a column without values stays NULL."""
-    medians = {c: m for c, m in exact_medians(df, columns).items() if m is not None}
+    medians = {c: m for c, m in exact_medians(df, columns, rows=rows).items() if m is not None}
     return df.fillna(medians) if medians else df
 
 
-def _unknown_series(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str]) -> list[str]:
-    """Columns that some key has no value of, so that interpolation leaves gaps. One aggregate."""
-    counts = df.groupBy(*partition_by).agg(*(F.count(c).alias(c) for c in columns))
-    empty = counts.agg(*(F.count_if(F.col(c) == 0).alias(c) for c in columns)).first()
-    return [c for c in columns if empty[c]]
+def _gaps(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Columns with any gap, and those some key has no value of. One aggregate over the source."""
+    counts = df.groupBy(*partition_by).agg(F.count("*").alias("_rows"), *(F.count(c).alias(c) for c in columns))
+    found = counts.agg(
+        *(F.max(F.col(c) < F.col("_rows")).alias(f"gap_{c}") for c in columns),
+        *(F.max((F.col(c) == 0) & (F.col("_rows") > 0)).alias(f"unknown_{c}") for c in columns),
+    ).first()
+    return [c for c in columns if found[f"gap_{c}"]], [c for c in columns if found[f"unknown_{c}"]]
 
 
 def impute(df: DataFrame, columns: Sequence[str], *, order_by: Sequence[str],
            partition_by: Sequence[str] = ()) -> DataFrame:
-    """Interpolate, then fill with medians of the interpolated columns.
+    """Interpolate, then fill with medians of the interpolated columns; all ``columns`` become doubles.
 
-    Medians are needed only for columns that are unknown throughout some key. If there are any, the
-    interpolated rows are written once, since the median passes and the result all read them.
+    Only columns with gaps are swept. Medians are needed only for columns that are unknown throughout
+    some key; if there are any, the interpolated rows are written once, since the median passes and the
+    result all read them.
     """
-    filled = interpolate_linear(df, columns, order_by=order_by, partition_by=partition_by)
-    gaps = _unknown_series(df, columns, partition_by)
-    return fill_median(materialize(filled, "interpolated"), gaps) if gaps else filled
+    gappy, unknown = _gaps(df, columns, partition_by)
+    numbers = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    if not gappy:
+        return numbers
+    filled = interpolate_linear(numbers, gappy, order_by=order_by, partition_by=partition_by)
+    if not unknown:
+        return filled
+    written, rows = materialize_counted(filled, "interpolated")
+    return fill_median(written, unknown, rows)

@@ -253,16 +253,21 @@ def first_rows(df: DataFrame, order: Sequence[Column], rows: int) -> Column:
     return at_or_before(order, cut_at_rank(keys, names, rows - 1))
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS) -> dict[str, float | None]:
-    """Exact median of several columns, NULL ignored; ``None`` for a column without values.
+def exact_medians(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS,
+                  rows: int | None = None) -> dict[str, float | None]:
+    """Exact median of several columns, NULL ignored; ``None`` for a column without values. ``rows``
+    may give the known number of rows.
 
     Small inputs use Spark's ``median``, which keeps every distinct value of a column in one
     buffer. Past ``direct_rows`` the histogram search is used, whose state does not grow.
     """
     typed = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    medians = typed.agg(*(F.median(c).alias(c) for c in columns))
+    if rows is not None and rows <= direct_rows:
+        return medians.first().asDict()
     counts = typed.agg(*(F.count(c).alias(c) for c in columns)).first()
     if max(counts) <= direct_rows:
-        return typed.agg(*(F.median(c).alias(c) for c in columns)).first().asDict()
+        return medians.first().asDict()
     filled = [c for c in columns if counts[c]]
     wanted = [(c, rank) for c in filled for rank in ((counts[c] - 1) // 2, counts[c] // 2)]
     values = values_at_ranks(typed, wanted) if wanted else []

@@ -76,6 +76,13 @@ def test_impute_fills_unknown_series_with_the_median(spark):
     assert impute(df.withColumn("x", F.lit(None).cast("double")), ["x"], order_by=("id",)).where("x is null").count() == 4
 
 
+def test_impute_leaves_complete_columns_alone(spark):
+    df = spark.range(5).select("id", F.col("id").cast("int").alias("whole"))
+    got = impute(df, ["whole"], order_by=("id",))
+    assert got.schema["whole"].dataType.simpleString() == "double" and got.count() == 5
+    assert impute(df.where("false"), ["whole"], order_by=("id",)).count() == 0
+
+
 @pytest.mark.parametrize("keyed", [True, False])
 def test_positions_equal_pandas(spark, many_shards, keyed):
     rows = gappy(5)
