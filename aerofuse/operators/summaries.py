@@ -87,12 +87,12 @@ def limit_exceedance(df: DataFrame, column: str = "pm25", time: str = "time", st
     yearly = daily.groupBy(station, F.date_trunc("year", "start").cast("timestamp_ntz").alias("start")).agg(
         F.sum("total").alias("total"), F.sum("n").alias("n")
     )
-    both = daily.select(
-        station, "start", F.lit("24h").alias("period"), (F.col("total") / F.col("n")).alias("mean"), F.lit(DAILY_LIMIT).alias("limit")
-    ).unionByName(
-        yearly.select(
-            station, "start", F.lit("annual").alias("period"), (F.col("total") / F.col("n")).alias("mean"),
-            F.lit(ANNUAL_LIMIT).alias("limit"),
+
+    def mean_and_limit(totals: DataFrame, period: str, limit: float) -> DataFrame:
+        mean = F.col("total") / F.col("n")
+        return totals.select(
+            station, "start", F.lit(period).alias("period"), mean.alias("mean"), F.lit(limit).alias("limit")
         )
-    )
+
+    both = mean_and_limit(daily, "24h", DAILY_LIMIT).unionByName(mean_and_limit(yearly, "annual", ANNUAL_LIMIT))
     return both.where(F.col("mean") > F.col("limit"))
