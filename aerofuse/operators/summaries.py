@@ -27,7 +27,7 @@ def r2(y: str, p: str) -> Column:
     return (
         F.when(F.count(truth) < 2, F.lit(None).cast("double"))
         .when(F.min(truth) == F.max(truth), F.when(residual == 0, 1.0).otherwise(0.0))
-        .otherwise(1 - residual / total)
+        .otherwise(1 - F.try_divide(residual, total))
     )
 
 
