@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerofuse.llm import decontaminate, pfor, token_counts
+from aerofuse.llm import decontaminate, jaccard, pfor, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -71,3 +71,33 @@ FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_join(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_ngram_jaccard"] = r"""
+WITH RECURSIVE doc_words AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN ['text:' || text]
+        ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+            lambda p: array_to_string(w[p:p + 4], ' ')))) END AS s, len(w) > 0 AS worded FROM doc_words),
+classes AS (SELECT s, worded, min(doc_id) AS class_id FROM sets GROUP BY s, worded),
+flat AS (SELECT class_id, len(s) AS n, unnest(s) AS shingle FROM classes WHERE worded),
+common AS (
+    SELECT a.class_id AS a, b.class_id AS b, a.n AS na, b.n AS nb, count(*) AS k
+    FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.class_id <> b.class_id GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE k >= 0.8 * (na + nb - k)),
+reach AS (
+    SELECT class_id AS a, class_id AS b FROM classes
+    UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a, min(b) AS group_id FROM reach GROUP BY a),
+degrees AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT t.doc_id, c.class_id, r.group_id, coalesce(d.n_links, 0) AS n_links
+FROM sets t JOIN classes c ON t.s = c.s AND t.worded = c.worded JOIN roots r ON r.a = c.class_id
+LEFT JOIN degrees d ON d.a = c.class_id"""
