@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerofuse.llm import decontaminate, jaccard, pfor, token_counts
+from aerofuse.llm import decontaminate, fingerprint, jaccard, language, pfor, token_counts
+from aerofuse.llm.deploy import send_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -15,6 +16,7 @@ ORACLES: dict = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -23,6 +25,20 @@ def query(function):
     return function
 
 
+@query
+def op1_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held = language.held_out()
+    model = language.fit(docs.where(~held))
+    found = docs.select("doc_id", held.alias("held_out"), language.identify("text", model).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.rejected")
+
+
 @query
 def op6_pfor_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = pfor.new_folder(spark)
