@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerofuse.llm import decontaminate, fingerprint, jaccard, language, pfor, token_counts
+from aerofuse.llm import decontaminate, fingerprint, jaccard, language, packing, pfor, token_counts
 from aerofuse.llm.deploy import send_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +39,11 @@ def op3_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.rejected")
 
 
+@query
+def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 @query
 def op6_pfor_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = pfor.new_folder(spark)
