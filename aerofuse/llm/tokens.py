@@ -36,6 +36,9 @@ def cuts_at_spaces(path: str) -> bool:
     )
 
 
+BLOCK_CHARS = 1_000_000  # code points whose units are held at a time
+
+
 class _Units(dict):
     """Number of each unit; one that is asked for first gets the next number and waits to be encoded."""
 
@@ -133,6 +136,16 @@ class Encoder:
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end to end, and the number of ids of each. None counts as empty."""
+        ends = np.cumsum([len(t or "") for t in texts])
+        found, lo = [(np.zeros(0, self.dtype), np.zeros(0, np.int64))], 0
+        while lo < len(texts):  # some at a time, for the memory that their units take
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK_CHARS, "right")))
+            found.append(self._some(texts[lo:hi]))
+            lo = hi
+        ids, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+        return ids, counts
+
+    def _some(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         counts = np.zeros(len(texts), np.int64)
         loose = [k for k, t in enumerate(texts) if t and not (self.by_unit and _can_be_cut(t))]
         if not loose:
