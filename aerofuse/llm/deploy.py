@@ -1,4 +1,4 @@
-"""Make the package importable in Python tasks, wherever the driver found it."""
+"""What Python tasks need: the package, wherever the driver found it, and batches that fit in memory."""
 
 from __future__ import annotations
 
@@ -8,9 +8,19 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+# Texts vary from a word to many megabytes, so a batch is bounded by rows and by bytes.
+BATCH_ROWS = "1000"
+BATCH_BYTES = "16m"
+
 _sent: set = set()
 
 
+def prepare_tasks(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    send_package(spark)
+
+
 def send_package(spark: SparkSession) -> None:
     """Hand the package to the executors once per application, as ``--py-files`` would."""
     context = spark.sparkContext

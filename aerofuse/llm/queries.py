@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerofuse.llm import decontaminate, fingerprint, jaccard, language, packing, pfor, token_counts
-from aerofuse.llm.deploy import send_package
+from aerofuse.llm.deploy import prepare_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -16,7 +16,7 @@ ORACLES: dict = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    send_package(spark)
+    prepare_tasks(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
