@@ -71,10 +71,10 @@ def _document_frequency(rows: DataFrame, dtype, terms: int) -> tuple[np.ndarray,
     """In how many documents each term occurs, the number of documents and their mean length."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(terms, np.int64)
+        total, distinct = np.zeros(terms, np.int64), _Distinct(terms)
         for batch in batches:
             for ids in batch.column(0):
-                total[np.unique(np.frombuffer(ids.as_buffer(), dtype))] += 1
+                total[distinct.of(np.frombuffer(ids.as_buffer(), dtype))[0]] += 1
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
 
@@ -86,17 +86,35 @@ def _document_frequency(rows: DataFrame, dtype, terms: int) -> tuple[np.ndarray,
     return out, size["n"], float(size["mean"] or 1)
 
 
+class _Distinct:
+    """Distinct terms of a text and their counts, by a mark per term instead of sorting."""
+
+    def __init__(self, terms: int) -> None:
+        self.marked = np.zeros(terms, bool)
+        self.place = np.zeros(terms, np.int64)
+
+    def of(self, ids: np.ndarray, counted: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        self.marked[ids] = True
+        found = np.flatnonzero(self.marked)
+        self.marked[found] = False
+        if not counted:
+            return found, None
+        self.place[found] = np.arange(len(found))
+        return found, np.bincount(self.place[ids], minlength=len(found))
+
+
 class Index:
     """BM25 inverted index of one shard."""
 
     def __init__(self, texts: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
         docs, terms, weights = [], [], []
+        distinct = _Distinct(len(idf))
         for k, ids in enumerate(texts):
-            term, count = np.unique(ids, return_counts=True)
+            term, count = distinct.of(ids, counted=True)
             docs.append(np.full(len(term), k, np.int32))
             terms.append(term)
             weights.append(count * (K1 + 1) / (count + K1 * (1 - B + B * len(ids) / mean)))
-        doc, term = np.concatenate(docs), np.concatenate(terms).astype(np.int64)
+        doc, term = np.concatenate(docs), np.concatenate(terms)
         weight = np.concatenate(weights) * idf[term]
         ends = np.cumsum([len(d) for d in docs])
         # The terms of each document that tell most about it, for its query.
