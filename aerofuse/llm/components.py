@@ -15,9 +15,9 @@ def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
     lineage; the number of rounds grows with the logarithm of the longest path.
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    stars, n = materialize_counted(
-        edges.where(F.col("a") != F.col("b")).select(
-            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-0")
+    apart = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # A node with many edges first ties its neighbours to the least of them, which leaves few edges.
+    stars, n = materialize_counted(_small_star(apart), f"{label}-0")
     for k in range(1, rounds + 1):
         if n == 0:
             break

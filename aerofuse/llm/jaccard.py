@@ -272,7 +272,8 @@ def near_classes(docs: DataFrame, drawn: DataFrame, threshold: float = THRESHOLD
         sized.select(F.col("node").alias("cls"), "root", "size").join(some.select("cls", "class_id", "values"), "cls"), "members")
     # One document of each class brings its shingles; a document of the same id and another class drops out.
     texts = docs.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).alias("text"))
-    wanted = members.select("class_id").distinct()
+    # The list of wanted documents grows with the input, so it is never broadcast.
+    wanted = members.select("class_id").distinct().hint("merge")
     sets = texts.join(wanted, texts["class_id"].eqNullSafe(wanted["class_id"]), "left_semi").select(
         "class_id", _shingles_of(F.col("text")).alias("s")).select("class_id", "s.cls", "s.shingles")
     full = members.join(sets.select("cls", "shingles").dropDuplicates(["cls"]), "cls")
