@@ -17,7 +17,7 @@ _MEETING = re.compile(r"\s\s")
 _FEED = ("\n",)
 _ENDINGS = ".,;:!?"
 
-MEMO_UNITS = 600_000  # distinct units remembered by a worker; the memory is emptied when full
+MEMO_UNITS = 1_200_000  # distinct units remembered by a worker; the memory is emptied when full
 
 
 def cuts_at_spaces(path: str) -> bool:
