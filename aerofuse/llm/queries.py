@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerofuse.llm import decontaminate, fingerprint, jaccard, language, packing, pfor, token_counts
+from aerofuse.llm import decontaminate, fingerprint, jaccard, language, line_runs, packing, pfor, token_counts, tool_calls, url_filter
 from aerofuse.llm.deploy import prepare_tasks
+from aerofuse.session import small_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -30,6 +31,64 @@ def op1_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+# Conversations hold no tool calls, so their turns are taken for some: a user turn calls ``reply`` and takes the
+# result of the call two turns earlier, a system turn calls ``setup``, an assistant turn is the result of the
+# call one turn earlier. Each seventh length is given as text, and ``setup`` lacks a parameter.
+TOOLS = [("reply", "chars", "BIGINT", True), ("reply", "digest", "STRING", True),
+         ("setup", "chars", "BIGINT", True), ("setup", "locale", "STRING", True), ("setup", "strict", "BOOLEAN", False)]
+
+
+def call_messages(conversations: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    chars = F.when(F.length(text) % 7 == 0, F.concat(F.lit('"'), F.length(text), F.lit('"'))).otherwise(F.length(text).cast("string"))
+    after = F.when(F.col("turn") >= 2, F.concat(F.lit('"c'), F.col("turn") - 2, F.lit('"'))).otherwise("null")
+    call = F.concat(
+        F.lit('{"tool_calls":[{"name":"'), F.when(F.col("role") == "user", "reply").otherwise("setup"), F.lit('","id":"c'), F.col("turn"),
+        F.lit('","after":'), F.when(F.col("role") == "user", after).otherwise("null"), F.lit(',"arguments":{'),
+        F.when(F.col("role") == "user", F.concat(F.lit('"digest":"'), F.md5(text), F.lit('"'))).otherwise('"strict":true'),
+        F.lit(',"chars":'), chars, F.lit("}}]}"))
+    result = F.to_json(F.struct(F.concat(F.lit("c"), F.col("turn") - 1).alias("tool_call_id"), text.alias("content")))
+    return conversations.where(F.col("role").isin("user", "system", "assistant")).select(
+        "conv_id", "turn", F.when(F.col("role") == "assistant", "tool").otherwise("assistant").alias("role"),
+        F.when(F.col("role") == "assistant", result).otherwise(call).alias("text"))
+
+
+@query
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schemas = small_table(spark, TOOLS, "tool string, parameter string, type string, required boolean")
+    linked = tool_calls.link(call_messages(_table(spark, sf_dir, "conversations")), schemas)
+    return linked.select(
+        "conv_id", "id", "name", F.col("turn").cast("long").alias("turn"), "depth", F.col("result_turn").cast("long").alias("result_turn"),
+        F.array_join("problems", ",").alias("problems"), "status", F.sha2("canonical", 256).alias("canonical_sha256"))
+
+
+ORACLES["op2_tool_calls"] = r"""
+WITH RECURSIVE turns AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS text FROM conversations),
+calls AS (
+    SELECT conv_id, 'c' || turn AS id, turn, CASE WHEN role = 'user' THEN 'reply' ELSE 'setup' END AS name, text,
+           CASE WHEN role = 'user' AND turn >= 2 THEN 'c' || (turn - 2) END AS after,
+           CASE WHEN length(text) % 7 = 0 THEN '"' || length(text) || '"' ELSE CAST(length(text) AS VARCHAR) END AS chars
+    FROM turns WHERE role IN ('user', 'system')),
+results AS (
+    SELECT conv_id, 'c' || (turn - 1) AS id, turn AS result_turn, text AS content FROM turns WHERE role = 'assistant'),
+chain AS (
+    SELECT conv_id, id, CAST(0 AS BIGINT) AS depth FROM calls WHERE after IS NULL
+    UNION ALL SELECT c.conv_id, c.id, h.depth + 1 FROM calls c JOIN chain h ON c.conv_id = h.conv_id AND c.after = h.id),
+joined AS (
+    SELECT c.*, r.result_turn, r.content, h.depth, array_to_string(list_filter([
+        CASE WHEN name = 'setup' THEN 'missing locale' END,
+        CASE WHEN chars LIKE '"%' THEN 'type chars' END], lambda x: x IS NOT NULL), ',') AS problems
+    FROM calls c LEFT JOIN results r USING (conv_id, id) LEFT JOIN chain h USING (conv_id, id))
+SELECT conv_id, id, name, turn, depth, result_turn, problems,
+       CASE WHEN depth IS NULL THEN 'unordered' WHEN problems <> '' THEN 'invalid'
+            WHEN result_turn IS NULL THEN 'unanswered' ELSE 'ok' END AS status,
+       sha256('{' || CASE WHEN after IS NULL THEN '' ELSE '"after":"' || after || '",' END
+           || '"arguments":{"chars":' || chars || CASE WHEN name = 'reply' THEN ',"digest":"' || md5(text) || '"' ELSE ',"strict":true' END
+           || '}' || CASE WHEN content IS NULL THEN '' ELSE ',"content":' || CAST(to_json(content) AS VARCHAR) END
+           || ',"id":"' || id || '","name":"' || name || '"}') AS canonical_sha256
+FROM joined"""
+
+
 @query
 def op3_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -39,6 +98,13 @@ def op3_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.rejected")
 
 
+@query
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_runs.without_copies(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.col("lines_deleted").cast("long").alias("lines_deleted"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 @query
 def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), BYTE_BPE)
@@ -89,6 +155,17 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
 FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)"""
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"), url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+@query
+def op8_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), BYTE_BPE)
