@@ -307,6 +307,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_i
     """
     found = materialize(near_join(docs, threshold, id_col, text_col), "near")
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    kept = kept.hint("merge")  # grows with the input, so it is never broadcast
     rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return rows
