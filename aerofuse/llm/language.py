@@ -6,7 +6,7 @@ spherical k-means on a bounded sample of its training texts (SAMPLE, a parameter
 the centroid with the greatest cosine wins.
 
 A text is rejected if it is too far from every centroid for its length: its cosine is below half the first
-percentile of the sample's own cosines in its class of length. A null text and one without any letter are
+percentile of the sample's own cosines in its class of length (or what that of the nearest class suggests). A null text and one without any letter are
 ``und``, with score 0, and rejected. Without labelled texts every text is.
 """
 
@@ -175,11 +175,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, tex
     model.centroids = np.array([r["centre"] for r in rows], np.float32).reshape(len(rows), DIMENSIONS)
     length = np.array([x for r in rows for x in r["length"]], np.int64)
     cosine = np.array([x for r in rows for x in r["cosine"]])
-    last = 0.0
-    for k in range(LENGTHS):  # a class with few texts takes the limit of the next shorter one
-        own = cosine[length == k]
-        last = 0.5 * float(np.quantile(own, 0.01)) if len(own) >= 20 else last
-        model.floor[k] = last
+    measured = [k for k in range(LENGTHS) if (length == k).sum() >= 20]
+    for k in measured:
+        model.floor[k] = 0.5 * np.quantile(cosine[length == k], 0.01)
+    # A class with few texts takes the limit of the next shorter one; below the shortest the limit falls with
+    # the root of the length, as cosines do.
+    for k in range(measured[0] + 1 if measured else LENGTHS, LENGTHS):
+        model.floor[k] = model.floor[k] if k in measured else model.floor[k - 1]
+    for k in range(measured[0] - 1 if measured else -1, -1, -1):
+        model.floor[k] = model.floor[k + 1] / np.sqrt(2)
     return model
 
 

@@ -79,13 +79,14 @@ def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     declared = schemas.select(F.col("tool").alias("name"), "parameter", F.col("type").alias("wanted"), "required")
     value = F.expr("try_variant_get(v, concat('$[\"', parameter, '\"]'), 'variant')")
     typed = given.withColumn("kind", F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0))
-    checked = typed.join(declared, ["name", "parameter"], "left").select("conv_id", "id", F.when(
+    tools = declared.select("name").distinct()
+    checked = typed.join(tools, "name", "left_semi").join(declared, ["name", "parameter"], "left").select("conv_id", "id", F.when(
         F.col("wanted").isNull(), F.concat(F.lit("unknown "), "parameter")).when(
         F.col("kind") != F.col("wanted"), F.concat(F.lit("type "), "parameter")).alias("problem")).where("problem IS NOT NULL")
     needed = parsed.select("conv_id", "id", "name", F.coalesce(F.map_keys(keys), F.array().cast("array<string>")).alias("has")).join(
         declared.where("required"), "name").where(~F.array_contains("has", F.col("parameter"))).select(
         "conv_id", "id", F.concat(F.lit("missing "), "parameter").alias("problem"))
-    unknown = parsed.join(declared.select("name").distinct(), "name", "left_anti").select("conv_id", "id", F.lit("unknown tool").alias("problem"))
+    unknown = parsed.join(tools, "name", "left_anti").select("conv_id", "id", F.lit("unknown tool").alias("problem"))
     return checked.union(needed).union(unknown).groupBy("conv_id", "id").agg(F.array_sort(F.collect_set("problem")).alias("problems"))
 
 

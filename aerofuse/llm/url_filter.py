@@ -65,7 +65,6 @@ def lexical(urls: DataFrame) -> DataFrame:
     per = F.greatest(F.length(url), F.lit(1))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     suffix = F.element_at(F.split(host, r"\."), -1)
-    first = F.element_at(F.split(host, r"\."), 1)
     values = {
         "length": F.length(url), "host_length": F.length(host), "labels": F.size(F.split(host, r"\.")),
         "depth": F.regexp_count(path, F.lit("/[^/]")), "digits": F.regexp_count(url, F.lit("[0-9]")) / per,
@@ -74,7 +73,7 @@ def lexical(urls: DataFrame) -> DataFrame:
         "fragment": F.instr(url, "#") > 0, "secure": url.startswith("https"), "suffix_length": F.length(suffix),
         "last_digits": F.regexp_count(F.element_at(F.split(path, "/"), -1), F.lit("[0-9]")),
     }
-    return urls.select("*", suffix.alias("suffix"), F.concat_ws("/", suffix, F.element_at(F.split(path, "/"), 2)).alias("first"),
+    return urls.select("*", suffix.alias("suffix"), F.concat_ws("/", suffix, F.get(F.split(path, "/"), F.lit(1))).alias("first"),
                        *(F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in values.items()))
 
 
