@@ -37,17 +37,19 @@ def ingest_dedup(obs_long):
 
 def ingest_stream(spark: SparkSession, sf_dir: str):
     prepare(spark)
-    arrivals = spark_view(spark, sf_dir, "obs_long", events=_event_stream(spark, sf_dir))
-    fresh = ingest.first_arrivals(arrivals).select(
-        "station_id", "parameter", F.col("time").cast("timestamp_ntz").alias("time")
-    )
-    return _run(fresh, "ingest")
+    arrivals = spark_view(spark, sf_dir, "obs_long", events=_event_stream(spark, sf_dir)).select(
+        "station_id", "parameter", "time", "event_id", "value")
+    path = landing_path(arrivals, "ingest")
+    ingest.add_new(arrivals, f"{path}/rows", f"{path}/state", "event_id").awaitTermination()
+    return spark.read.parquet(f"{path}/rows").select(*arrivals.columns)
 
 
 def stream_24h(spark: SparkSession, sf_dir: str):
     prepare(spark)
     arrivals = spark_view(spark, sf_dir, "obs", events=_event_stream(spark, sf_dir))
-    return rounded(_run(ingest.daily_means(arrivals, "pm25"), "daily"))
+    path = landing_path(arrivals, "daily")
+    ingest.add_daily_sums(arrivals, f"{path}/rows", f"{path}/state", "pm25").awaitTermination()
+    return rounded(ingest.daily_means(spark.read.parquet(f"{path}/rows")))
 
 
 def stream_score(spark: SparkSession, sf_dir: str):
@@ -62,20 +64,16 @@ def stream_score(spark: SparkSession, sf_dir: str):
     return _run(scored, "scored", ["date"])
 
 
+ORACLE_FIRSTS = part.oracles["ingest_dedup"]
 QUERIES = {
     **part.queries, "ingest_stream": ingest_stream, "stream_24h": stream_24h, "stream_score": stream_score,
 }
 ORACLES = {
     **part.oracles,
-    "ingest_stream": with_views(
-        "SELECT DISTINCT station_id, parameter, time FROM obs_long", ("obs_long",)
-    ),
-    # Only days the watermark (latest time less one day) has passed are emitted.
+    "ingest_stream": ORACLE_FIRSTS,
     "stream_24h": with_views(
-        """, days AS (
-            SELECT station_id, CAST(date_trunc('day', time) AS TIMESTAMP) AS start, round(avg(pm25), 6) AS mean,
-                   count(pm25) AS n FROM obs GROUP BY 1, 2)
-        SELECT * FROM days
-        WHERE start + INTERVAL '1' DAY <= (SELECT max(time) FROM obs) - INTERVAL '1' DAY""", ("obs",)
+        """
+        SELECT station_id, CAST(date_trunc('day', time) AS TIMESTAMP) AS start, round(avg(pm25), 6) AS mean,
+               count(pm25) AS n FROM obs GROUP BY 1, 2""", ("obs",)
     ),
 }

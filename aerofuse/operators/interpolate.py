@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerofuse.operators.ordering import exact_medians, range_shards, with_known_neighbours
-from aerofuse.session import materialize_counted
+from aerofuse.session import materialize
 
 
 def _between(value: Column, before: Column, after: Column) -> Column:
@@ -37,9 +37,9 @@ def interpolate_linear(df: DataFrame, columns: Sequence[str], *, order_by: Seque
     return swept.select(*(filled[c].alias(c) if c in filled else F.col(c) for c in df.columns))
 
 
-def fill_median(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> DataFrame:
+def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace what is missing by the column's exact median; a column without values stays NULL."""
-    medians = {c: m for c, m in exact_medians(df, columns, rows=rows).items() if m is not None}
+    medians = {c: m for c, m in exact_medians(df, columns).items() if m is not None}
     return df.fillna(medians) if medians else df
 
 
@@ -68,5 +68,5 @@ def impute(df: DataFrame, columns: Sequence[str], *, order_by: Sequence[str],
     filled = interpolate_linear(numbers, gappy, order_by=order_by, partition_by=partition_by)
     if not unknown:
         return filled
-    written, rows = materialize_counted(filled, "interpolated")
-    return fill_median(written, unknown, rows)
+    written = materialize(filled, "interpolated")
+    return fill_median(written, unknown)

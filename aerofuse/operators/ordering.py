@@ -11,6 +11,7 @@ Two tools:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -28,8 +29,6 @@ SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 BINS = 4096
 # A search stops narrowing when so few rows are left that they can be looked at directly.
 FEW = 10_000
-# Below this many rows Spark's own exact median is used; its per-group value table is then small.
-DIRECT_ROWS = 2_000_000
 
 
 def range_shards(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -165,8 +164,10 @@ def _bin(value: Column, bracket: _Bracket, integral: bool) -> Column:
     if integral:
         width = (bracket.high - bracket.low) // BINS + 1
         return F.call_function("div", value - F.lit(bracket.low), F.lit(width)).cast("int")
-    span = bracket.high - bracket.low
-    return F.least(F.floor((value - F.lit(bracket.low)) / F.lit(span) * BINS), F.lit(BINS - 1)).cast("int")
+    low, high = bracket.low, bracket.high
+    if math.isinf(high - low):  # finite ends too far apart for a double
+        value, low, high = value / 2, low / 2, high / 2
+    return F.least(F.floor((value - F.lit(low)) / F.lit(high - low) * BINS), F.lit(BINS - 1)).cast("int")
 
 
 def _inside(df: DataFrame, searches: Sequence[tuple[int, str, _Bracket]], integral: bool) -> DataFrame:
@@ -201,7 +202,10 @@ def _brackets(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int) -> lis
             .collect()
         )
         for i in pending:
-            found[i] = found[i].narrowed([r for r in bins if r["search"] == i], wanted[i][1])
+            narrowed = found[i].narrowed([r for r in bins if r["search"] == i], wanted[i][1])
+            if narrowed.rows >= found[i].rows:
+                raise ArithmeticError(f"the search in {wanted[i][0]} does not narrow: {narrowed}")
+            found[i] = narrowed
     return found
 
 
@@ -253,23 +257,36 @@ def first_rows(df: DataFrame, order: Sequence[Column], rows: int) -> Column:
     return at_or_before(order, cut_at_rank(keys, names, rows - 1))
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS,
-                  rows: int | None = None) -> dict[str, float | None]:
-    """Exact median of several columns, NULL ignored; ``None`` for a column without values. ``rows``
-    may give the known number of rows.
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact median of several columns, NULL and NaN ignored; ``None`` for a column without values.
 
-    Small inputs use Spark's ``median``, which keeps every distinct value of a column in one
-    buffer. Past ``direct_rows`` the histogram search is used, whose state does not grow.
+    Infinite values are counted and stand at the ends; the search goes over the finite ones.
     """
-    typed = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    medians = typed.agg(*(F.median(c).alias(c) for c in columns))
-    if rows is not None and rows <= direct_rows:
-        return medians.first().asDict()
-    counts = typed.agg(*(F.count(c).alias(c) for c in columns)).first()
-    if max(counts) <= direct_rows:
-        return medians.first().asDict()
-    filled = [c for c in columns if counts[c]]
-    wanted = [(c, rank) for c in filled for rank in ((counts[c] - 1) // 2, counts[c] // 2)]
-    values = values_at_ranks(typed, wanted) if wanted else []
-    middles = {c: (values[2 * i] + values[2 * i + 1]) / 2 for i, c in enumerate(filled)}
-    return {c: middles.get(c) for c in columns}
+    typed = df.select(*(_number(F.col(c).cast("double")).alias(c) for c in columns))
+    infinite = F.lit(float("inf"))
+    counts = typed.agg(*(
+        F.count(F.when(condition, 1)).alias(f"{name}_{c}") for c in columns
+        for name, condition in (("low", F.col(c) == -infinite), ("mid", F.abs(F.col(c)) < infinite), ("high", F.col(c) == infinite))
+    )).first()
+    finite = typed.select(*(F.when(F.abs(F.col(c)) < infinite, F.col(c)).alias(c) for c in columns))
+    wanted, ends = [], {}
+    for c in columns:
+        low, mid, high = (counts[f"{name}_{c}"] for name in ("low", "mid", "high"))
+        total = low + mid + high
+        for rank in sorted({(total - 1) // 2, total // 2}) if total else ():
+            if low <= rank < low + mid:
+                wanted.append((c, rank - low))
+                ends.setdefault(c, []).append(None)
+            else:
+                ends.setdefault(c, []).append(-math.inf if rank < low else math.inf)
+    found = iter(values_at_ranks(finite, wanted) if wanted else [])
+    return {c: _middle([next(found) if v is None else v for v in ends[c]]) if c in ends else None for c in columns}
+
+
+def _number(value: Column) -> Column:
+    return F.when(~F.isnan(value), value)
+
+
+def _middle(values: list[float]) -> float:
+    total = values[0] + values[-1]
+    return total / 2 if math.isfinite(total) or not all(map(math.isfinite, values)) else values[0] / 2 + values[-1] / 2

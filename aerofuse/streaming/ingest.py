@@ -32,14 +32,6 @@ def read_arrivals(spark: SparkSession, folder: str, schema: T.StructType | str,
     return reader.format(file_format).load(folder)
 
 
-def first_arrivals(stream: DataFrame, lateness: str = "7 days", keys: Sequence[str] = KEYS,
-                   time: str = "time") -> DataFrame:
-    """Drop repeated measurements; state older than the lateness is given up."""
-    return stream.withColumn(time, F.col(time).cast("timestamp_ltz")).withWatermark(
-        time, lateness
-    ).dropDuplicatesWithinWatermark(list(keys))
-
-
 def first_of_batch(df: DataFrame, order: str, keys: Sequence[str] = KEYS, known: DataFrame | None = None) -> DataFrame:
     """Batch twin: the first row in ``order`` per key, without the keys already ``known``."""
     others = [c for c in df.columns if c not in (*keys, order)]
@@ -51,14 +43,57 @@ def first_of_batch(df: DataFrame, order: str, keys: Sequence[str] = KEYS, known:
     return rows.join(known.select(*keys), list(keys), "left_anti")
 
 
-def daily_means(stream: DataFrame, value: str, lateness: str = "1 day", station: str = "station_id",
-                time: str = "time") -> DataFrame:
-    """Tumbling 24-hour mean per station; a day is emitted once the watermark has passed its end."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp_ltz")).withWatermark(time, lateness)
-    days = timed.groupBy(station, F.window(time, "24 hours").alias("day")).agg(
-        F.avg(value).alias("mean"), F.count(value).alias("n")
-    )
-    return days.select(station, F.col("day.start").cast("timestamp_ntz").alias("start"), "mean", "n")
+def add_new(stream: DataFrame, path: str, checkpoint: str, order: str, keys: Sequence[str] = KEYS,
+            time: str = "time") -> StreamingQuery:
+    """Append each measurement once to the table under ``path``, however late or often it arrives.
+
+    A batch keeps its first row per key in ``order`` and leaves out keys that earlier batches have written,
+    looked up in the days that the batch touches. It is written to a folder of its own number, which a
+    repeated batch replaces, so a retry adds nothing twice. Read the table with ``Spark.read.parquet``.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("date", F.to_date(time))
+        known = _earlier(batch, path, number)
+        if known is not None:
+            days = rows.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+            known = known.where(F.col("date").between(days["low"], days["high"])) if days["low"] else known.limit(0)
+        fresh = first_of_batch(rows, order, keys, known)
+        fresh.repartition("date").write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={number}")
+
+    return _by_batch(stream, add, checkpoint)
+
+
+def add_daily_sums(stream: DataFrame, path: str, checkpoint: str, value: str, station: str = "station_id",
+                   time: str = "time") -> StreamingQuery:
+    """Append each batch's sums and counts per station and day; ``daily_means`` adds them up."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        day = F.date_trunc("day", F.col(time).cast("timestamp_ltz")).cast("timestamp_ntz").alias("start")
+        sums = batch.groupBy(station, day).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+        sums.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return _by_batch(stream, add, checkpoint)
+
+
+def daily_means(sums: DataFrame, station: str = "station_id") -> DataFrame:
+    """24-hour mean per station of all days, late rows included, from the table that ``add_daily_sums`` writes."""
+    total = sums.groupBy(station, "start").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return total.select(station, "start", (F.col("total") / F.nullif(F.col("n"), F.lit(0))).alias("mean"), "n")
+
+
+def _earlier(batch: DataFrame, path: str, number: int) -> DataFrame | None:
+    """Rows that batches before this one have written."""
+    spark = batch.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if number == 0 or not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    schema = T.StructType([*batch.schema.fields, T.StructField("date", T.DateType()), T.StructField("batch", T.LongType())])
+    return spark.read.schema(schema).parquet(path).where(F.col("batch") < number)
+
+
+def _by_batch(stream: DataFrame, add, checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def score_stream(stream: DataFrame, model: PipelineModel, params: TrainingParams = TrainingParams(),

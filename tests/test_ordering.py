@@ -111,15 +111,26 @@ def test_values_at_ranks_equal_a_sort(spark, name, few):
         assert got == [sorted(values)[r] for r in ranks]
 
 
-def test_large_and_small_medians_agree(spark):
+def test_medians_equal_those_of_numpy(spark, monkeypatch):
     rng = random.Random(3)
-    rows = [(rng.gauss(0, 1), float(rng.randrange(5)) if i % 3 else None, None) for i in range(1000)]
-    df = spark.createDataFrame(rows, "a double, b double, c double")
-    direct = ordering.exact_medians(df, ["a", "b", "c"])
-    searched = ordering.exact_medians(df, ["a", "b", "c"], direct_rows=0)
-    assert direct == searched and direct["c"] is None
-    assert searched["a"] == pytest.approx(float(np.median([r[0] for r in rows])), rel=1e-15)
-    assert searched["b"] == float(np.median([r[1] for r in rows if r[1] is not None]))
+    inf = float("inf")
+    columns = {
+        "a": [rng.gauss(0, 1) for _ in range(1000)],
+        "b": [float(rng.randrange(5)) if i % 3 else None for i in range(1000)],
+        "c": [None] * 1000,
+        "d": [inf if i % 3 == 0 else -inf if i % 7 == 0 else rng.random() for i in range(1000)],
+        "e": [float("nan") if i % 2 else 1.7e308 * rng.uniform(-1, 1) for i in range(1000)],
+        "f": [inf if i % 5 else 1.0 for i in range(1000)],
+        "g": [3.5] + [None] * 999,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns))
+    for few in (10_000, 0):
+        monkeypatch.setattr(ordering.values_at_ranks, "__defaults__", (few,))
+        got = ordering.exact_medians(df, list(columns))
+        assert got.pop("c") is None
+        for c, value in got.items():
+            known = [v for v in columns[c] if v is not None and v == v]
+            assert value == pytest.approx(float(np.median(known)), rel=1e-15)
 
 
 @pytest.mark.parametrize("few", [0, 10_000])

@@ -18,27 +18,32 @@ def rows_at(hours, value=1.0, station="s"):
     return [(station, "pm25", START + timedelta(hours=h), value) for h in hours]
 
 
-def run(spark, folder, transform, out):
-    stream = ingest.read_arrivals(spark, f"{folder}/*", SCHEMA)
-    ingest.write_available(transform(stream), f"{out}/rows", f"{out}/state").awaitTermination()
+def refresh(spark, folder, out, files=1000):
+    stream = ingest.read_arrivals(spark, f"{folder}/*", SCHEMA, files_per_batch=files)
+    ingest.add_new(stream, f"{out}/rows", f"{out}/state", "value").awaitTermination()
     return spark.read.parquet(f"{out}/rows")
 
 
-@pytest.mark.parametrize("disk_state", [False, True])
-def test_overlapping_refresh_adds_each_measurement_once(spark, tmp_path, disk_state):
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    try:
-        if disk_state:
-            ingest.use_disk_state(spark)
-        folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-        arrive(spark, folder, "week1", rows_at(range(10)) + rows_at(range(3)))
-        assert run(spark, folder, ingest.first_arrivals, out).count() == 10
-        # The next run reads only the new file; what overlaps with the first is dropped.
-        arrive(spark, folder, "week2", rows_at(range(5, 15)))
-        assert run(spark, folder, ingest.first_arrivals, out).count() == 15
-    finally:
-        spark.conf.set(provider, before)
+def test_overlapping_refresh_adds_each_measurement_once(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    arrive(spark, folder, "week1", rows_at(range(10)) + rows_at(range(3), 2.0))
+    assert refresh(spark, folder, out).count() == 10
+    # The next run reads only the new file; what overlaps with the first is dropped.
+    arrive(spark, folder, "week2", rows_at(range(5, 15), 3.0))
+    got = refresh(spark, folder, out).collect()
+    assert len(got) == 15 and sorted(r["value"] for r in got) == [1.0] * 10 + [3.0] * 5
+
+
+@pytest.mark.parametrize("files", [1, 2, 1000])
+def test_late_files_lose_nothing(spark, tmp_path, files):
+    folder = str(tmp_path / "in")
+    for k, first_day in enumerate((210, 150, 30, 0)):  # the newest arrives first
+        arrive(spark, folder, f"f{k}", rows_at(range(24 * first_day, 24 * (first_day + 10), 24), float(k)) + rows_at([24 * first_day], float(k)))
+    assert refresh(spark, folder, str(tmp_path / "out"), files).count() == 40
+    stream = ingest.read_arrivals(spark, f"{folder}/*", SCHEMA, files_per_batch=files)
+    ingest.add_daily_sums(stream, f"{tmp_path}/sums", f"{tmp_path}/sums-state", "value").awaitTermination()
+    means = ingest.daily_means(spark.read.parquet(f"{tmp_path}/sums")).collect()
+    assert len(means) == 40 and sum(r["n"] for r in means) == 44
 
 
 def test_batch_twin_keeps_the_first_and_skips_the_known(spark):
@@ -49,13 +54,3 @@ def test_batch_twin_keeps_the_first_and_skips_the_known(spark):
     assert {(r["station_id"], r["value"]) for r in ingest.first_of_batch(df, "seq").collect()} == {("s", 1.0), ("t", 3.0)}
     left = ingest.first_of_batch(df, "seq", known=df.where("station_id = 's'")).collect()
     assert [r["station_id"] for r in left] == ["t"]
-
-
-def test_daily_means_wait_for_the_watermark(spark, tmp_path):
-    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    means = lambda stream: ingest.daily_means(stream, "value", lateness="6 hours")
-    arrive(spark, folder, "a", rows_at([0, 12], 10.0) + rows_at([23], 40.0) + rows_at([26], 99.0))
-    assert run(spark, folder, means, out).count() == 0
-    arrive(spark, folder, "b", rows_at([40], 1.0))
-    got = run(spark, folder, means, out).collect()
-    assert [(r["start"], r["mean"], r["n"]) for r in got] == [(START, 20.0, 3)]
