@@ -9,6 +9,7 @@ import argparse
 from datetime import datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from aerofuse import sources
 from aerofuse.params import ForestParams, FusionParams, TrainingParams
@@ -40,6 +41,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     train.add_argument("--output", required=True)
     train.add_argument("--trees", type=int, default=ForestParams.trees)
     train.add_argument("--max-depth", type=int, default=ForestParams.max_depth)
+    train.add_argument("--fit-rows", type=int, help="most training rows to fit on; all, if left out")
     train.add_argument("--ordered", action="store_true", help="test on the latest rows instead of shuffled ones")
 
     score = jobs.add_parser("score", help="add predicted_pm25 to a table")
@@ -68,10 +70,11 @@ def _fuse(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     params = TrainingParams(
-        shuffle=not args.ordered, forest=ForestParams(trees=args.trees, max_depth=args.max_depth)
+        shuffle=not args.ordered, forest=ForestParams(trees=args.trees, max_depth=args.max_depth), fit_rows=args.fit_rows,
     )
     path = sources.first_existing(spark, args.input)
-    table = sources.read_unified(spark, path, args.format, required=[*params.features[:-1], params.target])
+    measured = [f for f in params.features if f != "day_of_year"]  # derived from the time by preprocess
+    table = sources.read_unified(spark, path, args.format, required=[*measured, params.target])
     order = [*(["time"] if "time" in table.columns else []), *args.key]
     ready = materialize(preprocess(table, params, order_by=order, partition_by=args.series), "prepared")
     _, metrics = training.train_and_evaluate(ready, args.key, params, args.output)
@@ -79,7 +82,9 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _score(spark: SparkSession, args: argparse.Namespace) -> None:
-    table = sources.read_unified(spark, args.input, args.format, required=TrainingParams.features)
+    table = sources.read_unified(spark, args.input, args.format, required=())
+    if "day_of_year" not in table.columns and "time" in table.columns:
+        table = table.withColumn("day_of_year", F.dayofyear("time"))
     training.score_file(training.load_model(args.model), table, args.output, file_format=args.format)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aerofuse.catalog.binding import Part, rounded
 from aerofuse.operators.asof import asof_join
-from aerofuse.operators.reshape import merge_pm10
+from aerofuse.operators.reshape import latest_measurements, merge_pm10
 from aerofuse.operators.spatial import coverage_gaps, grid_skeleton, nearest_within, place_of, regrid_mean
 from aerofuse.operators.update import match_update as update_near
 from aerofuse.params import FusionParams
@@ -149,7 +149,7 @@ WIDE_MEASURED_SQL = """
            CASE WHEN n.event_id IS NULL THEN t.pm25 ELSE n.m25 END AS pm25, coalesce(n.m10, t.pm10) AS pm10
     FROM station_rows t LEFT JOIN u_new n ON t.event_id = n.event_id""")
 def match_update(station_rows, measured):
-    wide = merge_pm10(measured, key="event_id")
+    wide = latest_measurements(measured, "event_id")
     return update_near(
         station_rows, wide, target_key="event_id", observation_order=("event_id", "pm10_event_id")
     )
@@ -184,10 +184,17 @@ def pm_left_merge(obs_long):
 
 @part.query("obs_long", sql="""
     SELECT a.event_id, a.station_id, a.time, a.value AS pm25, b.value AS pm10
-    FROM obs_long a LEFT JOIN (SELECT * FROM obs_long WHERE parameter = 'pm10') b ON a.time = b.time
+    FROM obs_long a LEFT JOIN (
+        SELECT station_id, time, arg_max(value, event_id) AS value FROM obs_long WHERE parameter = 'pm10'
+        GROUP BY station_id, time) b ON a.station_id = b.station_id AND a.time = b.time
     WHERE a.parameter = 'pm25'""")
 def pm_time_merge(obs_long):
-    return merge_pm10(obs_long, on=("time",)).select("event_id", "station_id", "time", "pm25", "pm10")
+    """One coarse reading per station and instant, the last, so that no fine reading is repeated."""
+    on = ["station_id", "time"]
+    coarse = obs_long.where("parameter = 'pm10'").groupBy(*on).agg(F.max_by("value", "event_id").alias("value"))
+    fine = obs_long.where("parameter = 'pm25'").select(*on, "parameter", "value", "event_id")
+    both = fine.unionByName(coarse.withColumn("parameter", F.lit("pm10")), allowMissingColumns=True)
+    return merge_pm10(both, on=on).select("event_id", "station_id", "time", "pm25", "pm10")
 
 
 def _daily_grid(aerosol):

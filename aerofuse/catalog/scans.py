@@ -82,12 +82,19 @@ def json_flatten(obs_long):
     return sources.flatten_landing(sources.read_table(obs_long.sparkSession, path, schemas.LANDING, "json"))
 
 
+def _by_day(df, time: str, where):
+    """The table laid down in folders by day, and what ``where`` keeps of it."""
+    path = landing_path(df, "days")
+    sources.append_log(df, path, time)
+    return sources.read_table(df.sparkSession, path, df.schema.add("date", "date"), where=where)
+
+
 @part.query("events", sql="""
     SELECT event_id, ts, value FROM events
     WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-12 06:00:00'""")
 def date_range_scan(events):
-    kept = sources.between_dates(events, datetime(2024, 1, 5), datetime(2024, 1, 12, 6), time="ts")
-    return kept.select("event_id", "ts", "value")
+    wanted = sources.within_dates(datetime(2024, 1, 5), datetime(2024, 1, 12, 6), "ts", day="date")
+    return _by_day(events, "ts", wanted).select("event_id", "ts", "value")
 
 
 @part.query("obs", "stations", sql="""
@@ -102,16 +109,19 @@ def station_semi(obs, stations):
     SELECT lat, lon, time, l_orderkey, l_linenumber FROM aerosol
     WHERE lat BETWEEN 10 AND 20 AND lon BETWEEN 70 AND 80""")
 def bbox_filter(aerosol):
-    box = sources.in_box(aerosol, lat_min=10, lat_max=20, lon_min=70, lon_max=80)
-    return box.select("lat", "lon", "time", "l_orderkey", "l_linenumber")
+    wanted = sources.within_box(lat_min=10, lat_max=20, lon_min=70, lon_max=80)
+    return _by_day(aerosol, "time", wanted).select("lat", "lon", "time", "l_orderkey", "l_linenumber")
 
 
 @part.query("orders", sql="""
     SELECT o_orderkey, o_orderdate FROM orders
     WHERE year(o_orderdate) * 12 + month(o_orderdate) BETWEEN 1994 * 12 + 11 AND 1996 * 12 + 2""")
 def month_scan(orders):
-    kept = sources.in_months(orders, date(1994, 11, 17), date(1996, 2, 3), time="o_orderdate")
-    return kept.select("o_orderkey", "o_orderdate")
+    wanted = sources.within_months(date(1994, 11, 17), date(1996, 2, 3), "o_orderdate", day="date")
+    path = landing_path(orders, "months")
+    rows = orders.withColumn("date", F.trunc("o_orderdate", "month"))
+    sources.write_table(rows, path, partition_by=["date"])
+    return sources.read_table(orders.sparkSession, path, rows.schema, where=wanted).select("o_orderkey", "o_orderdate")
 
 
 @part.query("obs_long", sql="""

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from aerofuse.catalog.binding import Part, rounded
 from aerofuse.catalog.fixtures import BASE_TABLES, spark_view, with_views
-from aerofuse.catalog.models import PARAMS, prepared
+from aerofuse.catalog.models import FEATURES, PARAMS, fitted, in_range
 from aerofuse.catalog.scans import landing_path
-from aerofuse.plans.training import train_forest
 from aerofuse.session import prepare
 from aerofuse.streaming import ingest
 
@@ -54,14 +53,15 @@ def stream_24h(spark: SparkSession, sf_dir: str):
 
 def stream_score(spark: SparkSession, sf_dir: str):
     prepare(spark)
-    model = train_forest(prepared(spark_view(spark, sf_dir, "features")), PARAMS)
+    model, ready = fitted(spark, sf_dir)
     arrivals = spark_view(spark, sf_dir, "features", events=_event_stream(spark, sf_dir)).withColumn(
         "day_of_year", F.dayofyear("time")
     )
     scored = ingest.score_stream(arrivals, model, PARAMS).select(
         "event_id", "station_id", "time", "predicted_pm25", "date"
     )
-    return _run(scored, "scored", ["date"])
+    kept = _run(scored, "scored", ["date"])
+    return kept.select("event_id", "station_id", "time", "date", in_range("predicted_pm25", ready).alias("in_range"))
 
 
 ORACLE_FIRSTS = part.oracles["ingest_dedup"]
@@ -70,6 +70,13 @@ QUERIES = {
 }
 ORACLES = {
     **part.oracles,
+    # A row is scored where no feature is missing.
+    "stream_score": with_views(
+        f"""
+        SELECT event_id, station_id, time, CAST(time AS DATE) AS date,
+               {' AND '.join(f'{f} IS NOT NULL' for f in FEATURES if f != 'day_of_year')} AS in_range
+        FROM features""", ("features",)
+    ),
     "ingest_stream": ORACLE_FIRSTS,
     "stream_24h": with_views(
         """

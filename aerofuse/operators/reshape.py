@@ -42,6 +42,27 @@ def merge_pm10(long: DataFrame, on: Sequence[str] = ("time", "lat", "lon"), key:
     return estimate_pm10(fine.join(coarse, list(on), "left"), long)
 
 
+def latest_measurements(long: DataFrame, key: str, on: Sequence[str] = ("time", "lat", "lon")) -> DataFrame:
+    """One row per ``on`` that has a fine reading: the last fine and the last known coarse one, by ``key``.
+
+    The columns are those of ``merge_pm10(..., key=key)``, without its repetitions: where only the last
+    reading counts, as in ``match_update``, the result is the same. One scan, combined map-side.
+    """
+    fine, coarse = F.col("parameter") == "pm25", (F.col("parameter") == "pm10") & F.col("value").isNotNull()
+    last = long.where(F.col("parameter").isin("pm25", "pm10")).groupBy(*on).agg(
+        F.max(F.when(fine, F.struct(key, "value"))).alias("fine"),
+        F.max(F.when(coarse, F.struct(key, "value"))).alias("coarse"),
+    )
+    wide = last.where(F.col("fine").isNotNull()).select(
+        *on,
+        F.col(f"fine.{key}").alias(key),
+        F.col("fine.value").alias("pm25"),
+        F.col(f"coarse.{key}").alias(f"pm10_{key}"),
+        F.col("coarse.value").alias("pm10"),
+    )
+    return estimate_pm10(wide, long)
+
+
 def estimate_pm10(wide: DataFrame, long: DataFrame) -> DataFrame:
     """Estimate coarse readings only where the long input has none for any row."""
     has_coarse = long.where(F.col("parameter") == "pm10").select(F.lit(1)).exists()

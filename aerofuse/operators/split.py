@@ -43,3 +43,14 @@ def split(df: DataFrame, params: TrainingParams, key: Sequence[str], time: str =
     """(train rows, test rows)."""
     marked = mark_test(df, params, key, time, "_is_test")
     return marked.where("not _is_test").drop("_is_test"), marked.where("_is_test").drop("_is_test")
+
+
+def rows_to_fit(train: DataFrame, params: TrainingParams, key: Sequence[str], partition_rows: int = 5_000) -> DataFrame:
+    """All training rows, or exactly ``params.fit_rows`` of them: those whose digest ranks lowest.
+
+    The chosen rows are dealt by key and ordered, so that the same rows give the same forest.
+    """
+    if params.fit_rows is None or train.count() <= params.fit_rows:
+        return train
+    chosen = train.where(first_rows(train, _shuffled(key, params.seed), params.fit_rows))
+    return chosen.repartition(-(-params.fit_rows // partition_rows), *key).sortWithinPartitions(*key)

@@ -22,8 +22,8 @@ from aerofuse.operators.spatial import PLACE, places
 from aerofuse.session import micros
 
 ROUTES = ("places", "moments", "auto")
-# Close places per place above which rows meet in cells of place and time instead.
-MAX_CLOSE_PLACES = 1000
+# Target places in one cell above which rows meet in cells of place and time instead.
+MAX_CELL_PLACES = 1000
 
 
 def _cell(name: str, degrees: float) -> Column:
@@ -51,16 +51,10 @@ def close_places(left: DataFrame, right: DataFrame, degrees: float) -> DataFrame
     return _around(places(left), degrees).join(near, ["_y", "_x"]).where(_close(degrees)).drop("_y", "_x")
 
 
-def close_places_per_place(left: DataFrame, right: DataFrame, degrees: float) -> float:
-    """Upper bound of the mean number of close places, from counts per cell."""
-    near = _in_cell(places(right), degrees).groupBy("_y", "_x").agg(F.count("*").alias("n_near"))
-    around = _around(places(left), degrees).groupBy("_y", "_x").agg(F.count("*").alias("n_around"))
-    row = around.join(near, ["_y", "_x"], "full").agg(
-        F.sum(F.col("n_near").cast("double") * F.col("n_around")).alias("pairs"),
-        F.sum("n_near").alias("near"),
-        (F.sum("n_around") / 9).alias("left"),
-    ).first()
-    return (row["pairs"] or 0.0) / max(row["near"] or 0, row["left"] or 0, 1)
+def places_in_largest_cell(sites: DataFrame, degrees: float) -> int:
+    """An observed place meets the places of nine cells, so it has at most nine times as many close ones."""
+    cells = _in_cell(places(sites), degrees).groupBy("_y", "_x").count()
+    return cells.agg(F.max("count")).first()[0] or 0
 
 
 def _found_by_place(observations: DataFrame, firsts: DataFrame, sites: DataFrame, within: timedelta,
@@ -125,7 +119,7 @@ def match_update(
     if route not in ROUTES:
         raise ValueError(f"route must be one of {', '.join(ROUTES)}")
     if route == "auto":
-        crowded = close_places_per_place(observations, sites, degrees) > MAX_CLOSE_PLACES
+        crowded = places_in_largest_cell(sites, degrees) > MAX_CELL_PLACES
         route = "moments" if crowded else "places"
     # One row per (place, instant), combined map-side.
     firsts = targets.groupBy(*PLACE, "time").agg(F.min(target_key).alias("_target"))

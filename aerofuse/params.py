@@ -50,8 +50,12 @@ class TrainingParams:
     shuffle: bool = True
     seed: int = 42
     forest: ForestParams = field(default_factory=ForestParams)
+    # Most labelled rows the forest is fitted on; None takes all training rows. Scores and errors cover all test rows.
+    fit_rows: int | None = None
 
     def __post_init__(self) -> None:
+        if self.fit_rows is not None and self.fit_rows < 1:
+            raise ValueError("fit_rows must be positive")
         if not 0 < self.test_size < 1:
             raise ValueError("test_size must lie strictly between 0 and 1")
         if not self.features:

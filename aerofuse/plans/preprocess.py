@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aerofuse.operators.interpolate import impute
 from aerofuse.operators.quality import drop_missing_target, report_missing
-from aerofuse.operators.reshape import merge_pm10
+from aerofuse.operators.reshape import latest_measurements
 from aerofuse.operators.update import match_update
 from aerofuse.params import FusionParams, QualityParams, TrainingParams
 from aerofuse.plans.fusion import fuse
@@ -60,7 +60,7 @@ def load_measured(
     **orders,
 ) -> DataFrame:
     """Fuse the station rows with both grids, then overwrite them with measured values nearby."""
-    wide = merge_pm10(measurements, key=measurement_key)
+    wide = latest_measurements(measurements, measurement_key)
     fused = fuse(station_rows, aerosol, weather, params, **orders)
     order = (measurement_key, f"pm10_{measurement_key}")
     updated = match_update(fused, wide, target_key=row_key, observation_order=order, sites=station_rows)

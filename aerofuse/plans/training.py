@@ -13,10 +13,10 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerofuse.operators.split import split
+from aerofuse.operators.split import rows_to_fit, split
 from aerofuse.operators.summaries import regression_metrics
 from aerofuse.params import TrainingParams
-from aerofuse.session import small_table
+from aerofuse.session import shared_folder, small_table
 from aerofuse.sources.readers import require_columns
 from aerofuse.sources.rules import ValidationError
 from aerofuse.sources.sinks import save_metrics, write_table
@@ -43,7 +43,7 @@ def forest_stages(params: TrainingParams, prediction: str = "prediction") -> Pip
                 bootstrap=True,
                 seed=forest.seed,
                 maxMemoryInMB=1024,
-                cacheNodeIds=forest.max_depth > 8,
+                cacheNodeIds=True,
                 checkpointInterval=10,
             ),
         ]
@@ -51,11 +51,19 @@ def forest_stages(params: TrainingParams, prediction: str = "prediction") -> Pip
 
 
 def train_forest(train: DataFrame, params: TrainingParams = TrainingParams()) -> PipelineModel:
-    """Fit on the feature and target columns only; they are kept for the passes of the fit."""
+    """Fit on the feature and target columns only; they are kept for the passes of the fit.
+
+    Rows must be complete; the columns that have gaps are named before the fit starts.
+    """
     require_columns(train, [*params.features, params.target])
+    shared_folder(train.sparkSession)  # the node ids of the fit are cut from their lineage there
     narrow = train.select(*params.features, F.col(params.target).cast("double").alias(params.target))
     narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        gaps = narrow.agg(*(F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in narrow.columns))
+        open_columns = [c for c, n in gaps.first().asDict().items() if n]
+        if open_columns:
+            raise ValidationError(f"Columns with missing values cannot be fitted: {', '.join(open_columns)}")
         return forest_stages(params).fit(narrow)
     finally:
         narrow.unpersist()
@@ -103,7 +111,7 @@ def train_and_evaluate(df: DataFrame, key: Sequence[str], params: TrainingParams
                        output: str | None = None) -> tuple[PipelineModel, DataFrame]:
     """Split, fit, score the test rows and measure; with ``output`` keep model and metrics there."""
     train, test = split(df, params, key)
-    model = train_forest(train, params)
+    model = train_forest(rows_to_fit(train, params, key), params)
     metrics = regression_metrics(score(model, test, params), params.target)
     if output is not None:
         model.write().overwrite().save(f"{output}/model")

@@ -13,6 +13,9 @@ from aerofuse.sources.readers import (
     schema_by_header,
     union_all,
     unify_layout,
+    within_box,
+    within_dates,
+    within_months,
 )
 from aerofuse.sources.rules import (
     AEROSOL_RULES,
@@ -60,6 +63,9 @@ __all__ = [
     "schema_by_header",
     "union_all",
     "unify_layout",
+    "within_box",
+    "within_dates",
+    "within_months",
     "violation_report",
     "write_table",
 ]

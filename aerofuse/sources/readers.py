@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,14 +28,19 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-               file_format: str = "parquet") -> DataFrame:
-    """Read Parquet, CSV with header, or JSON with a declared schema; NaN becomes NULL."""
+               file_format: str = "parquet", where: Column | None = None) -> DataFrame:
+    """Read Parquet, CSV with header, or JSON with a declared schema; NaN becomes NULL.
+
+    ``where`` is applied to the columns as stored, so that it reaches the scan. There NaN is still a
+    number above all others: a range with an upper bound leaves it out, as it does NULL.
+    """
     reader = spark.read
     if file_format == "csv":
         reader = reader.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
-    return nan_to_null(reader.format(file_format).load(path))
+    stored = reader.format(file_format).load(path)
+    return nan_to_null(stored if where is None else stored.where(where))
 
 
 def schema_by_header(spark: SparkSession, path: str) -> T.StructType:
@@ -66,7 +71,34 @@ def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
 
 def between_dates(df: DataFrame, start: datetime, end: datetime, time: str = "time") -> DataFrame:
     """Rows with start <= time <= end, on the raw column so that the scan can skip row groups."""
-    return df.where(F.col(time).between(start, end))
+    return df.where(within_dates(start, end, time, day_column(df, time)))
+
+
+def day_column(df: DataFrame, time: str, name: str = "date") -> str | None:
+    """The column that holds the day of ``time`` in tables partitioned by day; None if there is none."""
+    return name if name != time and name in df.columns and isinstance(df.schema[name].dataType, T.DateType) else None
+
+
+def within_dates(start: datetime, end: datetime, time: str = "time", day: str | None = None) -> Column:
+    """start <= time <= end. ``day`` names a partition column with the day of ``time``, which then prunes folders."""
+    kept = F.col(time).between(start, end)
+    return kept if day is None else kept & F.col(day).between(start.date(), end.date())
+
+
+def within_months(start: date, end: date, time: str = "time", day: str | None = None) -> Column:
+    """Whole calendar months from that of ``start`` to that of ``end``, as a half-open interval on ``time``.
+
+    ``day`` names a partition column with the day of ``time``, or the first day of its month.
+    """
+    first = datetime(start.year, start.month, 1)
+    months = end.year * 12 + end.month
+    after = datetime(months // 12, months % 12 + 1, 1)
+    kept = (F.col(time) >= first) & (F.col(time) < after)
+    return kept if day is None else kept & (F.col(day) >= first.date()) & (F.col(day) < after.date())
+
+
+def within_box(*, lat_min: float, lat_max: float, lon_min: float, lon_max: float) -> Column:
+    return F.col("lat").between(lat_min, lat_max) & F.col("lon").between(lon_min, lon_max)
 
 
 def only_stations(df: DataFrame, stations: Sequence[str] | DataFrame | None,
@@ -83,18 +115,12 @@ def only_stations(df: DataFrame, stations: Sequence[str] | DataFrame | None,
 
 
 def in_box(df: DataFrame, *, lat_min: float, lat_max: float, lon_min: float, lon_max: float) -> DataFrame:
-    return df.where(F.col("lat").between(lat_min, lat_max) & F.col("lon").between(lon_min, lon_max))
+    return df.where(within_box(lat_min=lat_min, lat_max=lat_max, lon_min=lon_min, lon_max=lon_max))
 
 
 def in_months(df: DataFrame, start: date, end: date, time: str = "time") -> DataFrame:
-    """Whole calendar months from that of ``start`` to that of ``end``; a month without data adds nothing.
-
-    A half-open interval on the raw column, which prunes a month- or date-partitioned table.
-    """
-    first = datetime(start.year, start.month, 1)
-    months = end.year * 12 + end.month
-    after = datetime(months // 12, months % 12 + 1, 1)
-    return df.where((F.col(time) >= first) & (F.col(time) < after))
+    """Rows of whole calendar months; a month without data adds nothing. A day-partitioned table is pruned."""
+    return df.where(within_months(start, end, time, day_column(df, time)))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

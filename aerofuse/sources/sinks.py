@@ -15,8 +15,14 @@ def project_available(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, file_format: str = "parquet", mode: str = "errorifexists",
                 partition_by: Sequence[str] = (), columns: Sequence[str] | None = None) -> None:
-    """Write a table; the parent folders are made by the file system layer."""
-    writer = (project_available(df, columns) if columns else df).write.mode(mode)
+    """Write a table; the parent folders are made by the file system layer.
+
+    With ``partition_by`` the rows are clustered first, as in ``append_log``.
+    """
+    rows = project_available(df, columns) if columns else df
+    if partition_by and not df.isStreaming:
+        rows = rows.hint("rebalance", *partition_by)
+    writer = rows.write.mode(mode)
     if file_format == "csv":
         writer = writer.option("header", True)
     if partition_by:

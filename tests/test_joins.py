@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from aerofuse.operators import spatial
 from aerofuse.operators.asof import asof_join, densest_slice
-from aerofuse.operators.reshape import merge_pm10, pivot_measurements
-from aerofuse.operators.update import close_places_per_place, match_update
+from aerofuse.operators.reshape import latest_measurements, merge_pm10, pivot_measurements
+from aerofuse.operators.update import match_update, places_in_largest_cell
 from aerofuse.params import FusionParams
 from aerofuse.plans.fusion import fuse, fuse_period
 from aerofuse.sources.rules import ValidationError
@@ -256,13 +256,35 @@ def test_match_update_equals_row_by_row(spark, route):
     assert sum(v[0] != 1.0 for v in want.values()) > 20
 
 
+@pytest.mark.parametrize("coarse", [True, False])
+def test_latest_measurements_update_like_all_of_them(spark, coarse):
+    rng = random.Random(4)
+    names = ["pm25", "pm10", "no2"] if coarse else ["pm25", "no2"]
+    long = frame(spark, [
+        (i, START + timedelta(minutes=30 * rng.randrange(6)), 20.0, 75.0 + rng.randrange(3), rng.choice(names),
+         float(i) if rng.random() < 0.8 else None)
+        for i in range(200)
+    ], "oid long, time timestamp_ntz, lat double, lon double, parameter string, value double")
+    targets = frame(spark, [
+        (i, START + timedelta(minutes=25 * i), 20.0, 75.0 + i % 3, 1.0, 2.0) for i in range(12)
+    ], "tid long, time timestamp_ntz, lat double, lon double, pm25 double, pm10 double")
+    options = dict(target_key="tid", observation_order=("oid", "pm10_oid"))
+    reduced, whole = latest_measurements(long, "oid"), merge_pm10(long, key="oid")
+    assert reduced.count() == whole.select("time", "lat", "lon").distinct().count() < whole.count()
+    got, want = (sorted(map(tuple, match_update(targets, w, **options).collect())) for w in (reduced, whole))
+    assert got == want and any(row[4] != 1.0 for row in got)
+
+
 def test_moving_instruments_are_recognised(spark):
     def trail(n, spread):
-        return spark.range(n).select((20 + F.col("id") % spread * 1e-6).alias("lat"), F.lit(75.0).alias("lon"))
-
-    assert close_places_per_place(trail(3000, 3000), trail(3000, 3000), 0.1) == pytest.approx(3000)
-    assert close_places_per_place(trail(3000, 2), trail(3000, 3), 0.1) <= 3
-    assert close_places_per_place(trail(0, 1), trail(3, 3), 0.1) == 0
+        return spark.range(n).select((20.01 + F.col("id") % spread * 1e-6).alias("lat"), F.lit(75.0).alias("lon"))
+
+    assert places_in_largest_cell(trail(3000, 3000), 0.1) == 3000
+    # One crowded cell decides, however many others there are.
+    others = spark.range(500).select((F.col("id") * 0.1 - 50).alias("lat"), F.lit(10.0).alias("lon"))
+    assert places_in_largest_cell(trail(3000, 3000).unionByName(others), 0.1) == 3000
+    assert places_in_largest_cell(trail(3000, 3), 0.1) == 3
+    assert places_in_largest_cell(trail(0, 1), 0.1) == 0
 
 
 def test_skeleton_covers_both_ends_and_gaps_are_what_is_missing(spark):

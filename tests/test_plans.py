@@ -41,3 +41,22 @@ def test_scan_reads_only_the_columns_it_needs(spark):
     plan = plan_of(spark, "date_range_scan")
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
     assert "user_id" not in plan
+
+
+@pytest.mark.parametrize("name", ["date_range_scan", "month_scan"])
+def test_periods_prune_the_folders_of_days(spark, name):
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan_of(spark, name)).group(1)
+    assert "(date#" in filters and ">=" in filters
+
+
+def test_box_reaches_the_scan(spark):
+    assert "GreaterThanOrEqual(lat,10.0)" in plan_of(spark, "bbox_filter")
+
+
+def test_update_reads_the_events_three_times_at_most(spark):
+    df = entry_point.queries()["match_update"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    scans = [line for line in final.split("\n") if "FileScan" in line and "event_id" in line]
+    assert len(scans) <= 3, len(scans)
