@@ -1,6 +1,6 @@
-"""Jobs for spark-submit: fuse the sources, train a model, score a table.
+"""Jobs for spark-submit: fuse the sources, load measured values, train a model, score a table.
 
-spark-submit --py-files aerofuse.zip run.py fuse|train|score ..., or python -m aerofuse on one machine.
+spark-submit --py-files aerofuse.zip run.py fuse|load|train|score ..., or python -m aerofuse on one machine.
 """
 
 from __future__ import annotations
@@ -8,14 +8,15 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerofuse import sources
 from aerofuse.params import ForestParams, FusionParams, TrainingParams
 from aerofuse.plans import training
-from aerofuse.plans.fusion import fuse_period
-from aerofuse.plans.preprocess import preprocess
+from aerofuse.plans.fusion import ON_INVALID, fuse_period, validated
+from aerofuse.plans.preprocess import LOAD_PARAMS, load_measured, preprocess
 from aerofuse.session import materialize, prepare
 from aerofuse.sources import schemas
 
@@ -26,13 +27,18 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
 
     fuse = jobs.add_parser("fuse", help="stations with the nearest aerosol and weather values")
-    for name in ("stations", "aerosol", "weather", "output"):
-        fuse.add_argument(f"--{name}", required=True)
     fuse.add_argument("--start", type=datetime.fromisoformat, required=True)
     fuse.add_argument("--end", type=datetime.fromisoformat, required=True)
     fuse.add_argument("--station", action="append")
-    fuse.add_argument("--aerosol-radius-km", type=float, default=FusionParams.aerosol_radius_km)
-    fuse.add_argument("--weather-radius-km", type=float, default=FusionParams.weather_radius_km)
+    load = jobs.add_parser("load", help="as fuse, then measured values of a long or wide file put in place")
+    load.add_argument("--measurements", required=True)
+    for job, radii in ((fuse, FusionParams), (load, LOAD_PARAMS)):
+        for name in ("stations", "aerosol", "weather", "output"):
+            job.add_argument(f"--{name}", required=True)
+        job.add_argument("--aerosol-radius-km", type=float, default=radii.aerosol_radius_km)
+        job.add_argument("--weather-radius-km", type=float, default=radii.weather_radius_km)
+        job.add_argument("--on-invalid", choices=ON_INVALID, default="fail", help="rows that break a range rule")
+        job.add_argument("--rejected", help="folder for rows set aside by --on-invalid split")
 
     train = jobs.add_parser("train", help="prepare, split, fit, evaluate, keep model and metrics")
     train.add_argument("--input", action="append", required=True, help="may be repeated; the first that exists is read")
@@ -50,20 +56,47 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def _fuse(spark: SparkSession, args: argparse.Namespace) -> None:
-    def read(path: str, schema):
-        if args.format == "csv":
-            schema = sources.schema_by_header(spark, path)
-        return sources.read_table(spark, path, None if args.format == "parquet" else schema, args.format)
+def _read(spark: SparkSession, args: argparse.Namespace, path: str, schema: T.StructType) -> DataFrame:
+    if args.format == "csv":
+        schema = sources.schema_by_header(spark, path)
+    return sources.read_table(spark, path, None if args.format == "parquet" else schema, args.format)
+
+
+def _three_sources(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
+    declared = ((args.stations, schemas.STATION), (args.aerosol, schemas.AEROSOL), (args.weather, schemas.WEATHER))
+    return [sources.check_schema(_read(spark, args, path, schema), schema.names) for path, schema in declared]
+
+
+def _radii(args: argparse.Namespace) -> FusionParams:
+    return FusionParams(aerosol_radius_km=args.aerosol_radius_km, weather_radius_km=args.weather_radius_km)
+
 
+def _load(spark: SparkSession, args: argparse.Namespace) -> None:
+    frames = [
+        validated(frame, rules, args.on_invalid, args.rejected, name)
+        for frame, rules, name in zip(
+            _three_sources(spark, args), (sources.STATION_RULES, sources.AEROSOL_RULES, sources.WEATHER_RULES),
+            ("stations", "aerosol", "weather"), strict=True,
+        )
+    ]
+    readings = sources.unify_layout(_read(spark, args, args.measurements, schemas.LONG_MEASUREMENT))
+    # Numbers in the order of the files, written once so that a repeated task cannot give others.
+    number = F.monotonically_increasing_id()
+    stations = materialize(frames[0].withColumn("row_number", number), "stations")
+    readings = materialize(
+        validated(readings, sources.STATION_RULES, args.on_invalid, args.rejected, "measurements")
+        .withColumn("reading_number", number), "readings",
+    )
+    loaded = load_measured(
+        readings, stations, *frames[1:], row_key="row_number", measurement_key="reading_number", params=_radii(args),
+    )
+    sources.write_table(loaded, args.output, args.format, mode="overwrite", columns=schemas.TRAINING_COLUMNS)
+
+
+def _fuse(spark: SparkSession, args: argparse.Namespace) -> None:
     fused = fuse_period(
-        sources.check_schema(read(args.stations, schemas.STATION), schemas.STATION.names),
-        sources.check_schema(read(args.aerosol, schemas.AEROSOL), schemas.AEROSOL.names),
-        sources.check_schema(read(args.weather, schemas.WEATHER), schemas.WEATHER.names),
-        args.start,
-        args.end,
-        args.station,
-        FusionParams(aerosol_radius_km=args.aerosol_radius_km, weather_radius_km=args.weather_radius_km),
+        *_three_sources(spark, args), args.start, args.end, args.station, _radii(args), on_invalid=args.on_invalid,
+        rejected=args.rejected,
     )
     sources.write_table(fused, args.output, args.format, mode="overwrite", columns=schemas.FUSED_COLUMNS)
 
@@ -91,7 +124,7 @@ def _score(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = prepare(SparkSession.builder.appName(f"aerofuse {args.job}").getOrCreate())
-    {"fuse": _fuse, "train": _train, "score": _score}[args.job](spark, args)
+    {"fuse": _fuse, "load": _load, "train": _train, "score": _score}[args.job](spark, args)
 
 
 if __name__ == "__main__":

@@ -65,6 +65,16 @@ def fetch_summary(obs):
     return summaries.fetch_summary(obs)
 
 
+@part.query("obs", sql="""
+    SELECT 'station' AS scope, station_id, count(*) AS rows, min(time) AS start, max(time) AS end,
+           count(DISTINCT station_id) AS stations, NULL AS columns FROM obs GROUP BY station_id
+    UNION ALL
+    SELECT 'all', NULL, count(*), min(time), max(time), count(DISTINCT station_id),
+           'event_id, station_id, lat, lon, time, pm25' FROM obs""")
+def fetch_by_station(obs):
+    return summaries.fetch_by_station(obs)
+
+
 @part.query("weather", sql="""
     SELECT count(DISTINCT o_orderkey) AS stations, min(time) AS start, max(time) AS end,
            min(temperature) AS temperature_min, max(temperature) AS temperature_max,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+import uuid
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from aerofuse.operators.update import match_update as update_near
 from aerofuse.params import FusionParams
 from aerofuse.plans import fusion
 from aerofuse.plans.preprocess import load_measured
+from aerofuse.session import shared_folder
 
 part = Part()
 WIDE = FusionParams(aerosol_radius_km=50.0, weather_radius_km=50.0)
@@ -125,6 +127,31 @@ def fuse_all(obs, aerosol, weather):
     return rounded(fusion.fuse(obs, aerosol, weather, WIDE, aerosol_order=AEROSOL_ORDER, weather_order=WEATHER_ORDER))
 
 
+@part.query("obs", "aerosol", "weather", sql=f"""
+    , some_obs AS (SELECT * FROM obs WHERE time BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-25'),
+    sound_aerosol AS (
+        SELECT * FROM aerosol WHERE l_orderkey % 10 <> 0 AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180
+            AND aod BETWEEN 0 AND 5 AND cloud_fraction BETWEEN 0 AND 1
+            AND time BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-25'),
+    sound_weather AS (
+        SELECT * FROM weather WHERE o_orderkey % 13 <> 0 AND temperature BETWEEN 200 AND 330
+            AND humidity BETWEEN 0 AND 100 AND wind_speed >= 0 AND boundary_layer_height BETWEEN 0 AND 3000
+            AND time BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-25'),
+    {_fuse_sql('some_obs', 'sound_aerosol', fusion.AEROSOL_VALUES, AEROSOL_ORDER, 6, 'with_aerosol')},
+    {_fuse_sql('with_aerosol', 'sound_weather', fusion.WEATHER_VALUES, WEATHER_ORDER, 12, 'fused')}
+    SELECT event_id, station_id, lat, lon, time, pm25, round(aod, 6) AS aod, round(cloud_fraction, 6) AS cloud_fraction,
+           temperature, humidity, wind_speed, boundary_layer_height FROM fused""")
+def fuse_sound(obs, aerosol, weather):
+    """A period, with rows that break rules planted in both grids; they are set aside."""
+    bad_air = aerosol.withColumn("aod", F.when(F.col("l_orderkey") % 10 == 0, F.lit(-1.0)).otherwise(F.col("aod")))
+    bad_met = weather.withColumn("humidity", F.when(F.col("o_orderkey") % 13 == 0, F.lit(140.0)).otherwise(F.col("humidity")))
+    rejected = f"{shared_folder(obs.sparkSession)}/rejected-{uuid.uuid4().hex}"
+    return rounded(fusion.fuse_period(
+        obs, bad_air, bad_met, datetime(2024, 1, 3), datetime(2024, 1, 25), params=WIDE, on_invalid="split",
+        rejected=rejected, aerosol_order=AEROSOL_ORDER, weather_order=WEATHER_ORDER,
+    ))
+
+
 UPDATE_SQL = """
     , {name}_hit AS (
         SELECT m.event_id AS m_id, m.pm10_id, m.pm25 AS m25, m.pm10 AS m10, t.event_id,

@@ -9,7 +9,7 @@ copies never meet in one task. A (key, slice) group thus holds at most one row p
 
 Where one key has so many distinct instants within a tolerance that even a slice is too much for one
 task, the ``ranges`` layout sweeps range shards instead (see ``ordering``), at the cost of writing the
-layout. ``densest_slice`` measures, and ``layout="auto"`` measures and chooses.
+layout. ``layout="auto"``, the default, measures both sides in one narrow aggregate and chooses.
 """
 
 from __future__ import annotations
@@ -33,11 +33,29 @@ def _slice_of(at: Column, width: int) -> Column:
     return at - F.pmod(at, F.lit(width))
 
 
-def densest_slice(df: DataFrame, by: Sequence[str], tolerance: timedelta, time: str = "time") -> int:
-    """Most rows any key has in one slice; one narrow aggregate."""
+def _slice_sizes(df: DataFrame, by: Sequence[str], tolerance: timedelta, time: str) -> DataFrame:
     width = max(tolerance // timedelta(microseconds=1), 1)
-    slices = df.groupBy(*by, _slice_of(micros(time), width).alias("_slice")).count()
-    return slices.agg(F.max("count")).first()[0] or 0
+    return df.groupBy(*by, _slice_of(micros(time), width).alias("_slice")).agg(F.count(time).alias("_rows"))
+
+
+def densest_slice(df: DataFrame, by: Sequence[str], tolerance: timedelta, time: str = "time") -> int:
+    """Most rows any key has in one slice; one narrow aggregate. Copies of an instant count each."""
+    return _slice_sizes(df, by, tolerance, time).agg(F.max("_rows")).first()[0] or 0
+
+
+def choose_layout(left: DataFrame, right: DataFrame, by: Sequence[str], tolerance: timedelta, time: str = "time",
+                  limit: int = MAX_SLICE_ROWS) -> str:
+    """``slices`` where no key has more than ``limit`` distinct instants of a side in a slice, else ``ranges``.
+
+    Rows are counted first, for both sides at once. Only if they are too many in a slice are its distinct
+    instants counted, since copies of an instant are combined before the sweep.
+    """
+    sides = [left.select(*by, time), right.select(*by, time)]
+    sizes = [_slice_sizes(side, by, tolerance, time).select("_rows") for side in sides]
+    if (sizes[0].unionByName(sizes[1]).agg(F.max("_rows")).first()[0] or 0) <= limit:
+        return "slices"
+    densest = max(densest_slice(side.distinct(), by, tolerance, time) for side in sides)
+    return "slices" if densest <= limit else "ranges"
 
 
 def _one_per_instant(right: DataFrame, by: Sequence[str], values: Sequence[str],
@@ -133,7 +151,7 @@ def asof_answers(
     order: Sequence[str] = (),
     exact: bool = True,
     unique_right: bool = False,
-    layout: str = "slices",
+    layout: str = "auto",
 ) -> DataFrame:
     """One row per (key, instant) of ``left`` that has a match: the key, ``_at``, the values and ``_gap``.
 
@@ -144,9 +162,10 @@ def asof_answers(
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {', '.join(LAYOUTS)}")
     limit = tolerance // timedelta(microseconds=1)
+    if layout == "auto" and direction == "nearest" and not exact:
+        layout = "slices"  # the only one that can leave out the row's own instant on both sides
     if layout == "auto":
-        densest = max(densest_slice(side, by, tolerance, time) for side in (left, right))
-        layout = "slices" if densest <= MAX_SLICE_ROWS else "ranges"
+        layout = choose_layout(left, right, by, tolerance, time, MAX_SLICE_ROWS)
 
     stamped = right.withColumn("_at", micros(time)).where(F.col("_at").isNotNull())
     if unique_right:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,25 +44,52 @@ def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.fillna(medians) if medians else df
 
 
-def _gaps(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Columns with any gap, and those some key has no value of. One aggregate over the source."""
+@dataclass(frozen=True)
+class Gaps:
+    """Rows of a table, the values known of each column, and the columns that some key has no value of."""
+
+    rows: int
+    known: dict[str, int]
+    unknown: tuple[str, ...]
+
+    @property
+    def gappy(self) -> list[str]:
+        return [c for c, n in self.known.items() if n < self.rows]
+
+    @property
+    def empty(self) -> list[str]:
+        return [c for c, n in self.known.items() if n == 0 and self.rows]
+
+    def above(self, share: float) -> list[str]:
+        """Columns of which more than this share is missing."""
+        return [c for c, n in self.known.items() if self.rows and (self.rows - n) / self.rows > share]
+
+
+def measure_gaps(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str] = ()) -> Gaps:
+    """One aggregate over the source."""
     counts = df.groupBy(*partition_by).agg(F.count("*").alias("_rows"), *(F.count(c).alias(c) for c in columns))
     found = counts.agg(
-        *(F.max(F.col(c) < F.col("_rows")).alias(f"gap_{c}") for c in columns),
+        F.sum("_rows").alias("_rows"),
+        *(F.sum(c).alias(f"known_{c}") for c in columns),
         *(F.max((F.col(c) == 0) & (F.col("_rows") > 0)).alias(f"unknown_{c}") for c in columns),
     ).first()
-    return [c for c in columns if found[f"gap_{c}"]], [c for c in columns if found[f"unknown_{c}"]]
+    return Gaps(
+        found["_rows"] or 0,
+        {c: found[f"known_{c}"] or 0 for c in columns},
+        tuple(c for c in columns if found[f"unknown_{c}"]),
+    )
 
 
 def impute(df: DataFrame, columns: Sequence[str], *, order_by: Sequence[str],
-           partition_by: Sequence[str] = ()) -> DataFrame:
+           partition_by: Sequence[str] = (), gaps: Gaps | None = None) -> DataFrame:
     """Interpolate, then fill with medians of the interpolated columns; all ``columns`` become doubles.
 
     Only columns with gaps are swept. Medians are needed only for columns that are unknown throughout
     some key; if there are any, the interpolated rows are written once, since the median passes and the
-    result all read them.
+    result all read them. ``gaps`` gives the counts if they have been taken.
     """
-    gappy, unknown = _gaps(df, columns, partition_by)
+    gaps = gaps or measure_gaps(df, columns, partition_by)
+    gappy, unknown = gaps.gappy, gaps.unknown
     numbers = df.withColumns({c: F.col(c).cast("double") for c in columns})
     if not gappy:
         return numbers

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerofuse.session import materialize
+from aerofuse.session import broadcast_if_small, materialize
 
 SHARD = "_shard"
 INDEX = "_index"
@@ -29,6 +29,8 @@ SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 BINS = 4096
 # A search stops narrowing when so few rows are left that they can be looked at directly.
 FEW = 10_000
+# Rows meant for one range, so that a task sorts some hundred megabytes at any size of input.
+SHARD_ROWS = 4_000_000
 
 
 def range_shards(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -36,10 +38,15 @@ def range_shards(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
     ``order_by`` must identify a row. The layout is written once, since a second evaluation
     could sample other bounds and so give a row another shard.
+
+    AQE merges ranges but does not cut them, so their number follows from the counted rows wherever the
+    session's number of shuffle partitions is too small for them.
     """
     row_id = F.monotonically_increasing_id()
+    ranges = -(-df.count() // SHARD_ROWS)
+    enough = ranges <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = (
-        df.repartitionByRange(*order_by)
+        df.repartitionByRange(*([] if enough else [ranges]), *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(INDEX, row_id)
     )
@@ -52,6 +59,11 @@ def range_shards(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     )
 
 
+def count_shards(laid: DataFrame) -> int:
+    """Shards of a layout that hold rows, which bounds the tables of one row per shard. Reads one column."""
+    return laid.select(SHARD).distinct().count()
+
+
 def with_position(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
                   name: str = "position") -> DataFrame:
     """1-based rank of every row in a total order, per key or over the whole table."""
@@ -67,7 +79,7 @@ def with_position(df: DataFrame, order_by: Sequence[str], partition_by: Sequence
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
     if not partition_by:
         # One row per shard.
-        placed = laid.join(F.broadcast(offsets.select(SHARD, "_before")), SHARD)
+        placed = laid.join(broadcast_if_small(offsets.select(SHARD, "_before"), count_shards(laid)), SHARD)
         return placed.withColumn(name, F.col(INDEX) + F.col("_before") + 1).drop(SHARD, INDEX, "_before")
     # One row per (key, shard); equal to the number of keys plus at most one per shard.
     keys = [*partition_by, SHARD]
@@ -85,9 +97,10 @@ def with_known_neighbours(laid: DataFrame, partition_by: Sequence[str], known: d
     ``at`` and ``value``, both of which include the row itself.
 
     Each (key, shard) group is swept alone. What a group needs from elsewhere comes from a table with
-    one row per group; only the first and the last group of a shard can need it, so the broadcast
-    holds at most two rows per shard.
+    one row per group; only the first and the last group of a shard can need it, so it holds at most two
+    rows per shard. It is broadcast if the counted shards permit it.
     """
+    shards = count_shards(laid)
     # One row per shard.
     sizes = laid.groupBy(SHARD).agg(F.count("*").alias("_size"))
     earlier_shards = Window.orderBy(SHARD).rowsBetween(Window.unboundedPreceding, -1)
@@ -96,7 +109,7 @@ def with_known_neighbours(laid: DataFrame, partition_by: Sequence[str], known: d
         name: F.when(value.isNotNull(), F.struct(F.col("_at").alias("at"), value.alias("value")))
         for name, value in known.items()
     }
-    rows = laid.join(F.broadcast(starts), SHARD).withColumn("_at", F.col(INDEX) + F.col("_start")).drop("_start", INDEX)
+    rows = laid.join(broadcast_if_small(starts, shards), SHARD).withColumn("_at", F.col(INDEX) + F.col("_start")).drop("_start", INDEX)
 
     keys = [*partition_by, SHARD]
     ends = []
@@ -126,7 +139,7 @@ def with_known_neighbours(laid: DataFrame, partition_by: Sequence[str], known: d
     group = Window.partitionBy(*keys)
     # Both frames end at the current row, so each is one sweep.
     up, down = (group.orderBy(o).rowsBetween(*SO_FAR) for o in (F.col("_at").asc(), F.col("_at").desc()))
-    return rows.join(F.broadcast(handed), same_group, "left").select(
+    return rows.join(broadcast_if_small(handed, 2 * shards), same_group, "left").select(
         *rows.columns,
         *(F.coalesce(F.last(p, True).over(up), F.col(f"_in_{n}")).alias(f"_before_{n}") for n, p in points.items()),
         *(F.coalesce(F.last(p, True).over(down), F.col(f"_out_{n}")).alias(f"_after_{n}") for n, p in points.items()),

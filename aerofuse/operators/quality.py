@@ -35,15 +35,13 @@ def missing_fraction(df: DataFrame, columns: Sequence[str], threshold: float | N
     return rows.withColumn("exceeds", F.col("missing_fraction") > threshold)
 
 
-def report_missing(df: DataFrame, columns: Sequence[str], threshold: float, on_exceed: str) -> list[str]:
-    """Names of the columns above the threshold; warns or fails. Runs one aggregate job."""
-    above = [r["feature"] for r in missing_fraction(df, columns, threshold).where("exceeds").collect()]
+def report_missing(above: Sequence[str], threshold: float, on_exceed: str) -> None:
+    """Warn of the columns whose missing share is above the threshold, or fail."""
     if above:
-        message = f"Feature columns exceed the missing threshold ({threshold}): {', '.join(above)}"
+        message = f"More than {threshold:.0%} missing in: {', '.join(above)}"
         if on_exceed == "fail":
             raise ValidationError(message)
-        warnings.warn(message, stacklevel=2)
-    return above
+        warnings.warn(message, stacklevel=3)
 
 
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -46,6 +46,27 @@ def fetch_summary(df: DataFrame, time: str = "time", station: str = "station_id"
     )
 
 
+def fetch_by_station(df: DataFrame, time: str = "time", station: str = "station_id") -> DataFrame:
+    """Rows and period of every station by name, and of all of them in a row of scope ``all``, with their number
+    and the columns of the table. Rows without a station count for a station of NULL name.
+
+    The totals are rolled up from one row per station, so the table is aggregated once.
+    """
+    each = df.groupBy(station).agg(F.count("*").alias("rows"), F.min(time).alias("start"), F.max(time).alias("end"))
+    both = each.rollup(station).agg(
+        F.grouping(station).alias("_total"),
+        F.sum("rows").alias("rows"),
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+        F.count(station).alias("stations"),
+    )
+    return both.select(
+        F.when(F.col("_total") == 1, "all").otherwise("station").alias("scope"),
+        station, "rows", "start", "end", "stations",
+        F.when(F.col("_total") == 1, ", ".join(df.columns)).alias("columns"),
+    )
+
+
 def station_list(df: DataFrame, station: str = "station_id") -> DataFrame:
     return df.select(station).distinct()
 

@@ -70,7 +70,7 @@ def _found_by_place(observations: DataFrame, firsts: DataFrame, sites: DataFrame
         by=PLACE,
         order=("_target",),
         tolerance=2 * within - timedelta(microseconds=1),
-        direction="forward",
+        layout="slices", direction="forward",
         exact=False,
     )
 

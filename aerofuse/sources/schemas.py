@@ -13,6 +13,7 @@ def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# Names and types of the files that are read and written.
 STATION = _struct(time=_ts, lat=_double, lon=_double, pm25=_double, pm10=_double, station_id=_string)
 AEROSOL = _struct(time=_ts, lat=_double, lon=_double, aod=_double, cloud_fraction=_double)
 WEATHER = _struct(

@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerofuse.__main__ import main
-from aerofuse.params import FEATURES
+from aerofuse.params import FEATURES, ForestParams, FusionParams, TrainingParams
 from aerofuse.plans import training
+from aerofuse.plans.fusion import fuse
 from aerofuse.session import size_shuffles
 from aerofuse.sources import ValidationError, load_metrics
-from aerofuse.sources.schemas import FUSED_COLUMNS
+from aerofuse.sources.schemas import FUSED_COLUMNS, TRAINING_COLUMNS
 from test_joins import START, grids
 
 
@@ -26,6 +27,46 @@ def test_fuse_job_writes_the_documented_columns(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "output"))
     assert got.columns == list(FUSED_COLUMNS) and got.count() == 2
 
+    # The fused table can be scored as it is: the day of the year follows from the time.
+    rng = random.Random(3)
+    known = spark.createDataFrame(
+        [tuple(rng.uniform(0, 1) for _ in (*FEATURES, "pm25")) for _ in range(40)],
+        ", ".join(f"{c} double" for c in (*FEATURES, "pm25")),
+    )
+    model = training.train_forest(known, TrainingParams(forest=ForestParams(trees=2, max_depth=2)))
+    model.write().save(str(tmp_path / "model"))
+    main(["score", "--model", str(tmp_path / "model"), "--input", str(tmp_path / "output"), "--output", str(tmp_path / "scored")])
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    assert scored.count() == 2 and "predicted_pm25" in scored.columns
+
+
+@pytest.mark.parametrize("layout", ["wide", "long"])
+def test_load_job_puts_measured_values_in_place(spark, tmp_path, layout):
+    frames = grids(spark)
+    for name, df in zip(("stations", "aerosol", "weather"), frames):
+        df.write.parquet(str(tmp_path / name))
+    place = frames[0].where("station_id = 'Delhi'").orderBy("time").first()
+    reading = spark.createDataFrame(
+        [("m", place["lat"] + 0.01, place["lon"], place["time"] + timedelta(minutes=10), 123.0)],
+        "station_id string, lat double, lon double, time timestamp_ntz, pm25 double",
+    )
+    if layout == "long":
+        reading = reading.selectExpr(
+            "'m' AS location_id", "station_id AS location_name", "'pm25' AS parameter", "pm25 AS value", "'x' AS unit",
+            "date_format(time, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS datetimeUtc", "lat AS latitude", "lon AS longitude",
+        )
+    reading.write.parquet(str(tmp_path / "measurements"))
+    main([
+        "load", *(x for n in ("stations", "aerosol", "weather", "measurements", "output") for x in (f"--{n}", str(tmp_path / n))),
+        "--aerosol-radius-km", "80", "--on-invalid", "split", "--rejected", str(tmp_path / "rejected"),
+    ])
+    got = spark.read.parquet(str(tmp_path / "output"))
+    assert got.columns == list(TRAINING_COLUMNS)
+    assert got.count() == fuse(*frames, FusionParams(aerosol_radius_km=80.0, weather_radius_km=150.0)).count()
+    hits = got.where("pm25 = 123.0").collect()
+    assert [(r["station_id"], r["time"], r["pm10"]) for r in hits] == [("Delhi", place["time"], 184.5)]
+    assert spark.read.parquet(str(tmp_path / "rejected" / "weather")).count() == 0
+
 
 def test_train_then_score(spark, tmp_path):
     rng = random.Random(2)

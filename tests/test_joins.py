@@ -8,8 +8,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from aerofuse.operators import spatial
-from aerofuse.operators.asof import asof_join, densest_slice
+from aerofuse.operators import asof, spatial
+from aerofuse.operators.asof import asof_join, choose_layout, densest_slice
 from aerofuse.operators.reshape import latest_measurements, merge_pm10, pivot_measurements
 from aerofuse.operators.update import match_update, places_in_largest_cell
 from aerofuse.params import FusionParams
@@ -195,6 +195,48 @@ def test_fusion_by_period_and_station(spark):
     assert [r["station_id"] for r in got.collect()] == ["Mumbai", "Mumbai"]
 
 
+def test_layout_follows_the_distinct_instants_of_a_slice(spark):
+    hour = timedelta(hours=1)
+    copies = frame(spark, [("k", START)] * 9 + [("k", START + hour / 2), ("j", START), ("j", None)], "k string, time timestamp_ntz")
+    few = copies.where("k = 'j'")
+    assert choose_layout(copies, few, ["k"], hour) == "slices"
+    assert choose_layout(copies, few, ["k"], hour, limit=2) == "slices"  # nine copies, two instants
+    assert choose_layout(few, copies, ["k"], hour, limit=1) == "ranges"
+    assert choose_layout(few.where("false"), few.where("false"), ["k"], hour, limit=0) == "slices"
+
+
+def test_fusion_is_the_same_over_ranges(spark, many_shards, monkeypatch):
+    sources = grids(spark)
+    untimed = sources[0].withColumn("time", F.when(F.col("station_id") != "Mumbai", F.col("time")))
+    for stations in (sources[0], sources[0].unionByName(sources[0]), untimed):
+        want = sorted(map(str, fuse(stations, *sources[1:], WIDE, layout="slices").collect()))
+        monkeypatch.setattr(asof, "MAX_SLICE_ROWS", 0)
+        assert sorted(map(str, fuse(stations, *sources[1:], WIDE).collect())) == want
+        monkeypatch.undo()
+
+
+def test_invalid_rows_stop_warn_or_are_set_aside(spark, tmp_path):
+    stations, air, met = grids(spark)
+    bad = air.withColumn("aod", F.when(F.col("time") == START, F.lit(9.0)).otherwise(F.col("aod")))
+    period = (START - timedelta(days=1), START + timedelta(days=9))
+    broken = air.where(F.col("time") == START).count()
+    assert broken
+    with pytest.raises(ValidationError, match=f"aod_range: {broken} rows"):
+        fuse_period(stations, bad, met, *period, params=WIDE)
+    with pytest.warns(UserWarning, match=f"aerosol: .* aod_range {broken}"):
+        reported = fuse_period(stations, bad, met, *period, params=WIDE, on_invalid="report")
+    assert reported.count() == fuse(stations, air, met, WIDE).count()
+    kept = fuse_period(stations, bad, met, *period, params=WIDE, on_invalid="split", rejected=str(tmp_path))
+    want = fuse(stations, air.where(F.col("time") != START), met, WIDE)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, want.collect()))
+    aside = spark.read.parquet(str(tmp_path / "aerosol")).collect()
+    assert [r["broken_rules"] for r in aside] == [["aod_range"]] * broken
+    with pytest.raises(ValueError, match="on_invalid"):
+        fuse_period(stations, air, met, *period, on_invalid="hope")
+    with pytest.raises(ValueError, match="folder"):
+        fuse_period(stations, air, met, *period, on_invalid="split")
+
+
 def test_smaller_radius_never_gives_more_rows(spark):
     sources = grids(spark)
     sizes = [

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from aerofuse import session
 from aerofuse.operators import ordering
 from aerofuse.operators.interpolate import impute, interpolate_linear
 from aerofuse.operators.split import mark_test, split
@@ -34,6 +35,22 @@ def gappy(seed=1, n=600):
 SCHEMA = "id long, station string, time timestamp_ntz, x double, y double"
 
 
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_ranges_are_cut_by_rows_and_joined_with_or_without_broadcast(spark, many_shards, monkeypatch, limit):
+    monkeypatch.setattr(ordering, "SHARD_ROWS", 20)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", limit)
+    rows = gappy()
+    df = spark.createDataFrame(rows, SCHEMA)
+    laid = ordering.range_shards(df, ["station", "time", "id"])
+    assert ordering.count_shards(laid) > 13
+    assert laid.groupBy(ordering.SHARD).count().agg(F.max("count")).first()[0] < 120
+    got = {r["id"]: (r["x"], r["y"]) for r in interpolate_linear(df, ["x", "y"], order_by=("time", "id")).collect()}
+    want = pandas_interpolated(rows, False)
+    assert all(got[i] == pytest.approx(want[i], rel=1e-12) for i in want)
+    numbers = ordering.with_position(df, ["time", "id"]).select("id", "position").collect()
+    assert [r["id"] for r in sorted(numbers, key=lambda r: r["position"])] == [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))]
+
+
 def pandas_interpolated(rows, keyed):
     pdf = pd.DataFrame(rows, columns=["id", "station", "time", "x", "y"]).sort_values(["time", "id"])
     for c in ("x", "y"):

@@ -10,7 +10,7 @@ import __spark_entry__ as entry_point
 
 SF = "/root/testdata/sf0.001"
 JOINS = [
-    "spatial_nn", "asof_nearest", "asof_unkeyed", "fuse_aerosol", "fuse_weather", "fuse_all", "match_update",
+    "spatial_nn", "asof_nearest", "asof_unkeyed", "fuse_aerosol", "fuse_weather", "fuse_all", "fuse_sound", "match_update",
     "real_load", "pm_left_merge", "pm_time_merge", "grid_skeleton", "coverage_gaps", "lookup_default",
 ]
 ORDERED = ["interpolate_linear", "interpolate_whole_table", "impute", "prediction_trend", "split_exact", "split_ordered"]
