@@ -6,7 +6,9 @@ window, tells how far the search may jump; at shift zero the bucket of windows t
 compared word by word, and at last the letters are compared.
 
 Null or empty texts have no words and no hits; so have items without words. Items that repeat an id or a
-text are kept apart by id only. Documents may repeat; each row is searched alone.
+text are kept apart by id only. Items without id are searched like the others: their words count as hit and their
+spans have a null item, but they have no place in the sorted ids; where items are counted, all of them are one.
+Documents may repeat; each row is searched alone.
 """
 
 from __future__ import annotations
@@ -97,7 +99,7 @@ def _lanes(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return cursor, np.minimum(cursor + LANE, np.repeat(stop, n))
 
 
-def tables_of(items: list[tuple[str, str]], window: int = WINDOW) -> list[Table]:
+def tables_of(items: list[tuple[str | None, str]], window: int = WINDOW) -> list[Table]:
     """Search tables, one for each length of window, of (id, text) items."""
     data, offsets = utf8(pa.array([text for _, text in items], pa.string()))
     hashes, starts, ends, first = words(data, offsets)
@@ -111,7 +113,7 @@ def tables_of(items: list[tuple[str, str]], window: int = WINDOW) -> list[Table]
             by_length.setdefault(m, {}).setdefault(tuple(hashes[a : a + m].tolist()), (text, set()))[1].add(item)
     return [
         Table(m, np.array(list(found), np.uint64).reshape(len(found), m), [t for t, _ in found.values()],
-              [sorted(i) for _, i in found.values()])
+              [sorted(i, key=lambda item: (item is None, item or "")) for _, i in found.values()])
         for m, found in sorted(by_length.items())
     ]
 
@@ -164,10 +166,9 @@ def _hits(text: Column, tables: list[Table]) -> Column:
     return F.arrow_udf(find, f"struct<n_words:long,spans:{SPANS}>")(text)
 
 
-def item_blocks(items: DataFrame, block_items: int, item_col: str, text_col: str) -> list[list[tuple[str, str]]]:
+def item_blocks(items: DataFrame, block_items: int, item_col: str, text_col: str) -> list[list[tuple[str | None, str]]]:
     """The test items in blocks of about ``block_items``, so that what a task gets at once is bounded."""
-    rows = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(
-        F.col("item").isNotNull() & F.col("text").isNotNull())
+    rows = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     n = max(1, -(-rows.count() // block_items))
     number = F.pmod(F.xxhash64("item", "text"), F.lit(n))
     return [[(r["item"], r["text"]) for r in rows.where(number == k).collect()] for k in range(n)]
@@ -178,7 +179,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
                   into: str = "contamination") -> DataFrame:
     """``docs`` with one more column ``into``: struct(n_words, n_hit, items, spans).
 
-    n_hit counts the words inside any occurrence, items are the sorted ids with occurrences, spans their places.
+    n_hit counts the words inside any occurrence, items are the sorted ids with occurrences (nulls left out), spans
+    all places, with a null item for items without id.
     The text is scanned once; each block of items is one search within the same task.
     """
     found = [_hits(F.col(text_col), tables_of(block, window)) for block in item_blocks(items, block_items, item_col, item_text_col)]
@@ -188,7 +190,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
     covered = F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s.start, s.start + s.length - 1))))
     result = F.struct(
         F.col(f"{names[0]}.n_words").alias("n_words"), F.size(covered).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.transform(spans, lambda s: s.item))).alias("items"), spans.alias("spans"))
+        F.array_sort(F.array_distinct(F.array_compact(F.transform(spans, lambda s: s.item)))).alias("items"), spans.alias("spans"))
     return wide.select(*docs.columns, result.alias(into))
 
 

@@ -214,3 +214,20 @@ def test_contamination_of_awkward_texts(spark, awkward, nothing, block_items):
     assert decontaminate.contamination(nothing, items).count() == 0
     assert decontaminate.remove_hits(awkward, spark.createDataFrame([], "item_id long, text string")).count() == awkward.count()
     assert spark.createDataFrame([], DOCS).columns == decontaminate.remove_hits(awkward, items).columns
+
+
+def test_items_without_id_are_searched(spark, nothing, tmp_path):
+    passage = prose(21, 20)
+    texts = [(1, passage), (2, "lone"), (3, "named"), (4, "named and lone"), (5, "clean")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "n", "h", "s", "c") for i, t in texts], DOCS)
+    items = spark.createDataFrame([(None, passage), (None, "lone"), (7, "named")], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.remove_hits(docs, items).collect()] == [5]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    from aerofuse.llm.queries import QUERIES
+
+    rows = QUERIES["op7_wu_manber"](spark, str(tmp_path)).collect()
+    sha = lambda ids: hashlib.sha256(ids.encode()).hexdigest()
+    assert {r["doc_id"]: (r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in rows} == {
+        1: (20, 1, sha(""), True), 2: (1, 1, sha(""), True), 3: (1, 1, sha("7"), True),
+        4: (2, 2, sha("7"), True), 5: (0, 0, sha(""), False)}
