@@ -6,7 +6,11 @@ at least 16 times are the features. Each feature sets 5 bits of a 2048-bit Bloom
 new filter is chained. Two fingerprints are compared filter by filter: the common bits beyond what chance
 explains, as a share of the most there can be; each filter of the shorter digest takes its best partner.
 
-A text without features (shorter than a window, or constant) has one feature, the whole text; a null or empty
+Texts of few such neighbourhoods have shorter windows (SHORT), by a rule on their own length: all of 2 bytes below
+32 bytes; those of 8 bytes from 16 to 255, of which the least hash of each four neighbours is taken; 64 bytes from
+128 on. The ranges overlap, so texts on both sides of a border have features in common.
+
+A text without features (one byte, or long and constant) has one feature, the whole text; a null or empty
 text has none, its fingerprint is empty, and it is like another empty one only.
 """
 
@@ -27,6 +31,8 @@ from aerofuse.session import materialize
 
 SIZE = 64  # bytes of a window, and windows among which the rarest is noted
 POPULAR = 16
+SHORT = [(2, 2, 32, 1), (8, 16, 256, 4)]  # bytes of a window, least and end of the texts' bytes, windows among which one is taken
+LEAST_LONG = 128  # shorter texts have no 64-byte windows
 FILTER_BITS, FILTER_FEATURES, HASHES = 2048, 160, 5
 LEVELS = 1000  # entropy is counted in thousandths of its maximum
 LEAST_LEVEL = 100  # windows below carry no information
@@ -123,6 +129,33 @@ def _noted(data: np.ndarray, ranks: np.ndarray, inside: np.ndarray | None, full:
     return np.bincount(least, minlength=len(keys)), keys
 
 
+def _short_features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature hashes from the windows of SHORT, and the text that has each."""
+    hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    sizes = np.diff(at)
+    for size, least, end, among in SHORT:
+        some = np.flatnonzero((sizes >= least) & (sizes < end))
+        if not len(some):
+            continue
+        own = np.concatenate([data[at[k] : at[k + 1]] for k in some.tolist()]).astype(np.uint64)
+        text = np.repeat(some, sizes[some])
+        n = len(own) - size + 1
+        value = np.zeros(n, np.uint64)
+        for j in range(size):
+            value |= own[j : j + n] << np.uint64(8 * j)
+        found = mix(mix(value + _SEEDS[size - 1]) + np.uint64(size))
+        taken = np.zeros(n, bool)
+        groups = n - among + 1  # a group may not reach into the next text
+        if groups > 0:
+            inside = text[:groups] == text[size + among - 2 :]
+            lowest = np.min([found[j : j + groups] for j in range(among)], axis=0)
+            for j in range(among):
+                taken[j : j + groups] |= inside & (found[j : j + groups] == lowest)
+        hashes.append(found[taken])
+        owners.append(text[:n][taken])
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
 def _features(data: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Feature hashes of some texts in order, and how many each text has."""
     n = len(data) - SIZE + 1
@@ -142,12 +175,14 @@ def _features(data: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> tuple[np.n
         keys = None
     places = picked[-1]
     counts = np.diff(np.searchsorted(places, at))
+    short, short_owner = _short_features(data, at)
+    has_short = np.bincount(short_owner, minlength=len(counts)) > 0
     # Texts without any: their rarest window, or all of the text.
     whole: dict[int, np.uint64] = {}
     extra: dict[int, int] = {}
     for k in np.flatnonzero((counts == 0) & (np.diff(at) > 0)).tolist():
         lo, hi = int(at[k]), int(at[k + 1])
-        if hi - lo >= SIZE:
+        if hi - lo >= LEAST_LONG:
             own = keys[lo : hi - SIZE + 1] if keys is not None else None
             if own is None:
                 level = ranks[entropy_levels(data[lo : min(hi, lo + _BLOCK)])]
@@ -157,6 +192,8 @@ def _features(data: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> tuple[np.n
             if best >= 0:
                 extra[k] = lo + best
                 continue
+        if has_short[k]:
+            continue
         digest = hashlib.blake2b(data[lo:hi].tobytes(), digest_size=8).digest()
         whole[k] = np.frombuffer(digest, np.uint64)[0]
     owner = np.repeat(np.arange(len(counts)), counts)
@@ -168,6 +205,7 @@ def _features(data: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> tuple[np.n
     hashes = np.zeros(len(places), np.uint64)
     for j, seed in enumerate(_SEEDS):
         hashes = mix(hashes ^ (parts[:, j] + seed))
+    hashes, owner = np.concatenate([hashes, short]), np.concatenate([owner, short_owner])
     if whole:
         hashes = np.concatenate([hashes, np.array(list(whole.values()), np.uint64)])
         owner = np.concatenate([owner, np.array(list(whole), np.int64)])

@@ -57,6 +57,25 @@ def test_fingerprints(awkward, awkward_rows, nothing, many_shards):
     assert fingerprint.fingerprints(nothing).count() == 0
 
 
+def test_short_texts_are_like_their_near_copies():
+    rng = random.Random(4)
+    ranks = fingerprint.ranks_of(np.arange(fingerprint.LEVELS + 1)[::-1])
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400))
+    other = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ-") for _ in range(400))
+    for n in range(4, 256):
+        text = long[:n]
+        edited, unlike, longer = text[: n - n // 4] + other[: n // 4], other[:n], long[: n + 1]
+        # Alone and among others, the digest is the same.
+        digests = fingerprint.digests([text, edited, unlike, longer], ranks)
+        assert all((fingerprint.digests([t], ranks)[0] == d).all() for t, d in zip([text, edited, unlike, longer], digests, strict=True))
+        assert all(len(d) == 1 for d in digests)
+        own, near, far, next_ = digests
+        assert fingerprint.likeness(own, own) == 1
+        assert fingerprint.likeness(own, near) > 0.3, n
+        assert fingerprint.likeness(own, next_) > 0.6, n
+        assert fingerprint.likeness(own, far) < 0.1, n
+
+
 def test_slices_of_a_long_text_change_nothing():
     rng = random.Random(3)
     long = " ".join(rng.choice(["red", "green", "blue", "seventeen", "of"]) + str(rng.randrange(999)) for _ in range(60_000))
