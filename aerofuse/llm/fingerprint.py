@@ -185,8 +185,11 @@ def _features(data: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> tuple[np.n
         if hi - lo >= LEAST_LONG:
             own = keys[lo : hi - SIZE + 1] if keys is not None else None
             if own is None:
-                level = ranks[entropy_levels(data[lo : min(hi, lo + _BLOCK)])]
-                best = int(level.argmin()) if level.min() <= LEVELS else -1
+                best, lowest = -1, LEVELS + 1
+                for a, b in _slices(hi - lo - SIZE + 1):
+                    level = ranks[entropy_levels(data[lo + a : lo + b + SIZE - 1])]
+                    if level.min() < lowest:
+                        best, lowest = a + int(level.argmin()), level.min()
             else:
                 best = int(own.argmin()) if own.min() < _NONE else -1
             if best >= 0:

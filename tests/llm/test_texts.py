@@ -88,6 +88,17 @@ def test_slices_of_a_long_text_change_nothing():
         fingerprint._BLOCK = old
 
 
+def test_rarest_window_at_the_end_of_a_long_text(monkeypatch):
+    ranks = fingerprint.ranks_of(np.arange(fingerprint.LEVELS + 1)[::-1])
+    tail = "".join(chr(97 + k % 26) for k in range(20))  # too short for a popular window
+    texts = ["x" * n + tail for n in (300, 1000, 5000, 200_000)]
+    among_others = fingerprint.digests(["y" * 200, *texts[:1]], ranks)[1]
+    for block in (1 << 17, 1 << 9):
+        monkeypatch.setattr(fingerprint, "_BLOCK", block)
+        for text in texts:
+            assert (fingerprint.digests([text], ranks)[0] == among_others).all()
+
+
 def test_language(spark, awkward, nothing):
     rng = random.Random(1)
     kinds = {"aa": "ka lo mi nu".split(), "bb": "strö wech übt gran".split(), "cc": "qui eau oux elle".split()}
