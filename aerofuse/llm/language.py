@@ -129,21 +129,25 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, tex
     """Model of all labelled texts; rows without text or language are no part of it.
 
     Document frequencies cover every row. The centroids and the rejection limits are fitted on at most
-    ``sample`` texts per language, chosen by a hash of the text.
+    ``sample`` distinct texts per language, those of least hash.
     """
     train = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    copies = train.groupBy("lang", F.xxhash64("text")).agg(F.count(F.lit(1)).alias("n"))
+    found = copies.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).limit(MOST_LANGUAGES + 1).collect()
+    sizes = {r["lang"]: r["distinct"] for r in found}
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    total = sum(sizes.values())
+    total = sum(r["n"] for r in found)
     idf = (np.log((1 + total) / (1 + _document_frequency(train))) + 0.1).astype(np.float32)
     model = Model([], np.zeros(0, np.int64), np.zeros((0, DIMENSIONS), np.float32), idf, np.zeros(LENGTHS))
     if not sizes:
         return model
-    # A fifth more than wanted by the hash, then exactly so many at most.
+    # A fifth more than wanted by the hash, each text once, then exactly so many at most.
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, 1.2 * sample / n)))
-    drawn = train.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    drawn = train.where(place < share[F.col("lang")] * (1 << 30)).groupBy("lang", place.alias("place"), F.xxhash64("text").alias("hash")).agg(
+        F.min("text").alias("text"))
 
     def vector(texts: pa.Array) -> pa.Array:
         parts = [_counts([t]) for t in texts.to_pylist()]
@@ -152,7 +156,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, tex
 
     def centres(table: pa.Table) -> pa.Table:
         counts = table.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, DIMENSIONS)
-        counts = counts[np.lexsort(counts.T[:8])][:sample]
+        counts = counts[np.lexsort((table.column("hash").to_numpy(), table.column("place").to_numpy()))][:sample]
         counts = counts[counts.sum(axis=1) > 0]
         lang = table.column("lang")[0].as_py()
         if not len(counts):
@@ -167,7 +171,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, tex
             "length": pa.array([_length(counts.sum(axis=1)).tolist()] + [[]] * (n - 1), pa.list_(pa.int64())),
             "cosine": pa.array([own.tolist()] + [[]] * (n - 1), pa.list_(pa.float64()))})
 
-    found = drawn.select("lang", F.arrow_udf(vector, "array<float>")("text").alias("counts")).groupBy("lang").applyInArrow(
+    found = drawn.select("lang", "place", "hash", F.arrow_udf(vector, "array<float>")("text").alias("counts")).groupBy("lang").applyInArrow(
         centres, "lang string, centre array<float>, length array<bigint>, cosine array<double>")
     rows = sorted(found.collect(), key=lambda r: (r["lang"], r["centre"]))  # a few centroids per language
     model.languages = sorted({r["lang"] for r in rows})
