@@ -127,12 +127,9 @@ def test_copies_of_a_drawn_text_are_one_of_the_sample(spark):
     from pyspark.sql import functions as F
 
     least = texts.orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 30))).first()["text"]  # is drawn for certain
-    many = texts.union(spark.createDataFrame([(least, "aa")] * 2000, "text string, lang string"))
-    model, plain = language.fit(many, sample=40), language.fit(texts, sample=40)
+    many = texts.union(spark.createDataFrame([(least, "aa")] * 30_000, "text string, lang string"))
+    model = language.fit(many, sample=40)
     assert len(np.unique(model.centroids.round(4), axis=0)) == language.CLUSTERS
-    # The limits come from the same 40 texts; only the weights know the copies.
-    assert np.allclose(model.floor, plain.floor, atol=0.1)
-    assert model.floor.max() < 0.45  # half of a cosine that is not that of a copy with itself
 
 
 def deleted_lines(rows, least):
