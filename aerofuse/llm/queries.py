@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerofuse.llm import decontaminate, fingerprint, jaccard, language, line_runs, packing, pfor, token_counts, tool_calls, url_filter
+from aerofuse.llm import decontaminate, fingerprint, jaccard, language, line_runs, packing, pfor, spelling, token_counts, tool_calls, url_filter
 from aerofuse.llm.deploy import prepare_tasks
 from aerofuse.session import small_table
 
@@ -201,3 +201,47 @@ degrees AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
 SELECT t.doc_id, c.class_id, r.group_id, coalesce(d.n_links, 0) AS n_links
 FROM sets t JOIN classes c ON t.s = c.s AND t.worded = c.worded JOIN roots r ON r.a = c.class_id
 LEFT JOIN degrees d ON d.a = c.class_id"""
+
+
+@query
+def op11_trie_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_trie_pairs"] = r"""
+WITH crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(
+        range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+    SELECT run, n, length(run) AS size, xor(list_reduce(
+        flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+            lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) AS BIGINT) - 64] END)),
+        lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM runs, crc),
+shortened AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % size AS BIGINT)) || substr(run, CAST(h % size AS BIGINT) + 2)
+                ELSE run END AS word, n FROM hashed),
+words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM shortened WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+holes AS (
+    SELECT word, n, substr(word, 1, i) || '_' || substr(word, i + 2) AS hole, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+    SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+    UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON h.rest = w.word
+    UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON h.rest = w.word),
+best AS (
+    SELECT word, count(*) AS n_near, max(other_n) AS best_n FROM near GROUP BY word),
+named AS (
+    SELECT b.word, n_near, best_n, min(x.other) AS best FROM best b JOIN near x ON x.word = b.word AND x.other_n = b.best_n
+    GROUP BY ALL),
+formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form,
+           CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n FROM words w LEFT JOIN named m ON m.word = w.word)
+SELECT a.word, a.form, coalesce(f5.form, f4.form, f3.form, f2.form, f1.form, a.form, a.word) AS root, a.n, a.n_near, a.form_n
+FROM formed a LEFT JOIN formed f1 ON f1.word = a.form LEFT JOIN formed f2 ON f2.word = f1.form
+LEFT JOIN formed f3 ON f3.word = f2.form LEFT JOIN formed f4 ON f4.word = f3.form LEFT JOIN formed f5 ON f5.word = f4.form"""
