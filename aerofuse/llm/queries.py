@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerofuse.llm import decontaminate, fingerprint, jaccard, language, line_runs, packing, pfor, spelling, token_counts, tool_calls, url_filter
+from aerofuse.llm import (
+    collocations, decontaminate, fingerprint, jaccard, language, line_runs, packing, pfor, quality_rules, spelling, token_counts,
+    tool_calls, url_filter,
+)
 from aerofuse.llm.deploy import prepare_tasks
 from aerofuse.session import small_table
 
@@ -245,3 +248,116 @@ formed AS (
 SELECT a.word, a.form, coalesce(f5.form, f4.form, f3.form, f2.form, f1.form, a.form, a.word) AS root, a.n, a.n_near, a.form_n
 FROM formed a LEFT JOIN formed f1 ON f1.word = a.form LEFT JOIN formed f2 ON f2.word = f1.form
 LEFT JOIN formed f3 ON f3.word = f2.form LEFT JOIN formed f4 ON f4.word = f3.form LEFT JOIN formed f5 ON f5.word = f4.form"""
+
+
+@query
+def op12_count_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_count_automata"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+spelled AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+phrases AS (
+    SELECT lang, m, array_to_string(w[p:p + m - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM spelled, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)
+    GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM phrases WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM phrases WHERE m >= 2 AND f >= 30),
+cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:m], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, h.f AS l, t.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (h.f + t.f) AS BIGINT) AS score
+    FROM cuts c JOIN phrases h ON h.lang = c.lang AND h.phrase = c.head JOIN phrases t ON t.lang = c.lang AND t.phrase = c.rest),
+least_cut AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+inside AS (
+    SELECT lang, array_to_string(w[p:p + q - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT lang, m, w, a, q, unnest(range(1, m - q + 2)) AS p FROM candidates, (SELECT unnest([2, 3]) AS q) WHERE q < m) GROUP BY ALL),
+kept AS (
+    SELECT s.* FROM least_cut s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+    WHERE place = 1 AND (i.longer IS NULL OR 100 * CAST(i.longer AS HUGEINT) < 80 * CAST(s.a AS HUGEINT))),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN total t ON t.lang = r.lang WHERE r.rank <= 2000"""
+
+
+@query
+def op13_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_certified_rules"] = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, 'und') AS stratum, md5(text) AS digest, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+           row_number() OVER () AS nr FROM documents),
+windows AS (
+    SELECT nr, p, w[p] || chr(10) || w[p + 1] || chr(10) || w[p + 2] AS three
+    FROM (SELECT nr, w, unnest(range(1, len(w) - 1)) AS p FROM texts WHERE len(w) >= 3)),
+again AS (SELECT nr, p, count(*) OVER (PARTITION BY nr, three) AS n FROM windows),
+repeated AS (
+    SELECT nr, count(DISTINCT k) AS n FROM (SELECT nr, unnest([p, p + 1, p + 2]) AS k FROM again WHERE n > 1) GROUP BY nr),
+counted AS (
+    SELECT doc_id, stratum, digest, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+           CAST(len(lines) AS BIGINT) AS n_lines, length(text) - length(regexp_replace(text, '[.,;:!?]', '', 'g')) AS n_marks,
+           length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
+           length(text) - length(regexp_replace(text, '[0-9]', '', 'g')) AS n_digits
+    FROM texts t LEFT JOIN repeated r ON r.nr = t.nr),
+measured AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           [1000 * n_symbols // greatest(word_chars, 1), 1000 * n_marks // greatest(word_chars, 1),
+            1000 * n_capitals // greatest(word_chars, 1), 1000 * n_digits // greatest(word_chars, 1),
+            1000 * n_dup_lines // greatest(n_lines, 1), 1000 * n_repeat_words // greatest(n_words, 1)] AS shares FROM counted),
+labelled AS (
+    SELECT stratum, good, digest, any_value(shares) AS shares, substr(digest, 1, 1) >= '8' AS tested
+    FROM measured m JOIN (SELECT DISTINCT doc_id, quality > 0 AS good FROM labels WHERE quality IS NOT NULL) l ON l.doc_id = m.doc_id
+    WHERE NOT base_failed GROUP BY stratum, good, digest),
+histogram AS (
+    SELECT stratum, rule, shares[rule] AS value, count(*) AS n
+    FROM (SELECT stratum, shares, unnest([1, 2, 3, 4, 5, 6]) AS rule FROM labelled WHERE good AND NOT tested) GROUP BY ALL),
+above AS (
+    SELECT *, sum(n) OVER (PARTITION BY stratum, rule ORDER BY value DESC) - n AS above,
+           sum(n) OVER (PARTITION BY stratum, rule) AS total FROM histogram),
+rungs AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS rung, unnest([0, 1, 2, 5, 10, 20, 50]) AS allowed),
+cutoffs AS (
+    SELECT stratum, rule, rung, min(value) AS cutoff FROM above, rungs WHERE above * 1000 <= allowed * total GROUP BY ALL),
+wide AS (
+    SELECT stratum, rung, list(cutoff ORDER BY rule) AS c FROM cutoffs GROUP BY stratum, rung),
+held AS (
+    SELECT l.stratum, l.good, l.digest, coalesce(min(CASE WHEN len(list_filter([1, 2, 3, 4, 5, 6], lambda r: shares[r] > c[r])) > 0
+        THEN rung END), 7) AS rung FROM labelled l JOIN wide w ON w.stratum = l.stratum WHERE tested GROUP BY ALL),
+strata AS (
+    SELECT stratum, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS m FROM held GROUP BY stratum),
+rejected AS (
+    SELECT s.stratum, r.rung, n, m, (SELECT count(*) FROM strata WHERE n > 0) AS tests,
+           count(h.rung) FILTER (h.good) AS k, count(h.rung) FILTER (NOT h.good) AS caught
+    FROM strata s CROSS JOIN rungs r LEFT JOIN held h ON h.stratum = s.stratum AND h.rung <= r.rung WHERE n > 0 GROUP BY ALL),
+tails AS (
+    SELECT stratum, rung, n, m, k, caught, tests,
+           CASE WHEN k >= n THEN 1 ELSE list_sum(list_transform(range(k + 1), lambda i:
+               exp(lgamma(n + 1) - CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END - lgamma(n - i + 1) + i * ln(0.03) + (n - i) * ln(0.97)))) END AS tail
+    FROM rejected),
+passed AS (
+    SELECT *, CASE WHEN m > 0 THEN caught / CAST(m AS DOUBLE) ELSE 0 END - k / CAST(n AS DOUBLE) AS gain,
+           bool_and(tail <= 0.05 / tests) OVER (PARTITION BY stratum ORDER BY rung) AS certain FROM tails),
+chosen AS (
+    SELECT stratum, arg_min(rung, rung) FILTER (gain >= best - 1e-12) AS chosen
+    FROM (SELECT *, max(gain) OVER (PARTITION BY stratum) AS best FROM passed WHERE certain) WHERE best > 1e-12 GROUP BY stratum),
+judged AS (
+    SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, m.stratum,
+           coalesce(list_min(list_transform(list_filter([0, 1, 2, 3, 4, 5, 6], lambda t:
+               len(list_filter([1, 2, 3, 4, 5, 6], lambda r: shares[r] > ladder[t + 1][r])) > 0), lambda t: t)), 7) AS rung
+    FROM measured m LEFT JOIN (SELECT stratum, list(c ORDER BY rung) AS ladder FROM wide GROUP BY stratum) w ON w.stratum = m.stratum)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rung <= coalesce(chosen, -1) AS kept, CAST(rung AS INTEGER) AS rung,
+       CAST(coalesce(chosen, -1) AS INTEGER) AS chosen
+FROM judged j LEFT JOIN chosen c ON c.stratum = j.stratum"""
