@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -181,14 +182,15 @@ def prefix_weights(sequences: np.ndarray, weights: np.ndarray, depth: int) -> tu
     return some[begin], np.add.reduceat(weights[rows], begin)
 
 
-def union(automata: list[Automaton]) -> Automaton:
-    """One automaton with all sequences of the given ones and the sums of their weights."""
-    words = sorted(set().union(*(a.words for a in automata)))
+def united(automata: Sequence[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words, sequences (ascending) and summed weights of all the dumped automata, which are loaded one at a time."""
+    words = sorted(set().union(*(Automaton.load(a).words for a in automata)))
     number = {w: k + 1 for k, w in enumerate(words)}
-    rows, weights = [np.zeros((0, DEPTH), np.int64)], [np.zeros(0, np.int64)]
-    for a in automata:
-        own = np.array([0, *(number[w] for w in a.words)], np.int64)
-        some, weight = a.sequences()
+    rows, weights = [np.zeros((0, DEPTH), np.int32)], [np.zeros(0, np.int64)]
+    for data in automata:
+        automaton = Automaton.load(data)
+        own = np.array([0, *(number[w] for w in automaton.words)], np.int32)
+        some, weight = automaton.sequences()
         rows.append(own[some])
         weights.append(weight)
-    return Automaton.of_sorted(words, *summed(np.concatenate(rows), np.concatenate(weights)))
+    return words, *summed(np.concatenate(rows), np.concatenate(weights))

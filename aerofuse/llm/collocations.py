@@ -24,14 +24,14 @@ columns are not read. An empty table gives no rows.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerofuse.llm.automata import DEPTH, Automaton, prefix_weights, summed, union
+from aerofuse.llm.automata import DEPTH, Automaton, prefix_weights, summed, united
 from aerofuse.session import materialize, materialize_counted
 
 MIN_COUNT = 30
@@ -40,7 +40,7 @@ NO_LANGUAGE = "und"
 SCALE = 2_000_000  # a score is this times a / (l + r), rounded down
 COVERED = 80  # per cent of a phrase's occurrences that lie in a longer one, for it to go
 SHARD_WORDS = 1_000_000  # words of running text in one automaton
-RANGE_BYTES = 16 << 20  # text whose sequences fall into one prefix range
+RANGE_BYTES = 8 << 20  # text whose sequences fall into one prefix range
 RANGE_KEYS = 16  # sampled sequences a range, from which the borders are taken
 PART_ROWS = 400_000  # frequent phrases, and questions, of one composition
 _CHUNK = 1 << 17  # bytes of text taken apart at a time
@@ -226,6 +226,21 @@ def shard_automata(texts: DataFrame, cuts: dict[str, list[tuple[bytes, ...]]], s
     return texts.mapInArrow(build, "lang string, range int, automaton binary")
 
 
+class _Binaries(Sequence):
+    """The values of a column, made one at a time."""
+
+    def __init__(self, column: pa.ChunkedArray) -> None:
+        self.column = column
+
+    def __len__(self) -> int:
+        return len(self.column)
+
+    def __getitem__(self, k):
+        if k >= len(self):
+            raise IndexError(k)
+        return self.column[k].as_py()
+
+
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS, range_bytes: int = RANGE_BYTES,
                   range_keys: int = RANGE_KEYS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, size, phrase, f: phrases of one to four words with ``min_count`` occurrences; size 0 counts all words."""
@@ -237,8 +252,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int
         lang, number = key[0].as_py(), key[1].as_py()
         own = cuts.get(lang, [])
         edges = own[max(number - 1, 0) : number + 1] if own else []
-        whole = union([Automaton.load(a) for a in table.column("automaton").to_pylist()])
-        found, weights = whole.sequences()
+        words, found, weights = united(_Binaries(table.column("automaton")))
         sizes, phrases, counts = [0], [""], [int(weights.sum())]
         for depth in range(1, DEPTH + 1):
             some, n = prefix_weights(found, weights, depth)
@@ -246,12 +260,12 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int
             shared = {b[:depth] for b in edges}
             keep = n >= min_count
             for edge in shared:
-                key = [bisect_left(whole.words, w) + 1 for w in edge]
-                if len(key) == depth and all(k <= len(whole.words) and whole.words[k - 1] == w for k, w in zip(key, edge, strict=True)):
+                key = [bisect_left(words, w) + 1 for w in edge]
+                if len(key) == depth and all(k <= len(words) and words[k - 1] == w for k, w in zip(key, edge, strict=True)):
                     keep |= (some == key).all(axis=1)
             for row, f in zip(some[keep].tolist(), n[keep].tolist(), strict=True):
                 sizes.append(depth)
-                phrases.append(b" ".join(whole.words[k - 1] for k in row).decode())
+                phrases.append(b" ".join(words[k - 1] for k in row).decode())
                 counts.append(f)
         return pa.table({"lang": pa.array([lang] * len(sizes), pa.string()), "size": pa.array(sizes, pa.int32()),
                          "phrase": pa.array(phrases, pa.string()), "f": pa.array(counts, pa.int64())})

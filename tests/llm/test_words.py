@@ -113,8 +113,8 @@ def test_automata_keep_sequences_sums_and_parts(seed):
     asked = np.array([[(draw.randint(1, len(words)) if draw.random() < 0.9 else -1) if j < n else 0 for j in range(4)]
                       for n in [draw.randint(1, 4) for _ in range(60)]])
     assert automaton.compose(asked).tolist() == [known.get(tuple(a), 0) for a in asked.tolist()]
-    twice, weight = automata.union([automaton, automaton]).sequences()
-    assert (twice == rows).all() and (weight == 2 * weights).all()
+    named, twice, weight = automata.united([automaton.dump()] * 2)
+    assert named == words and (twice == rows).all() and (weight == 2 * weights).all()
     for depth in (1, 2, 3, 4):
         some, n = automata.prefix_weights(rows, weights, depth)
         expected = defaultdict(int)
