@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerofuse.session import materialize
+from aerofuse.session import broadcast_if_small, materialize, materialize_counted
 
 ALPHA = 0.03  # share of the good documents of a stratum that may be rejected
 DELTA = 0.05  # probability that any stratum exceeds it
@@ -169,6 +169,8 @@ def best_rung(good: list[int], bad: list[int], alpha: float, level: float) -> in
 
 def certified(texts: DataFrame, cutoffs: DataFrame, alpha: float = ALPHA, delta: float = DELTA, rungs: int = len(LADDER)) -> DataFrame:
     """stratum, cutoffs, chosen: the rung of each stratum that the held-out texts certify; -1 for none."""
+    cutoffs, strata = materialize_counted(cutoffs, "cutoffs")
+    cutoffs = broadcast_if_small(cutoffs, strata)
     held = texts.where("tested").join(cutoffs, "stratum").select("stratum", "good", rung_of(rungs=rungs).alias("rung"))
     numbers = held.groupBy("stratum", "good", "rung").agg(F.count(F.lit(1)).alias("n"))
     tested = numbers.where("good").select("stratum").distinct().count()
