@@ -43,6 +43,7 @@ SHARD_WORDS = 1_000_000  # words of running text in one automaton
 RANGE_BYTES = 8 << 20  # text whose sequences fall into one prefix range
 RANGE_KEYS = 16  # sampled sequences a range, from which the borders are taken
 PART_ROWS = 400_000  # frequent phrases, and questions, of one composition
+_DEALT = 16
 _CHUNK = 1 << 17  # bytes of text taken apart at a time
 
 _PLAIN = bytearray(range(256))
@@ -270,7 +271,12 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int
         return pa.table({"lang": pa.array([lang] * len(sizes), pa.string()), "size": pa.array(sizes, pa.int32()),
                          "phrase": pa.array(phrases, pa.string()), "f": pa.array(counts, pa.int64())})
 
-    parts = shard_automata(texts, cuts, shard_words).groupBy("lang", "range").applyInArrow(
+    # As many partitions as there are ranges, since AQE does not cut one that several large ranges fall into.
+    ranges = sum(len(own) + 1 for own in cuts.values())
+    built = shard_automata(texts, cuts, shard_words)
+    if ranges > 1:
+        built = built.repartition(ranges, "lang", "range")
+    parts = built.groupBy("lang", "range").applyInArrow(
         unite, "lang string, size int, phrase string, f long")
     total = parts.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
     return total.where((F.col("size") == 0) | (F.col("f") >= min_count))
@@ -348,6 +354,9 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, co
     over = longer.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = least.join(over, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (F.col("longer").cast("decimal(38,0)") * 100 < F.col("a").cast("decimal(38,0)") * covered))
-    order = Window.partitionBy("lang").orderBy(F.desc("x.score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    by_score = [F.desc("x.score"), F.desc("a"), "phrase"]
+    # First among some dealings of each language, so that the last step meets at most _DEALT * top rows.
+    dealt = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(_DEALT))).orderBy(*by_score)
+    some = kept.withColumn("rank", F.row_number().over(dealt)).where(F.col("rank") <= top)
+    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by_score)).cast("long")).where(F.col("rank") <= top)
     return best.join(words, "lang").select("lang", "rank", "phrase", "a", "x.l", "x.r", "n", "x.score")
