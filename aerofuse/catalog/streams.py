@@ -40,7 +40,7 @@ def ingest_stream(spark: SparkSession, sf_dir: str):
         "station_id", "parameter", "time", "event_id", "value")
     path = landing_path(arrivals, "ingest")
     ingest.add_new(arrivals, f"{path}/rows", f"{path}/state", "event_id").awaitTermination()
-    return spark.read.parquet(f"{path}/rows").select(*arrivals.columns)
+    return ingest.measurements(spark, f"{path}/rows", arrivals.schema)
 
 
 def stream_24h(spark: SparkSession, sf_dir: str):
@@ -48,7 +48,7 @@ def stream_24h(spark: SparkSession, sf_dir: str):
     arrivals = spark_view(spark, sf_dir, "obs", events=_event_stream(spark, sf_dir))
     path = landing_path(arrivals, "daily")
     ingest.add_daily_sums(arrivals, f"{path}/rows", f"{path}/state", "pm25").awaitTermination()
-    return rounded(ingest.daily_means(spark.read.parquet(f"{path}/rows")))
+    return rounded(ingest.daily_means(ingest.daily_sums(spark, f"{path}/rows")))
 
 
 def stream_score(spark: SparkSession, sf_dir: str):

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerofuse.params import TrainingParams
 from aerofuse.plans.training import score
+from aerofuse.streaming.committed import CommittedTable, stream_id
 
 KEYS = ("station_id", "parameter", "time")
 # State of the running queries is kept on executor disk, with change logs in the checkpoint.
@@ -33,65 +34,84 @@ def read_arrivals(spark: SparkSession, folder: str, schema: T.StructType | str,
 
 
 def first_of_batch(df: DataFrame, order: str, keys: Sequence[str] = KEYS, known: DataFrame | None = None) -> DataFrame:
-    """Batch twin: the first row in ``order`` per key, without the keys already ``known``."""
+    """Batch twin: the first row in ``order`` per key, without the keys already ``known``. Null keys are keys, too."""
     others = [c for c in df.columns if c not in (*keys, order)]
     packed = F.min_by(F.struct(*others), order).alias("first") if others else F.lit(None).alias("first")
     firsts = df.groupBy(*keys).agg(F.min(order).alias(order), packed)
     rows = firsts.select(*keys, order, *(F.col(f"first.{c}").alias(c) for c in others)).select(*df.columns)
     if known is None:
         return rows
-    return rows.join(known.select(*keys), list(keys), "left_anti")
+    seen = known.select(*(F.col(k).alias(f"known {n}") for n, k in enumerate(keys)))
+    same = [F.col(k).eqNullSafe(F.col(f"known {n}")) for n, k in enumerate(keys)]
+    return rows.join(seen, same, "left_anti")
 
 
 def add_new(stream: DataFrame, path: str, checkpoint: str, order: str, keys: Sequence[str] = KEYS,
             time: str = "time") -> StreamingQuery:
-    """Append each measurement once to the table under ``path``, however late or often it arrives.
+    """Append each measurement once to the committed table under ``path``, however late or often it arrives.
 
-    A batch keeps its first row per key in ``order`` and leaves out keys that earlier batches have written,
-    looked up in the days that the batch touches. It is written to a folder of its own number, which a
-    repeated batch replaces, so a retry adds nothing twice. Read the table with ``Spark.read.parquet``.
+    A batch keeps its first row per key in ``order`` and leaves out keys that are committed, by this checkpoint or
+    any other, looked up in the days that the batch touches (rows without time: in those without day). Read the
+    table with ``measurements``.
     """
 
     def add(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("date", F.to_date(time))
-        known = _earlier(batch, path, number)
-        if known is not None:
-            days = rows.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
-            known = known.where(F.col("date").between(days["low"], days["high"])) if days["low"] else known.limit(0)
-        fresh = first_of_batch(rows, order, keys, known)
-        fresh.repartition("date").write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={number}")
+        spark = batch.sparkSession
+        table, own = CommittedTable(spark, path, ["date"]), stream_id(spark)
+        if table.holds(own, number):
+            return
+        rows = batch.withColumn("date", F.to_date(time)).persist()
+        try:
+            days = rows.agg(F.min("date").alias("low"), F.max("date").alias("high"), F.count_if(F.isnull("date")).alias("none")).first()
+            known = table.read(rows.schema).where(
+                F.col("date").between(F.lit(days["low"]), F.lit(days["high"])) | (F.col("date").isNull() & F.lit(days["none"] > 0)))
+            table.add(first_of_batch(rows, order, keys, known), own, number)
+        finally:
+            rows.unpersist()
 
     return _by_batch(stream, add, checkpoint)
 
 
+def measurements(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table that ``add_new`` writes; ``schema`` is that of its stream."""
+    return CommittedTable(spark, path).read(T.StructType([*schema.fields, T.StructField("date", T.DateType())])).select(*schema.names)
+
+
 def add_daily_sums(stream: DataFrame, path: str, checkpoint: str, value: str, station: str = "station_id",
                    time: str = "time") -> StreamingQuery:
-    """Append each batch's sums and counts per station and day; ``daily_means`` adds them up."""
+    """Append each batch's sums and counts per station and day; ``daily_means`` adds them up.
+
+    Sums cannot tell a row that is read again, so the table belongs to the checkpoint that began it: another one is refused.
+    """
 
     def add(batch: DataFrame, number: int) -> None:
-        day = F.date_trunc("day", F.col(time).cast("timestamp_ltz")).cast("timestamp_ntz").alias("start")
-        sums = batch.groupBy(station, day).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
-        sums.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spark = batch.sparkSession
+        table, own = CommittedTable(spark, path), stream_id(spark)
+        others = table.streams() - {own}
+        if others:
+            raise ValueError(f"{path} is added to by another checkpoint ({', '.join(sorted(others))})")
+        table.add(_daily(batch, value, station, time), own, number)
 
     return _by_batch(stream, add, checkpoint)
 
 
+def _daily(rows: DataFrame, value: str, station: str, time: str) -> DataFrame:
+    day = F.date_trunc("day", F.col(time).cast("timestamp_ltz")).cast("timestamp_ntz").alias("start")
+    return rows.groupBy(station, day).agg(F.sum(F.col(value).cast("double")).alias("total"), F.count(value).alias("n"))
+
+
+def daily_sums(spark: SparkSession, path: str, station: T.StructField | None = None) -> DataFrame:
+    """The table that ``add_daily_sums`` writes."""
+    field = station or T.StructField("station_id", T.StringType())
+    return CommittedTable(spark, path).read(T.StructType([field]).add("start", "timestamp_ntz").add("total", "double").add("n", "long"))
+
+
 def daily_means(sums: DataFrame, station: str = "station_id") -> DataFrame:
     """24-hour mean per station of all days, late rows included, from the table that ``add_daily_sums`` writes."""
     total = sums.groupBy(station, "start").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     return total.select(station, "start", (F.col("total") / F.nullif(F.col("n"), F.lit(0))).alias("mean"), "n")
 
 
-def _earlier(batch: DataFrame, path: str, number: int) -> DataFrame | None:
-    """Rows that batches before this one have written."""
-    spark = batch.sparkSession
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if number == 0 or not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return None
-    schema = T.StructType([*batch.schema.fields, T.StructField("date", T.DateType()), T.StructField("batch", T.LongType())])
-    return spark.read.schema(schema).parquet(path).where(F.col("batch") < number)
-
-
 def _by_batch(stream: DataFrame, add, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
