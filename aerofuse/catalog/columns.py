@@ -68,10 +68,17 @@ def clip(features):
 
 
 @part.query("obs_long", sql="""
-    SELECT event_id, value AS pm25, value * 1.5 AS pm10 FROM obs_long WHERE parameter = 'pm25'""")
+    SELECT 'measured' AS origin, a.event_id, a.value AS pm25, b.value AS pm10
+    FROM obs_long a LEFT JOIN (SELECT * FROM obs_long WHERE parameter = 'pm10') b
+        ON a.time = b.time AND a.lat = b.lat AND a.lon = b.lon
+    WHERE a.parameter = 'pm25'
+    UNION ALL SELECT 'estimated', event_id, value, value * 1.5 FROM obs_long WHERE parameter = 'pm25'""")
 def pm10_estimate(obs_long):
-    fine_only = obs_long.where("parameter <> 'pm10'")
-    return reshape.merge_pm10(fine_only).select("event_id", "pm25", "pm10")
+    """Both branches over all rows: with the coarse readings, and with their parameter under a name that is not coarse."""
+    unknown = obs_long.withColumn("parameter", F.when(F.col("parameter") == "pm10", "dust").otherwise(F.col("parameter")))
+    measured, estimated = reshape.merge_pm10(obs_long), reshape.merge_pm10(unknown)
+    return measured.withColumn("origin", F.lit("measured")).unionByName(
+        estimated.withColumn("origin", F.lit("estimated"))).select("origin", "event_id", "pm25", "pm10")
 
 
 @part.query("scored", sql=f"SELECT event_id, y, {CATEGORY_SQL.format('y')} AS category FROM scored")

@@ -10,7 +10,7 @@ from aerofuse.catalog.fixtures import BASE_TABLES, spark_view, with_views
 from aerofuse.catalog.models import FEATURES, PARAMS, fitted, in_range
 from aerofuse.catalog.scans import landing_path
 from aerofuse.session import prepare
-from aerofuse.streaming import ingest
+from aerofuse.streaming import closing, ingest
 
 part = Part()
 
@@ -51,6 +51,21 @@ def stream_24h(spark: SparkSession, sf_dir: str):
     return rounded(ingest.daily_means(ingest.daily_sums(spark, f"{path}/rows")))
 
 
+def closed_days(spark: SparkSession, sf_dir: str):
+    """Nine tenths of the observations arrive first, the others after days have been closed."""
+    prepare(spark)
+    obs = spark_view(spark, sf_dir, "obs").select("event_id", "station_id", "time", "pm25")
+    path = landing_path(obs, "closing")
+    for k, some in enumerate((F.col("event_id") % 10 != 0, F.col("event_id") % 10 == 0)):
+        obs.where(some).write.parquet(f"{path}/in/{k}")
+        arrivals = ingest.read_arrivals(spark, f"{path}/in/*", obs.schema, files_per_batch=1_000_000)
+        closing.close_days(arrivals, f"{path}/out", f"{path}/state", "pm25", "1 day").awaitTermination()
+    late = closing.late_rows(spark, f"{path}/out").groupBy(
+        "station", F.date_trunc("day", F.col("time").cast("timestamp_ltz")).cast("timestamp_ntz").alias("start")).agg(F.count("*").alias("n_late"))
+    closed = closing.closed_days(spark, f"{path}/out").join(late, ["station", "start"], "left")
+    return rounded(closed.select(F.col("station").alias("station_id"), "start", "mean", "n", F.coalesce("n_late", F.lit(0)).alias("n_late")))
+
+
 def stream_score(spark: SparkSession, sf_dir: str):
     prepare(spark)
     model, ready = fitted(spark, sf_dir)
@@ -67,6 +82,7 @@ def stream_score(spark: SparkSession, sf_dir: str):
 ORACLE_FIRSTS = part.oracles["ingest_dedup"]
 QUERIES = {
     **part.queries, "ingest_stream": ingest_stream, "stream_24h": stream_24h, "stream_score": stream_score,
+    "closed_days": closed_days,
 }
 ORACLES = {
     **part.oracles,
@@ -78,6 +94,16 @@ ORACLES = {
         FROM features""", ("features",)
     ),
     "ingest_stream": ORACLE_FIRSTS,
+    "closed_days": with_views(
+        """
+        , marks AS (SELECT max(time) FILTER (event_id % 10 <> 0) - INTERVAL '1' DAY AS early, max(time) - INTERVAL '1' DAY AS last FROM obs),
+        dated AS (SELECT *, CAST(date_trunc('day', time) AS TIMESTAMP) AS start FROM obs),
+        placed AS (SELECT d.*, start + INTERVAL '1' DAY <= early AS closed_early, event_id % 10 <> 0 AS first FROM dated d, marks
+                   WHERE start + INTERVAL '1' DAY <= last)
+        SELECT station_id, start, round(avg(pm25) FILTER (first OR NOT closed_early), 6) AS mean,
+               count(pm25) FILTER (first OR NOT closed_early) AS n, count(*) FILTER (closed_early AND NOT first) AS n_late
+        FROM placed GROUP BY 1, 2 HAVING count(*) FILTER (first OR NOT closed_early) > 0""", ("obs",)
+    ),
     "stream_24h": with_views(
         """
         SELECT station_id, CAST(date_trunc('day', time) AS TIMESTAMP) AS start, round(avg(pm25), 6) AS mean,
