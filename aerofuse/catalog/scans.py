@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerofuse import sources
-from aerofuse.catalog.binding import Part
+from aerofuse.catalog.binding import Part, rounded
 from aerofuse.functions import aqi_category, aqi_index, parse_number, parse_time, station_key
 from aerofuse.operators.quality import outlier_filter as drop_outliers
 from aerofuse.params import FEATURES
@@ -18,6 +18,8 @@ from aerofuse.sources import schemas
 
 part = Part()
 
+BOX_FILE_ROWS = 4_000  # small, so that a test table has some files; production uses the library's default
+
 
 def landing_path(df, label: str) -> str:
     return f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
@@ -109,8 +111,42 @@ def station_semi(obs, stations):
     SELECT lat, lon, time, l_orderkey, l_linenumber FROM aerosol
     WHERE lat BETWEEN 10 AND 20 AND lon BETWEEN 70 AND 80""")
 def bbox_filter(aerosol):
-    wanted = sources.within_box(lat_min=10, lat_max=20, lon_min=70, lon_max=80)
-    return _by_day(aerosol, "time", wanted).select("lat", "lon", "time", "l_orderkey", "l_linenumber")
+    path = landing_path(aerosol, "places")
+    sources.write_by_place(aerosol, path, BOX_FILE_ROWS)
+    rows = sources.read_box(aerosol.sparkSession, path, aerosol.schema, lat_min=10, lat_max=20, lon_min=70, lon_max=80)
+    return rows.select("lat", "lon", "time", "l_orderkey", "l_linenumber")
+
+
+@part.query("obs_long", sql="""
+    SELECT 'City' || (event_id % 4) AS city, count(*) AS n_rows, round(sum(value), 6) AS total, CAST(0 AS BIGINT) AS n_bad FROM obs_long GROUP BY 1
+    UNION ALL SELECT 'City4', 0, NULL, 1""")
+def unreadable_location(obs_long):
+    """One location's file is no Parquet at all: every other row is read, and the file has an error row."""
+    spark, path = obs_long.sparkSession, landing_path(obs_long, "failing")
+    rows = obs_long.select("event_id", "value", F.concat(F.lit("City"), (F.col("event_id") % 4).cast("string")).alias("city"))
+    sources.write_table(rows, f"{path}/good")
+    spark.range(1).select(F.lit("<html>503 Service Unavailable</html>").alias("value")).write.text(f"{path}/bad/city=City4")
+    kept, errors = sources.read_readable(spark, [f"{path}/good", f"{path}/bad"], rows.schema, pattern="*.{parquet,txt}")
+    found = kept.groupBy("city").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
+    city = F.regexp_extract("file", "city=([^/]*)", 1).alias("city")
+    failed = errors.groupBy(city).agg(F.lit(0).cast("long").alias("n_rows"), F.lit(None).cast("double").alias("total"), F.count("*").alias("n_bad"))
+    return rounded(found.withColumn("n_bad", F.lit(0).cast("long")).unionByName(failed))
+
+
+@part.query("obs_long", sql="""
+    SELECT event_id, CASE WHEN event_id % 11 = 3 THEN 'type of value' WHEN event_id % 13 = 5 THEN '2 fields, not 3'
+        WHEN event_id % 17 = 7 THEN '4 fields, not 3' ELSE 'sound' END AS verdict FROM obs_long""")
+def broken_records(obs_long):
+    """CSV lines with a value that is no number, a field too few or one too many, found by file, text and reason."""
+    spark, path = obs_long.sparkSession, landing_path(obs_long, "broken")
+    start = F.concat(F.col("event_id").cast("string"), F.lit(","), F.col("station_id"))
+    line = F.when(F.col("event_id") % 11 == 3, F.concat(start, F.lit(",n/a"))).when(F.col("event_id") % 13 == 5, start).when(
+        F.col("event_id") % 17 == 7, F.concat(start, F.lit(",1.5,extra"))).otherwise(F.concat(start, F.lit(","), F.coalesce(F.col("value").cast("string"), F.lit(""))))
+    obs_long.select(line.alias("line")).write.text(path)
+    schema = T.StructType.fromDDL("event_id long, station_id string, value double")
+    sound, broken = sources.read_records(spark, path, schema, header="false")
+    return sound.select("event_id", F.lit("sound").alias("verdict")).unionByName(
+        broken.select(F.split("record", ",")[0].cast("long").alias("event_id"), F.col("reason").alias("verdict")))
 
 
 @part.query("orders", sql="""

@@ -12,7 +12,7 @@ Two tools:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -29,6 +29,8 @@ SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 BINS = 4096
 # A search stops narrowing when so few rows are left that they can be looked at directly.
 FEW = 10_000
+# A sketched rank is off by at most one in so many.
+ACCURACY = 10_000
 # Rows meant for one range, so that a task sorts some hundred megabytes at any size of input.
 SHARD_ROWS = 4_000_000
 
@@ -195,9 +197,11 @@ def _inside(df: DataFrame, searches: Sequence[tuple[int, str, _Bracket]], integr
     return df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
 
 
-def _brackets(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int) -> list[_Bracket]:
+def _brackets(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int,
+              start: Sequence[_Bracket | None] | None = None) -> list[_Bracket]:
     """A bracket for each (column, 0-based rank among the non-NULL values): a single value, or at
-    most ``few`` rows. All searches share each pass, which returns at most ``BINS`` rows for each.
+    most ``few`` rows. All searches share each pass, which returns at most ``BINS`` rows for each. ``start``
+    gives brackets to begin with, where they are known.
     """
     columns = sorted({column for column, _ in wanted})
     integral = isinstance(df.schema[columns[0]].dataType, T.IntegralType)
@@ -206,7 +210,8 @@ def _brackets(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int) -> lis
     ).first()
     if any(ends[f"count_{c}"] == 0 for c in columns):
         raise ValueError("a column holds no value")
-    found = [_Bracket(ends[f"min_{c}"], ends[f"max_{c}"], ends[f"count_{c}"], 0) for c, _ in wanted]
+    found = [(start[k] if start else None) or _Bracket(ends[f"min_{c}"], ends[f"max_{c}"], ends[f"count_{c}"], 0)
+             for k, (c, _) in enumerate(wanted)]
     while pending := [i for i, b in enumerate(found) if not b.settled and b.rows > few]:
         bins = (
             _inside(df, [(i, wanted[i][0], found[i]) for i in pending], integral)
@@ -222,9 +227,10 @@ def _brackets(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int) -> lis
     return found
 
 
-def values_at_ranks(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int = FEW) -> list[float]:
+def values_at_ranks(df: DataFrame, wanted: Sequence[tuple[str, int]], few: int = FEW,
+                    start: Sequence[_Bracket | None] | None = None) -> list[float]:
     """The value at each (column, 0-based rank). The columns must all be integral or all floating."""
-    found = _brackets(df, wanted, few)
+    found = _brackets(df, wanted, few, start)
     integral = isinstance(df.schema[wanted[0][0]].dataType, T.IntegralType)
     open_searches = [(i, wanted[i][0], b) for i, b in enumerate(found) if not b.settled]
     rest: dict[int, list] = {i: [] for i, _, _ in open_searches}
@@ -270,30 +276,62 @@ def first_rows(df: DataFrame, order: Sequence[Column], rows: int) -> Column:
     return at_or_before(order, cut_at_rank(keys, names, rows - 1))
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+def _middle_sketch(value: Column) -> Column:
+    """Two values that enclose the median: ranks are off by at most one in ACCURACY, the bounds stand two apart."""
+    return F.percentile_approx(value, [0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY], ACCURACY)
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], sketch: Callable[[Column], Column] = _middle_sketch,
+                  few: int = FEW) -> dict[str, float | None]:
     """Exact median of several columns, NULL and NaN ignored; ``None`` for a column without values.
 
-    Infinite values are counted and stand at the ends; the search goes over the finite ones.
+    A first pass counts and sketches all columns; a second one counts what lies below and at the sketched bounds and lists
+    the values between them. Where those would be more than ``few``, and where the sketch errs, the search goes on by
+    histograms from the bracket that holds the rank. Infinite values are counted and stand at the ends.
     """
     typed = df.select(*(_number(F.col(c).cast("double")).alias(c) for c in columns))
     infinite = F.lit(float("inf"))
-    counts = typed.agg(*(
-        F.count(F.when(condition, 1)).alias(f"{name}_{c}") for c in columns
-        for name, condition in (("low", F.col(c) == -infinite), ("mid", F.abs(F.col(c)) < infinite), ("high", F.col(c) == infinite))
-    )).first()
     finite = typed.select(*(F.when(F.abs(F.col(c)) < infinite, F.col(c)).alias(c) for c in columns))
-    wanted, ends = [], {}
+    first = typed.agg(*(
+        x.alias(f"{name}_{c}") for c in columns for name, x in (
+            ("low", F.count_if(F.col(c) == -infinite)), ("high", F.count_if(F.col(c) == infinite)),
+            ("mid", F.count_if(F.abs(F.col(c)) < infinite)), ("ends", sketch(F.when(F.abs(F.col(c)) < infinite, F.col(c))))))).first()
+    ranks: dict[str, list[int]] = {}  # of the one or two middle values, among all values
+    for c in columns:
+        total = sum(first[f"{name}_{c}"] for name in ("low", "mid", "high"))
+        ranks[c] = sorted({(total - 1) // 2, total // 2}) if total else []
+    some = [c for c in columns if ranks[c] and first[f"mid_{c}"]]
+    listed = {c: first[f"mid_{c}"] * 6 <= few * ACCURACY for c in some}
+    second = finite.agg(F.count(F.lit(1)).alias("rows"), *(
+        x.alias(f"{name}_{c}") for c in some for lo, hi in [map(F.lit, first[f"ends_{c}"])] for name, x in (
+            ("below", F.count_if(F.col(c) < lo)), ("lo", F.count_if(F.col(c) == lo)),
+            ("between", F.count_if((F.col(c) > lo) & (F.col(c) < hi))), ("hi", F.count_if((F.col(c) == hi) & (hi > lo))),
+            ("values", F.collect_list(F.when((F.col(c) > lo) & (F.col(c) < hi), F.col(c)) if listed[c] else F.lit(None).cast("double")))
+        ))).first() if some else None
+    found: dict[str, list[float | None]] = {}
+    open_, start = [], []
     for c in columns:
-        low, mid, high = (counts[f"{name}_{c}"] for name in ("low", "mid", "high"))
-        total = low + mid + high
-        for rank in sorted({(total - 1) // 2, total // 2}) if total else ():
-            if low <= rank < low + mid:
-                wanted.append((c, rank - low))
-                ends.setdefault(c, []).append(None)
+        found[c] = []
+        low, mid = first[f"low_{c}"], first[f"mid_{c}"]
+        for rank in ranks[c]:
+            if not low <= rank < low + mid:
+                found[c].append(-math.inf if rank < low else math.inf)
+                continue
+            (lo, hi), at = first[f"ends_{c}"], rank - low
+            below, n_lo, n, n_hi = (second[f"{name}_{c}"] for name in ("below", "lo", "between", "hi"))
+            if below <= at < below + n_lo:
+                found[c].append(lo)
+            elif below + n_lo <= at < below + n_lo + n and len(second[f"values_{c}"]) == n:
+                found[c].append(sorted(second[f"values_{c}"])[at - below - n_lo])
+            elif below + n_lo + n <= at < below + n_lo + n + n_hi:
+                found[c].append(hi)
             else:
-                ends.setdefault(c, []).append(-math.inf if rank < low else math.inf)
-    found = iter(values_at_ranks(finite, wanted) if wanted else [])
-    return {c: _middle([next(found) if v is None else v for v in ends[c]]) if c in ends else None for c in columns}
+                inside = below <= at < below + n_lo + n + n_hi
+                found[c].append(None)
+                open_.append((c, at))
+                start.append(_Bracket(lo, hi, n_lo + n + n_hi, below) if inside else None)
+    rest = iter(values_at_ranks(finite, open_, few, start) if open_ else [])
+    return {c: _middle([next(rest) if v is None else v for v in found[c]]) if found[c] else None for c in columns}
 
 
 def _number(value: Column) -> Column:

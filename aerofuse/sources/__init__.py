@@ -1,3 +1,5 @@
+from aerofuse.sources.files import listed_files, read_readable
+from aerofuse.sources.places import box_ranges, files_of_box, read_box, write_by_place
 from aerofuse.sources.readers import (
     between_dates,
     first_existing,
@@ -17,6 +19,7 @@ from aerofuse.sources.readers import (
     within_dates,
     within_months,
 )
+from aerofuse.sources.records import read_records
 from aerofuse.sources.rules import (
     AEROSOL_RULES,
     STATION_RULES,
@@ -44,18 +47,24 @@ __all__ = [
     "ValidationError",
     "append_log",
     "between_dates",
+    "box_ranges",
     "check_schema",
     "enforce",
+    "files_of_box",
     "first_existing",
     "flatten_landing",
     "in_box",
     "in_months",
+    "listed_files",
     "load_metrics",
     "long_measurements",
     "only_stations",
     "pad_missing",
     "project_available",
     "quarantine",
+    "read_box",
+    "read_readable",
+    "read_records",
     "read_table",
     "read_unified",
     "require_columns",
@@ -67,5 +76,6 @@ __all__ = [
     "within_dates",
     "within_months",
     "violation_report",
+    "write_by_place",
     "write_table",
 ]
