@@ -36,19 +36,22 @@ def op1_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Conversations hold no tool calls, so their turns are taken for some: a user turn calls ``reply`` and takes the
 # result of the call two turns earlier, a system turn calls ``setup``, an assistant turn is the result of the
-# call one turn earlier. Each seventh length is given as text, and ``setup`` lacks a parameter.
+# call one turn earlier; from turn 4 on, each third length takes the result four turns earlier, too. Each seventh length is
+# given as text, ``setup`` lacks a parameter, and a name holds a quotation mark.
 TOOLS = [("reply", "chars", "BIGINT", True), ("reply", "digest", "STRING", True),
-         ("setup", "chars", "BIGINT", True), ("setup", "locale", "STRING", True), ("setup", "strict", "BOOLEAN", False)]
+         ("setup", "chars", "BIGINT", True), ("setup", "locale", "STRING", True), ("setup", 'a "strict" one', "BOOLEAN", False)]
 
 
 def call_messages(conversations: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     chars = F.when(F.length(text) % 7 == 0, F.concat(F.lit('"'), F.length(text), F.lit('"'))).otherwise(F.length(text).cast("string"))
-    after = F.when(F.col("turn") >= 2, F.concat(F.lit('"c'), F.col("turn") - 2, F.lit('"'))).otherwise("null")
+    one = F.concat(F.lit('"c'), F.col("turn") - 2, F.lit('"'))
+    after = F.when((F.col("turn") >= 4) & (F.length(text) % 3 == 0), F.concat(F.lit("["), one, F.lit(',"c'), F.col("turn") - 4, F.lit('"]'))).when(
+        F.col("turn") >= 2, one).otherwise("null")
     call = F.concat(
         F.lit('{"tool_calls":[{"name":"'), F.when(F.col("role") == "user", "reply").otherwise("setup"), F.lit('","id":"c'), F.col("turn"),
         F.lit('","after":'), F.when(F.col("role") == "user", after).otherwise("null"), F.lit(',"arguments":{'),
-        F.when(F.col("role") == "user", F.concat(F.lit('"digest":"'), F.md5(text), F.lit('"'))).otherwise('"strict":true'),
+        F.when(F.col("role") == "user", F.concat(F.lit('"digest":"'), F.md5(text), F.lit('"'))).otherwise('"a \\"strict\\" one":true'),
         F.lit(',"chars":'), chars, F.lit("}}]}"))
     result = F.to_json(F.struct(F.concat(F.lit("c"), F.col("turn") - 1).alias("tool_call_id"), text.alias("content")))
     return conversations.where(F.col("role").isin("user", "system", "assistant")).select(
@@ -61,7 +64,7 @@ def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     schemas = small_table(spark, TOOLS, "tool string, parameter string, type string, required boolean")
     linked = tool_calls.link(call_messages(_table(spark, sf_dir, "conversations")), schemas)
     return linked.select(
-        "conv_id", "id", "name", F.col("turn").cast("long").alias("turn"), "depth", F.col("result_turn").cast("long").alias("result_turn"),
+        "conv_id", "id", "name", F.col("turn").cast("long").alias("turn"), "depth", "order", F.col("result_turn").cast("long").alias("result_turn"),
         F.array_join("problems", ",").alias("problems"), "status", F.sha2("canonical", 256).alias("canonical_sha256"))
 
 
@@ -69,27 +72,43 @@ ORACLES["op2_tool_calls"] = r"""
 WITH RECURSIVE turns AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS text FROM conversations),
 calls AS (
     SELECT conv_id, 'c' || turn AS id, turn, CASE WHEN role = 'user' THEN 'reply' ELSE 'setup' END AS name, text,
-           CASE WHEN role = 'user' AND turn >= 2 THEN 'c' || (turn - 2) END AS after,
+           CASE WHEN role <> 'user' OR turn < 2 THEN [] WHEN turn >= 4 AND length(text) % 3 = 0 THEN ['c' || (turn - 2), 'c' || (turn - 4)]
+                ELSE ['c' || (turn - 2)] END AS preds,
            CASE WHEN length(text) % 7 = 0 THEN '"' || length(text) || '"' ELSE CAST(length(text) AS VARCHAR) END AS chars
     FROM turns WHERE role IN ('user', 'system')),
 results AS (
     SELECT conv_id, 'c' || (turn - 1) AS id, turn AS result_turn, text AS content FROM turns WHERE role = 'assistant'),
+missing AS (
+    SELECT p.conv_id, p.id FROM (SELECT conv_id, id, unnest(preds) AS pred FROM calls) p
+    LEFT JOIN calls c ON c.conv_id = p.conv_id AND c.id = p.pred WHERE c.id IS NULL),
+lost AS (
+    SELECT conv_id, id FROM missing
+    UNION SELECT c.conv_id, c.id FROM calls c JOIN lost l ON l.conv_id = c.conv_id AND list_contains(c.preds, l.id)),
 chain AS (
-    SELECT conv_id, id, CAST(0 AS BIGINT) AS depth FROM calls WHERE after IS NULL
-    UNION ALL SELECT c.conv_id, c.id, h.depth + 1 FROM calls c JOIN chain h ON c.conv_id = h.conv_id AND c.after = h.id),
+    SELECT conv_id, id, CAST(0 AS BIGINT) AS depth FROM calls WHERE len(preds) = 0
+    UNION SELECT c.conv_id, c.id, h.depth + 1 FROM calls c JOIN chain h ON c.conv_id = h.conv_id AND list_contains(c.preds, h.id)),
+deepest AS (
+    SELECT h.conv_id, h.id, max(depth) AS depth FROM chain h LEFT JOIN lost l ON l.conv_id = h.conv_id AND l.id = h.id
+    WHERE l.id IS NULL GROUP BY h.conv_id, h.id),
 joined AS (
-    SELECT c.*, r.result_turn, r.content, h.depth, array_to_string(list_filter([
+    SELECT c.conv_id, c.id, c.name, c.turn, c.text, c.preds, c.chars, r.result_turn, r.content, h.depth,
+        row_number() OVER (PARTITION BY c.conv_id ORDER BY h.depth NULLS LAST, c.turn) AS "order", array_to_string(list_filter([
         CASE WHEN name = 'setup' THEN 'missing locale' END,
         CASE WHEN chars LIKE '"%' THEN 'type chars' END], lambda x: x IS NOT NULL), ',') AS problems
-    FROM calls c LEFT JOIN results r USING (conv_id, id) LEFT JOIN chain h USING (conv_id, id))
-SELECT conv_id, id, name, turn, depth, result_turn, problems,
+    FROM calls c LEFT JOIN results r ON r.conv_id = c.conv_id AND r.id = c.id LEFT JOIN deepest h ON h.conv_id = c.conv_id AND h.id = c.id)
+SELECT conv_id, id, name, turn, depth, "order", result_turn, problems,
        CASE WHEN depth IS NULL THEN 'unordered' WHEN problems <> '' THEN 'invalid'
             WHEN result_turn IS NULL THEN 'unanswered' ELSE 'ok' END AS status,
-       sha256('{' || CASE WHEN after IS NULL THEN '' ELSE '"after":"' || after || '",' END
-           || '"arguments":{"chars":' || chars || CASE WHEN name = 'reply' THEN ',"digest":"' || md5(text) || '"' ELSE ',"strict":true' END
+       sha256('{' || CASE len(preds) WHEN 0 THEN '' WHEN 1 THEN '"after":"' || preds[1] || '",'
+                          ELSE '"after":["' || array_to_string(preds, '","') || '"],' END
+           || '"arguments":{' || CASE WHEN name = 'reply' THEN '"chars":' || chars || ',"digest":"' || md5(text) || '"'
+                                      ELSE '"a \"strict\" one":true,"chars":' || chars END
            || '}' || CASE WHEN content IS NULL THEN '' ELSE ',"content":' || CAST(to_json(content) AS VARCHAR) END
            || ',"id":"' || id || '","name":"' || name || '"}') AS canonical_sha256
-FROM joined"""
+FROM joined
+UNION ALL SELECT r.conv_id, r.id, NULL, NULL, NULL, NULL, r.result_turn, '', 'orphan',
+       sha256('{"content":' || CAST(to_json(r.content) AS VARCHAR) || ',"id":"' || r.id || '"}')
+FROM results r LEFT JOIN calls c ON c.conv_id = r.conv_id AND c.id = r.id WHERE c.id IS NULL"""
 
 
 @query

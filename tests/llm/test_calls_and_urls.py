@@ -7,6 +7,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from aerofuse.llm import tool_calls, url_filter
 
 SCHEMA = "tool string, parameter string, type string, required boolean"
@@ -37,6 +39,36 @@ def test_calls(spark):
     assert found[1, "x"]["canonical"] == '{"arguments":{"a":1.5,"b":2},"content":"early","id":"x","name":"f"}'
 
 
+def test_odd_calls(spark, many_shards):
+    """Quoted names, no conversation, several predecessors, repeated names, results without call."""
+    schemas = spark.createDataFrame([("f", 'say "so"', "BIGINT", True), ("f", "$.a[0]'\\", "STRING", False)], SCHEMA)
+    good = {'say "so"': 1, "$.a[0]'\\": "x"}
+    rows = [
+        (None, 1, "assistant", json.dumps({"tool_calls": [call("a", arguments=good), call("b", ["a"], arguments={'say "so"': "1"})]})),
+        (None, 2, "tool", json.dumps({"tool_call_id": "a", "content": "answer"})),
+        (1, 1, "assistant", json.dumps({"tool_calls": [call("e", ["d", "b", "b"], good), call("d", "c", good), call("c", "b", good), call("b", "a", good)]})),
+        (1, 2, "assistant", json.dumps({"tool_calls": [call("a", [], good), call("x", ["a", "none"], good), call("y", ["e", "x"], good), call("z", ["e", "d"], good)]})),
+        (1, 3, "assistant", json.dumps({"tool_calls": [call("p", ["q", "a"], good), call("q", ["p"], good)]})),
+        (1, 4, "tool", json.dumps({"tool_call_id": "nobody", "content": "lost"})), (1, 5, "tool", json.dumps({"content": "no id"})),
+        (2, 1, "assistant", '{"tool_calls": [{"id": "r", "name": "f", "arguments": {"a": 1, "a": 2}}, {"id": "l", "name": "f", "arguments": [1]}, {"id": "n", "name": "f"}]}'),
+    ]
+    messages = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumns(
+        {"conv": F.lit("c"), "top": F.lit(1), "kind": F.lit(2), "order": F.lit(3)})
+    found = {(r["conv_id"], r["id"]): r for r in tool_calls.link(messages, schemas).collect()}
+    assert found[None, "a"]["status"] == "ok" and found[None, "a"]["content"] == "answer" and found[None, "a"]["problems"] == []
+    assert found[None, "b"]["problems"] == ['type say "so"'] and found[None, "b"]["depth"] == 1
+    assert json.loads(found[None, "a"]["canonical"]) == {"arguments": good, "content": "answer", "id": "a", "name": "f"}
+    assert {k[1]: r["depth"] for k, r in found.items() if k[0] == 1 and r["status"] != "orphan"} == {
+        "a": 0, "b": 1, "c": 2, "d": 3, "e": 4, "z": 5, "x": None, "y": None, "p": None, "q": None}
+    order = sorted((r["order"], k[1]) for k, r in found.items() if k[0] == 1 and r["status"] != "orphan")
+    assert [n for n, _ in order] == list(range(1, 11)) and "".join(i for _, i in order) == "abcdez" + "xypq"
+    orphan = found[1, "nobody"]
+    assert (orphan["status"], orphan["content"], orphan["turn"], orphan["order"], orphan["result_turn"]) == ("orphan", "lost", None, None, 4)
+    assert found[2, "r"]["problems"] == found[2, "l"]["problems"] == ["arguments unreadable"] and found[2, "n"]["problems"] == ['missing say "so"']
+    assert json.loads(json.loads(found[2, "r"]["canonical"])["arguments"].replace(" ", "")) == {"a": 2}
+    assert len(found) == 2 + 10 + 1 + 3
+
+
 def test_long_chain(spark):
     order = list(range(300))
     random.Random(1).shuffle(order)
