@@ -13,6 +13,7 @@ Documents may repeat; each row is searched alone.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerofuse.llm.names import fresh
 from aerofuse.llm.text import blocks, utf8, words
 
 WINDOW = 10
@@ -122,48 +124,82 @@ def _lower(word: bytes) -> str:
     return word.lower().decode("utf-8")  # bytes.lower changes A-Z only
 
 
-def _search(texts: pa.Array, tables: list[Table]) -> tuple[np.ndarray, list]:
-    """Number of words of each text, and its (item, first word, length) hits."""
+def _search(texts: pa.Array, tables: list[Table]) -> Iterator[tuple[int, int, np.ndarray, list]]:
+    """For each text its number in the array, its number of words, the first word of it, and the hits of every table:
+    (table, first words counted over all texts, windows)."""
     data, offsets = utf8(texts)
-    n_words = np.zeros(len(texts), np.int64)
-    hits: list = [[] for _ in range(len(texts))]
     seen: dict = {}
     for lo, hi in blocks(offsets):
         part = data[offsets[lo] : offsets[hi]]
         hashes, starts, ends, first = words(part, offsets[lo : hi + 1] - offsets[lo])
-        n_words[lo:hi] = np.diff(first)
+        own: list = [[] for _ in range(hi - lo)]
         for number, table in enumerate(tables):
             places, windows = table.search(hashes, first)
-            owner = np.searchsorted(first, places, "right") - 1
-            for place, window, doc in zip(places.tolist(), windows.tolist(), owner.tolist(), strict=True):
+            same = np.zeros(len(places), bool)
+            for k, (place, window) in enumerate(zip(places.tolist(), windows.tolist(), strict=True)):
                 # The letters decide; equal stretches of text are compared once.
                 key = (number, window, part[starts[place] : ends[place + table.length - 1]].tobytes())
                 if key not in seen:
                     text = " ".join(_lower(part[starts[j] : ends[j]].tobytes()) for j in range(place, place + table.length))
                     seen[key] = text == table.texts[window]
-                if seen[key]:
-                    hits[lo + doc] += [(item, place - int(first[doc]), table.length) for item in table.items[window]]
-    return n_words, hits
+                same[k] = seen[key]
+            places, windows = places[same], windows[same]
+            owner = np.searchsorted(first, places, "right") - 1
+            order = np.argsort(owner, kind="stable")
+            at = np.searchsorted(owner[order], np.arange(hi - lo + 1))
+            for doc in np.unique(owner).tolist():
+                some = order[at[doc] : at[doc + 1]]
+                own[doc].append((table, places[some] - first[doc], windows[some]))
+        for doc in range(hi - lo):
+            yield lo + doc, int(first[doc + 1] - first[doc]), own[doc]
+
+
+def _merged(hits: list) -> list[dict]:
+    """The words inside any hit, as stretches that do not meet."""
+    if not hits:
+        return []
+    start = np.concatenate([places for _, places, _ in hits])
+    end = np.concatenate([places + table.length for table, places, _ in hits])
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    last = np.append(new[1:], len(start)) - 1
+    return [{"s": s, "e": e} for s, e in zip(start[new].tolist(), reach[last].tolist(), strict=True)]
 
 
 def word_count(text: Column | str) -> Column:
     def count(texts: pa.Array) -> pa.Array:
-        return pa.array(_search(texts, [])[0], pa.int64())
+        return pa.array([n for _, n, _ in _search(texts, [])], pa.int64())
 
     return F.arrow_udf(count, "long")(text)
 
 
-def _hits(text: Column, tables: list[Table]) -> Column:
-    """struct(n_words, spans): every occurrence of every window of these tables."""
+_FOUND = "n_words:long,covered:array<struct<s:int,e:int>>,items:array<string>"
+
 
+def _hits(text: Column, tables: list[Table], with_spans: bool) -> Column:
+    """struct(n_words, covered, items, and with_spans all spans) of these tables; a null item stands for those without id."""
+    covered = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
     kind = pa.list_(pa.struct([("item", pa.string()), ("start", pa.int32()), ("length", pa.int32())]))
 
     def find(texts: pa.Array) -> pa.Array:
-        n_words, hits = _search(texts, tables)
-        spans = pa.array([[{"item": i, "start": s, "length": n} for i, s, n in own] for own in hits], kind)
-        return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), spans], ["n_words", "spans"])
-
-    return F.arrow_udf(find, f"struct<n_words:long,spans:{SPANS}>")(text)
+        sizes, ranges, items, spans = [], [], [], []
+        for _, n_words, hits in _search(texts, tables):
+            sizes.append(n_words)
+            ranges.append(_merged(hits))
+            items.append(sorted({i for table, _, windows in hits for w in np.unique(windows).tolist() for i in table.items[w]},
+                                key=lambda item: (item is None, item or "")))
+            if with_spans:
+                spans.append([{"item": i, "start": p, "length": table.length} for table, places, windows in hits
+                              for p, w in zip(places.tolist(), windows.tolist(), strict=True) for i in table.items[w]])
+        columns = [pa.array(sizes, pa.int64()), pa.array(ranges, covered), pa.array(items, pa.list_(pa.string()))]
+        names = ["n_words", "covered", "items"]
+        if with_spans:
+            columns.append(pa.array(spans, kind))
+            names.append("spans")
+        return pa.StructArray.from_arrays(columns, names)
+
+    return F.arrow_udf(find, f"struct<{_FOUND}{',spans:' + SPANS if with_spans else ''}>")(text)
 
 
 def item_blocks(items: DataFrame, block_items: int, item_col: str, text_col: str) -> list[list[tuple[str | None, str]]]:
@@ -176,25 +212,33 @@ def item_blocks(items: DataFrame, block_items: int, item_col: str, text_col: str
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS,
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                  into: str = "contamination") -> DataFrame:
-    """``docs`` with one more column ``into``: struct(n_words, n_hit, items, spans).
+                  into: str = "contamination", with_spans: bool = False) -> DataFrame:
+    """``docs`` with one more column ``into``: struct(n_words, n_hit, items, unnamed), and with_spans all spans.
 
-    n_hit counts the words inside any occurrence, items are the sorted ids with occurrences (nulls left out), spans
-    all places, with a null item for items without id.
+    n_hit counts the words inside any occurrence, items are the sorted ids with occurrences (nulls left out), unnamed
+    tells whether an item without id occurs; spans hold every place of every item, a null item for those without id.
     The text is scanned once; each block of items is one search within the same task.
     """
-    found = [_hits(F.col(text_col), tables_of(block, window)) for block in item_blocks(items, block_items, item_col, item_text_col)]
-    names = [f"{into}_{k}" for k in range(len(found))]
+    found = [_hits(F.col(text_col), tables_of(block, window), with_spans) for block in item_blocks(items, block_items, item_col, item_text_col)]
+    names = fresh([f"_found_{k}" for k in range(len(found))], docs)
     wide = docs.select("*", *(c.alias(n) for c, n in zip(found, names, strict=True)))
-    spans = F.concat(*(F.col(f"{n}.spans") for n in names))
-    covered = F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s.start, s.start + s.length - 1))))
+
+    def all_of(field: str) -> Column:
+        return F.concat(*(F.col(f"{n}.{field}") for n in names))
+
+    # Stretches of one block do not meet, those of several blocks are joined in order.
+    nothing = F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto"))
+    n_hit = F.aggregate(F.array_sort(all_of("covered")), nothing, lambda x, r: F.struct(
+        (x.n + F.greatest(r.e - F.greatest(r.s, x.upto), F.lit(0))).alias("n"), F.greatest(r.e, x.upto).alias("upto"))).n
     result = F.struct(
-        F.col(f"{names[0]}.n_words").alias("n_words"), F.size(covered).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.array_compact(F.transform(spans, lambda s: s.item)))).alias("items"), spans.alias("spans"))
-    return wide.select(*docs.columns, result.alias(into))
+        F.col(f"{names[0]}.n_words").alias("n_words"), n_hit.cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.array_compact(all_of("items")))).alias("items"),
+        F.exists(all_of("items"), lambda i: i.isNull()).alias("unnamed"), *([all_of("spans").alias("spans")] if with_spans else []))
+    return wide.withColumn(into, result).drop(*names)
 
 
 def remove_hits(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold a window of any item; columns and other rows stay as they are."""
-    marked = contamination(docs, items, into="_leak", **options)
-    return marked.where(F.col("_leak.n_hit") == 0).select(*docs.columns)
+    [leak] = fresh(["_leak"], docs)
+    marked = contamination(docs, items, into=leak, **options)
+    return marked.where(F.col(f"{leak}.n_hit") == 0).drop(leak)

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerofuse.llm.components import components
+from aerofuse.llm.names import fresh
 from aerofuse.llm.text import blocks, mix, numbers, utf8, windows, words
 from aerofuse.session import materialize
 
@@ -243,10 +244,10 @@ def _in_blocks(rows: DataFrame, size: str) -> DataFrame:
     return met.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, cls, n, values; written once."""
-    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), sketch(F.col(text_col)).alias("s"))
-    return materialize(made.select("doc_id", "s.cls", "s.n", "s.values"), "sketches")
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, cls, n, values, and with ``hashed`` h, a hash of the text; written once."""
+    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), sketch(F.col(text_col)).alias("s"), F.xxhash64(text_col).alias("h"))
+    return materialize(made.select("doc_id", "s.cls", "s.n", "s.values", *(["h"] if hashed else [])), "sketches")
 
 
 def near_classes(docs: DataFrame, drawn: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
@@ -291,7 +292,8 @@ def near_join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     """One row per row of ``docs``: doc_id, class_id, group_id, n_links.
 
     class_id is the least id among rows of equal shingle sets, group_id the least id among all classes that are
-    linked, directly or through others, n_links the number of other classes with similarity >= threshold.
+    linked, directly or through others, n_links the number of other classes with similarity >= threshold. Classes are told
+    apart by their shingles: where rows of different texts share an id, two classes may have the same class_id.
     """
     drawn = sketches(docs, id_col, text_col)
     classes = materialize(near_classes(docs, drawn, threshold, id_col=id_col, text_col=text_col), "near-classes")
@@ -303,12 +305,20 @@ def near_join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group, that of the least id; columns stay as they are.
 
-    Rows of the kept id all have equal text or stand in different groups; equal ones are reduced to one row.
+    Of rows that share this id and are in the group one stays, the one whose text has the least hash; rows of the id
+    in other groups are judged there. A group whose rows have no id at all keeps one of them.
     """
-    found = materialize(near_join(docs, threshold, id_col, text_col), "near")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = kept.hint("merge")  # grows with the input, so it is never broadcast
-    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+    drawn = sketches(docs, id_col, text_col, hashed=True)
+    classes = materialize(near_classes(docs, drawn, threshold, id_col=id_col, text_col=text_col), "near-classes")
+    first = F.min(F.struct(F.col("class_id").isNull().alias("none"), "class_id", "cls")).alias("x")
+    chosen = classes.groupBy("root").agg(first).select("x.class_id", "x.cls")
+    least = drawn.join(chosen, "cls").where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("cls").agg(
+        F.min("doc_id").alias("doc_id"), F.min("h").alias("h"))
+    kept_id, kept_hash = fresh(["_id", "_hash"], docs)
+    kept = materialize(least.select(F.col("doc_id").alias(kept_id), F.col("h").alias(kept_hash)), "kept")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.xxhash64(text_col) == F.col(kept_hash))
+    # The list of kept documents grows with the input, so it is never broadcast.
+    rows = docs.join(kept.hint("merge"), same, "left_semi")
+    if drawn.groupBy("doc_id", "h").count().where("count > 1").isEmpty():
         return rows
     return rows.dropDuplicates([id_col, text_col])

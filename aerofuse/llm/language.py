@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerofuse.llm.names import fresh
+
 SAMPLE = 600  # training texts per language that centroids are fitted on
 CLUSTERS = 3
 DIMENSIONS = 4096
@@ -36,25 +38,33 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def _grams(text: str) -> np.ndarray:
-    """Table places of all letter pairs and triples, other characters counting as one blank."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[points]
-    points = np.where(letter, points, np.uint32(32))
-    padded = np.concatenate([[np.uint32(32)], points, [np.uint32(32)]]).astype(np.uint32)
-    known = np.concatenate([[False], letter, [False]])
-    pair = padded[:-1] * np.uint32(0x9E3779B1) + padded[1:] * np.uint32(0x85EBCA77)
-    triple = pair[:-1] * np.uint32(0xC2B2AE3D) + padded[2:] * np.uint32(0x27D4EB2F)
-    pair, triple = pair[known[:-1] | known[1:]], triple[known[:-2] | known[1:-1] | known[2:]]
-    return np.concatenate([pair, triple ^ np.uint32(0x5BD1E995)]) >> np.uint32(20)
+_BLOCK = 1 << 20  # code points of a huge text whose pairs and triples are made at a time
+
+
+def _grams(text: str, block: int = _BLOCK) -> Iterator[np.ndarray]:
+    """Table places of all letter pairs and triples, other characters counting as one blank, by the blocks they begin in."""
+    text = text.lower()
+    n, blank = len(text), np.array([32], np.uint32)
+    for a in range(0, n + 1, block):  # the text stands between two blanks, so its code point k is at place k + 1
+        b = min(a + block, n + 1)
+        points = np.frombuffer(text[max(a - 1, 0) : b + 1].encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = _letters()[points]
+        points = np.where(letter, points, blank)
+        left, right = int(a == 0), int(b >= n)
+        padded = np.concatenate([blank[:left], points, blank[:right]]).astype(np.uint32)
+        known = np.concatenate([np.zeros(left, bool), letter, np.zeros(right, bool)])
+        p, t = b - a, min(b, n) - a  # pairs and triples that begin here
+        pair = padded[:p] * np.uint32(0x9E3779B1) + padded[1 : p + 1] * np.uint32(0x85EBCA77)
+        triple = pair[:t] * np.uint32(0xC2B2AE3D) + padded[2 : t + 2] * np.uint32(0x27D4EB2F)
+        pair, triple = pair[known[:p] | known[1 : p + 1]], triple[known[:t] | known[1 : t + 1] | known[2 : t + 2]]
+        yield np.concatenate([pair, triple ^ np.uint32(0x5BD1E995)]) >> np.uint32(20)
 
 
 def _counts(texts: list) -> np.ndarray:
     out = np.zeros((len(texts), DIMENSIONS), np.float32)
     for k, text in enumerate(texts):
-        if text:
-            for lo in range(0, len(text), 1 << 20):  # a huge text in parts; pairs across a cut are left out
-                out[k] += np.bincount(_grams(text[lo : lo + (1 << 20)]), minlength=DIMENSIONS)
+        for grams in _grams(text or ""):
+            out[k] += np.bincount(grams, minlength=DIMENSIONS)
     return out
 
 
@@ -209,5 +219,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text is rejected; columns stay as they are."""
-    marked = docs.withColumn("_language", identify(F.col(text_col), model))
-    return marked.where(~F.col("_language.rejected")).select(*docs.columns)
+    [found] = fresh(["_language"], docs)
+    marked = docs.withColumn(found, identify(F.col(text_col), model))
+    return marked.where(~F.col(f"{found}.rejected")).drop(found)

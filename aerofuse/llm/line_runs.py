@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerofuse.llm.names import fresh
 from aerofuse.session import materialize, materialize_counted
 
 MIN_WORDS = 50
@@ -127,14 +128,15 @@ def without_copies(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
 
     A document that loses every line has an empty text.
     """
+    doc, h, found, key = fresh(["_doc", "_h", "_runs", "_key"], docs)
     runs = later_copies(docs, min_words, id_col, text_col)
-    packed = runs.groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("_runs")).select(
-        F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "_runs")
-    keyed = docs.withColumn("_key", _text_hash(id_col, text_col))
+    packed = runs.groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias(found)).select(
+        F.col("doc_id").alias(doc), F.col("h").alias(h), found)
+    keyed = docs.withColumn(key, _text_hash(id_col, text_col))
     joined = keyed.join(
-        packed.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_h")), "left")
-    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.exists("_runs", lambda r: (i >= r.s) & (i < r.e)))
-    deleted = F.aggregate("_runs", F.lit(0), lambda n, r: n + r.e - r.s)
-    text = F.when(F.col("_runs").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+        packed.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(h)), "left")
+    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.exists(found, lambda r: (i >= r.s) & (i < r.e)))
+    deleted = F.aggregate(found, F.lit(0), lambda n, r: n + r.e - r.s)
+    text = F.when(F.col(found).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns),
                          F.coalesce(deleted, F.lit(0)).alias(into))

@@ -144,7 +144,7 @@ def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), into="leak")
     # Items without id are counted as one and are not named.
-    unnamed = F.exists("leak.spans", lambda s: s.item.isNull()).cast("long")
+    unnamed = F.col("leak.unnamed").cast("long")
     return marked.select(
         "doc_id", "leak.n_words", "leak.n_hit", (F.size("leak.items") + unnamed).alias("n_items"),
         F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"),

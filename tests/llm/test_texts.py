@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from aerofuse.llm import components, decontaminate, fingerprint, jaccard, language, line_runs
 from tests.llm.conftest import DOCS, prose
@@ -233,7 +234,8 @@ def test_search_against_brute_force(text, items):
     given_items = [(str(k), "-".join("abcd"[x] for x in item)) for k, item in enumerate(items)]
     import pyarrow as pa
 
-    n, hits = decontaminate._search(pa.array([own]), decontaminate.tables_of(given_items, window=4))
+    [(_, n, hits)] = decontaminate._search(pa.array([own]), decontaminate.tables_of(given_items, window=4))
+    found = [(i, p, table.length) for table, places, windows in hits for p, w in zip(places.tolist(), windows.tolist(), strict=True) for i in table.items[w]]
     expected = set()
     w = words(own)
     for name, item in given_items:
@@ -241,7 +243,9 @@ def test_search_against_brute_force(text, items):
         m = min(4, len(pattern))
         for a in range(len(pattern) - m + 1) if m else ():
             expected |= {(name, p, m) for p in range(len(w) - m + 1) if w[p : p + m] == pattern[a : a + m]}
-    assert n[0] == len(w) and set(hits[0]) == expected
+    assert n == len(w) and set(found) == expected
+    covered = {p + k for _, p, m in expected for k in range(m)}
+    assert [x for r in decontaminate._merged(hits) for x in range(r["s"], r["e"])] == sorted(covered)
 
 
 @pytest.mark.parametrize("block_items", [1, 4000])
@@ -273,3 +277,55 @@ def test_items_without_id_are_searched(spark, nothing, tmp_path):
     assert {r["doc_id"]: (r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in rows} == {
         1: (20, 1, sha(""), True), 2: (1, 1, sha(""), True), 3: (1, 1, sha("7"), True),
         4: (2, 2, sha("7"), True), 5: (0, 0, sha(""), False)}
+
+
+def test_grams_of_a_text_in_blocks():
+    rng = random.Random(8)
+    for n in (0, 1, 2, 3, 10, 64, 200):
+        text = "".join(rng.choice("abΣé İ1\n") for _ in range(n))
+        whole = np.sort(np.concatenate(list(language._grams(text))))
+        for block in (1, 2, 3, 7, 63, 64):
+            assert (np.sort(np.concatenate(list(language._grams(text, block)))) == whole).all()
+        lower = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+        grams = [lower[k : k + m] for m in (2, 3) for k in range(len(lower) - m + 1)]
+        assert len(whole) == sum(g != " " * len(g) for g in grams)
+
+
+def test_rows_that_share_an_id_are_kept_by_their_class(spark):
+    a, b = prose(31, 400), prose(32, 400)
+    near = b.replace("word32x7b", "other")
+    docs = spark.createDataFrame([(5, a), (5, near), (3, b), (3, b), (None, prose(33)), (None, prose(33))], "doc_id long, text string")
+    kept = jaccard.keep_one(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(5, a), (3, b), (0, prose(33))])
+    found = Counter((r["doc_id"], r["group_id"], r["n_links"]) for r in jaccard.near_join(docs).collect())
+    assert found == {(5, 5, 0): 1, (5, 3, 1): 1, (3, 3, 1): 2, (None, None, 0): 2}
+
+
+CLASHING = ["_language", "_leak", "into", "_leak_0", "_found_0", "_kept", "_id", "_hash", "_d", "_h", "_runs", "_key", "_doc", "_deleted",
+            "cls", "values", "s", "e", "n", "rank", "run", "h_", "_KEY_"]
+
+
+def test_stages_keep_columns_of_any_name(spark, awkward, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    spark.createDataFrame([(1, prose(14, 20))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = awkward.select("doc_id", "text", "lang", "source", "n_chars")
+    wide = docs.select("*", *(F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))).alias(c) for c in CLASHING))
+    for _, stage in pipeline.STAGES[:-1]:
+        plain = Counter((r["doc_id"], r["text"]) for r in stage(spark, docs, str(tmp_path)).collect())
+        out = stage(spark, wide, str(tmp_path))
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert Counter((r["doc_id"], r["text"]) for r in rows) == plain
+        assert all(r[c] == f"{c} of {'?' if r['doc_id'] is None else r['doc_id']}" for r in rows for c in CLASHING)
+    assert pipeline.STAGES[-1][1](spark, wide, str(tmp_path)).count() > 0
+
+
+def test_hits_of_a_repeated_item_are_stretches(spark):
+    items = spark.createDataFrame([(k, "again") for k in range(300)] + [(1000, "again and again"), (None, "again")], "item_id long, text string")
+    text = "again " * 50_000 + "and again, never"
+    docs = spark.createDataFrame([(1, text), (2, "again and")], "doc_id long, text string")
+    rows = {r["doc_id"]: r["leak"] for r in decontaminate.contamination(docs, items, into="leak").collect()}
+    assert rows[1]["n_hit"] == 50_002 and len(rows[1]["items"]) == 301 and rows[1]["unnamed"]
+    assert rows[2]["n_hit"] == 1 and len(rows[2]["items"]) == 300
+    some = decontaminate.contamination(docs.where("doc_id = 2"), items, into="leak", with_spans=True, block_items=100).first()["leak"]
+    assert len(some["spans"]) == 301 and {(s["start"], s["length"]) for s in some["spans"]} == {(0, 1)}
