@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from aerofuse.llm import decontaminate, jaccard, language, line_runs, packing
 from aerofuse.llm.deploy import prepare_tasks
+from aerofuse.llm.names import fresh
 from aerofuse.session import shared_folder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,9 +37,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_runs.without_copies(docs, into="_deleted").where(~((F.col("_deleted") > 0) & (F.col("text") == "")))
-    size = F.when(F.col("_deleted") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", size).select(*docs.columns)
+    [deleted] = fresh(["_deleted"], docs)
+    cut = line_runs.without_copies(docs, into=deleted).where(~((F.col(deleted) > 0) & (F.col("text") == "")))
+    size = F.when(F.col(deleted) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", size).drop(deleted)
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
