@@ -19,6 +19,7 @@ from aerofuse.operators.split import rows_to_fit, split
 from aerofuse.operators.summaries import regression_metrics
 from aerofuse.params import FEATURES, TrainingParams
 from aerofuse.plans import training
+from aerofuse.plans.forest_table import forest_nodes, score_by_nodes
 from aerofuse.plans.preprocess import preprocess
 from aerofuse.session import materialize, prepare, small_table
 from aerofuse.sources import load_metrics, save_metrics
@@ -124,6 +125,38 @@ def importance_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_table(spark, rows, "place int, falling boolean")
 
 
+# A target that the features make up, most of it by one of them, and noise that no feature knows.
+PLANTED_SQL = """20 * coalesce(aod, 0) + coalesce(humidity, 0) / 1e1 + (event_id * 7919 % 101) / 1e2"""
+
+
+@_query(f"""
+    , planted AS (SELECT event_id, {PLANTED_SQL} AS y FROM features),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('-', CAST(event_id AS VARCHAR), '42'))) AS place FROM planted),
+    test AS (SELECT * FROM ranked WHERE place <= ceil((SELECT count(*) FROM planted) * 0.2))
+    SELECT event_id, round(y, 6) AS y, true AS same_by_nodes, 'aod' AS leader, true AS explains FROM test""")
+def forest_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared forest on a planted target: what it answers is what its nodes say, the planted feature leads, and
+    the error on rows that the fit has not seen is below a fifth of the target's deviation."""
+    prepare(spark)
+    planted = spark_view(spark, sf_dir, "features").select(
+        "event_id", F.expr(PLANTED_SQL).cast("double").alias("y"), *(F.coalesce(f, F.lit(-1.0)).alias(f) for f in FEATURES if f != "day_of_year"),
+        F.dayofyear("time").alias("day_of_year"))
+    params = TrainingParams(fit_rows=FIT_ROWS, target="y")
+    ready = materialize(planted, "planted")
+    train, test = split(ready, params, KEY)
+    model = training.train_forest(rows_to_fit(train, params, KEY), params)
+    path = f"{landing_path(ready, 'planted')}/model"
+    model.write().save(path)
+    scored = materialize(training.score(model, test, params), "planted-scores")
+    by_nodes = score_by_nodes(test, forest_nodes(spark, path), params.features, KEY)
+    leader = training.top_importances(training.feature_importance(model, params.features, ready), 1).select(F.col("feature").alias("leader"))
+    error = regression_metrics(scored, "y").select("rmse").join(F.broadcast(scored.agg(F.stddev_pop("y").alias("deviation"))))
+    proof = error.select((F.col("rmse") < F.col("deviation") / 5).alias("explains")).join(F.broadcast(leader))  # one row each
+    return scored.join(by_nodes, list(KEY), "left").join(F.broadcast(proof)).select(
+        "event_id", F.round("y", 6).alias("y"),
+        F.coalesce(F.abs(F.col("prediction") - F.col("by_nodes")) < 1e-9, F.lit(False)).alias("same_by_nodes"), "leader", "explains")
+
+
 @_query(f"""{TEST_SQL}
     SELECT count(*) AS test_rows, true AS ordered, true AS same_when_loaded FROM test""")
 def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,7 @@ def preprocess(
         report_missing(gaps.above(quality.max_missing_fraction), quality.max_missing_fraction, quality.on_exceed)
     filled = impute(ready, training.features, order_by=order_by, partition_by=partition_by, gaps=gaps)
     if fail_on_empty:
-        require_rows(filled, "Dataset became empty after preprocessing.")
+        require_rows(filled, "No row is left after preparation.")
     return filled
 
 

@@ -17,8 +17,7 @@ from aerofuse.operators.split import rows_to_fit, split
 from aerofuse.operators.summaries import regression_metrics
 from aerofuse.params import TrainingParams
 from aerofuse.session import shared_folder, small_table
-from aerofuse.sources.readers import require_columns
-from aerofuse.sources.rules import ValidationError
+from aerofuse.sources.rules import ValidationError, require_columns
 from aerofuse.sources.sinks import save_metrics, write_table
 
 
@@ -85,7 +84,7 @@ def feature_frame(spark: SparkSession, request: Mapping[str, Sequence[float]],
     """A request of equally long lists, one per feature, as rows with their position ``row``."""
     absent = [f for f in params.features if f not in request]
     if absent:
-        raise ValidationError(f"Missing features: {', '.join(absent)}")
+        raise ValidationError(f"The request lacks {', '.join(absent)}")
     columns = [request[f] for f in params.features]
     rows = [(i, *map(float, values)) for i, values in enumerate(zip(*columns, strict=True))]
     return small_table(spark, rows, ", ".join(["row int", *(f"{f} double" for f in params.features)]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from datetime import date, datetime
 from functools import reduce
 
@@ -13,20 +13,12 @@ from pyspark.sql import types as T
 from aerofuse.functions import nan_to_null, parse_number, parse_time, station_key
 from aerofuse.params import FEATURES, TARGET
 from aerofuse.sources import schemas
-from aerofuse.sources.rules import ValidationError
+from aerofuse.sources.rules import require_columns
 
 # A literal IN list longer than this goes through a semi join instead.
 MAX_INLINE_STATIONS = 1_000
 
 
-def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Fail with the absent names, in the order asked for. Looks at the schema only."""
-    absent = [name for name in names if name not in df.columns]
-    if absent:
-        raise ValidationError(f"Missing required columns: {', '.join(absent)}")
-    return df
-
-
 def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
                file_format: str = "parquet", where: Column | None = None) -> DataFrame:
     """Read Parquet, CSV with header, or JSON with a declared schema; NaN becomes NULL.

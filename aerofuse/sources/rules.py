@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,20 +50,26 @@ WEATHER_RULES = (
 )
 
 
+def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Fail with the absent names, in the order asked for. Looks at the schema only."""
+    absent = [name for name in names if name not in df.columns]
+    if absent:
+        raise ValidationError(f"The table lacks {', '.join(absent)}")
+    return df
+
+
 def check_schema(df: DataFrame, required: Sequence[str], numeric: Sequence[str] = (),
                  time: str | None = "time") -> DataFrame:
     """Required names, numeric types and timestamp type; reads the schema, runs no job."""
-    absent = [name for name in required if name not in df.columns]
-    if absent:
-        raise ValidationError(f"Missing required columns: {', '.join(absent)}")
+    require_columns(df, required)
     for name in numeric:
         kind = df.schema[name].dataType
         if not isinstance(kind, T.NumericType):
-            raise ValidationError(f"Column '{name}' must be numeric, got {kind.simpleString()}")
+            raise ValidationError(f"{name} holds {kind.simpleString()}, a number is needed")
     if time is not None and not isinstance(
         df.schema[time].dataType, (T.TimestampType, T.TimestampNTZType)
     ):
-        raise ValidationError(f"Column '{time}' must be a timestamp")
+        raise ValidationError(f"{time} holds no timestamps")
     return df
 
 

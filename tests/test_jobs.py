@@ -97,7 +97,7 @@ def test_train_then_score(spark, tmp_path):
     request = {f: [0.5, 0.7] for f in FEATURES}
     answers = training.score(model, training.feature_frame(spark, request)).orderBy("row").collect()
     assert [r["row"] for r in answers] == [0, 1] and all(r["prediction"] is not None for r in answers)
-    with pytest.raises(ValidationError, match="Missing features: aod"):
+    with pytest.raises(ValidationError, match="lacks aod"):
         training.feature_frame(spark, {f: [1.0] for f in FEATURES[1:]})
 
 

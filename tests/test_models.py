@@ -12,6 +12,7 @@ from aerofuse.operators.quality import dropped_rows, missing_fraction, outlier_f
 from aerofuse.operators.summaries import limit_exceedance, regression_metrics
 from aerofuse.params import FEATURES, ForestParams, QualityParams, TrainingParams
 from aerofuse.plans import training
+from aerofuse.plans.forest_table import forest_nodes, score_by_nodes
 from aerofuse.plans.preprocess import preprocess
 from aerofuse.sources import ValidationError, load_metrics
 
@@ -72,7 +73,7 @@ def test_preprocess_derives_then_checks_then_fills(spark, unified):
     assert ready.count() == 190
     assert ready.where(" or ".join(f"{c} is null" for c in FEATURES)).count() == 0
     assert ready.where("id = 4").first()["day_of_year"] == 2
-    with pytest.raises(ValidationError, match="Missing required columns: humidity"):
+    with pytest.raises(ValidationError, match="lacks humidity"):
         preprocess(unified.drop("humidity"), PARAMS, order_by=("time",))
 
 
@@ -83,7 +84,7 @@ def test_preprocess_reports_before_filling(spark, unified):
         preprocess(empty, PARAMS, QualityParams(on_exceed="fail"), **options)
     with pytest.warns(UserWarning, match="humidity"):
         preprocess(empty, PARAMS, QualityParams(), **options)
-    with pytest.raises(ValidationError, match="became empty"):
+    with pytest.raises(ValidationError, match="No row is left"):
         preprocess(unified.where("false"), PARAMS, order_by=("time", "id"), fail_on_empty=True)
 
 
@@ -113,5 +114,19 @@ def test_training_keeps_model_and_metrics(spark, unified, tmp_path):
     # A row without a feature keeps its place, without a prediction.
     scored = training.score(model, unified.withColumn("day_of_year", F.dayofyear("time")), PARAMS)
     assert scored.count() == 200 and scored.where("prediction is null").count() == 23
-    with pytest.raises(ValidationError, match="Missing required columns: day_of_year"):
+    with pytest.raises(ValidationError, match="lacks day_of_year"):
         training.score(model, unified, PARAMS)
+
+
+def test_nodes_answer_like_the_model(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(k, (k * 37 % 101) / 101, (k * 53 % 97) / 97) for k in range(400)], "k long, a double, b double").selectExpr("*", "10 * a + b AS y")
+    params = TrainingParams(features=("a", "b"), target="y", forest=ForestParams(trees=7, max_depth=6))
+    model = training.train_forest(rows, params)
+    model.write().save(f"{tmp_path}/model")
+    scored = training.score(model, rows, params)
+    nodes = forest_nodes(spark, f"{tmp_path}/model")
+    assert nodes.select("tree").distinct().count() == 7
+    both = scored.join(score_by_nodes(rows, nodes, params.features, ["k"]), "k").collect()
+    assert len(both) == 400 and all(abs(r["prediction"] - r["by_nodes"]) < 1e-9 for r in both)
+    assert len({r["prediction"] for r in both}) > 50
