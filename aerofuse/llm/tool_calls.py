@@ -84,21 +84,26 @@ def _tops(calls: DataFrame) -> DataFrame:
 def depths(calls: DataFrame) -> DataFrame:
     """conv, id, depth: 0 without predecessor; null where predecessors are missing or form a circle."""
     tops = materialize(_tops(calls), "tops")
-    known = tops.where("kind = 0 AND above = 0").select("conv", F.col("id").alias("top"), F.lit(0).cast("long").alias("start"))
+    fresh = tops.where("kind = 0 AND above = 0").select(
+        "conv", F.col("id").alias("top"), F.lit(0).cast("long").alias("start"), F.lit(False).alias("lost"))
+    known = fresh
     several = calls.where(F.size("preds") > 1).select(*KEY, F.explode("preds").alias("pred"))
     ways, left = materialize_counted(several.join(
-        tops.select("conv", F.col("id").alias("pred"), "top", "above"), ["conv", "pred"], "left"), "ways")
-    known, before = materialize_counted(known, "starts-0")
+        tops.select("conv", F.col("id").alias("pred"), "top", "above"), ["conv", "pred"], "left").select(
+        *KEY, "top", "above", F.lit(None).cast("long").alias("begun"), F.isnull("top").alias("gone")), "ways-0")
     k = 0
-    while left:  # a round for each call with several predecessors on the longest way
-        reached = ways.join(known, ["conv", "top"], "left").groupBy(*KEY).agg(
-            F.max(F.col("start") + F.col("above")).alias("most"), F.bool_and(F.col("start").isNotNull()).alias("whole"))
-        settled = reached.where("whole").select("conv", F.col("id").alias("top"), (F.col("most") + 1).alias("start"))
+    while left:  # a round for each call with several predecessors on the longest way; settled calls leave
         k += 1
-        fresh, n = materialize_counted(settled.join(known, ["conv", "top"], "left_anti"), f"starts-{k}")
+        met = materialize(ways.join(fresh, ["conv", "top"], "left").select(
+            *KEY, "top", "above", F.coalesce("begun", "start").alias("begun"), (F.col("gone") | F.coalesce("lost", F.lit(False))).alias("gone")), f"met-{k}")
+        each = met.groupBy(*KEY).agg(
+            F.max(F.col("begun") + F.col("above")).alias("most"), F.bool_and(F.col("begun").isNotNull()).alias("whole"), F.bool_or("gone").alias("lost"))
+        fresh, n = materialize_counted(each.where("whole OR lost").select(
+            "conv", F.col("id").alias("top"), F.when(~F.col("lost"), F.col("most") + 1).alias("start"), "lost"), f"starts-{k}")
         if not n:
             break
-        known, before = materialize_counted(known.union(fresh), f"starts-all-{k}")
+        known = known.union(fresh)
+        ways, left = materialize_counted(met.join(fresh.select("conv", F.col("top").alias("id")), KEY, "left_anti"), f"ways-{k}")
     return tops.join(known, ["conv", "top"], "left").select(*KEY, (F.col("start") + F.col("above")).alias("depth"))
 
 
