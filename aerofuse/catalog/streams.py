@@ -11,6 +11,7 @@ from aerofuse.catalog.models import FEATURES, PARAMS, fitted, in_range
 from aerofuse.catalog.scans import landing_path
 from aerofuse.session import prepare
 from aerofuse.streaming import closing, ingest
+from aerofuse.streaming.stored import StoredSummary
 
 part = Part()
 
@@ -66,6 +67,43 @@ def closed_days(spark: SparkSession, sf_dir: str):
     return rounded(closed.select(F.col("station").alias("station_id"), "start", "mean", "n", F.coalesce("n_late", F.lit(0)).alias("n_late")))
 
 
+BY_STATION = StoredSummary(["station_id"], ["pm25"])
+BY_DAY = StoredSummary((), ["pm25"], {"stations": ["station_id"], "cells": ["lat", "lon"]})
+
+
+def _stored(obs, summary: StoredSummary, label: str):
+    """The parts of three loads, the second of which is tried twice."""
+    path = landing_path(obs, label)
+    for k in (0, 1, 1, 2):
+        summary.add(obs.where(F.pmod("event_id", F.lit(3)) == k), path, "load", k)
+    return summary.read(obs.sparkSession, path, obs.schema)
+
+
+@part.query("obs", sql="""
+    SELECT station_id, count(*) AS rows, min(time) AS start, max(time) AS end, count(pm25) AS pm25_n,
+           round(avg(pm25), 6) AS pm25_mean, min(pm25) AS pm25_min, max(pm25) AS pm25_max
+    FROM obs GROUP BY station_id""")
+def stored_by_station(obs):
+    return rounded(BY_STATION.merged(_stored(obs, BY_STATION, "stations")))
+
+
+@part.query("obs", sql="""
+    SELECT CAST(time AS DATE) AS day, count(*) AS rows, min(time) AS start, max(time) AS end,
+           count(pm25) AS pm25_n, round(avg(pm25), 6) AS pm25_mean, min(pm25) AS pm25_min, max(pm25) AS pm25_max,
+           count(DISTINCT station_id) AS stations, count(DISTINCT (lat, lon)) AS cells, true AS sketch_holds
+    FROM obs GROUP BY 1""")
+def stored_by_day(obs):
+    """The sketches are held against exact numbers, which are what is returned."""
+    parts = _stored(obs, BY_DAY, "days")
+    exact = obs.groupBy(F.to_date("time").alias("day")).agg(
+        F.count_distinct("station_id").alias("n_stations"), F.count_distinct("lat", "lon").alias("n_cells"))
+    both = BY_DAY.merged(parts, ["day"]).join(exact, "day")
+    holds = [F.abs(F.col(c) - F.col(f"n_{c}")) <= 0.08 * F.col(f"n_{c}") for c in ("stations", "cells")]
+    return rounded(both.select(
+        "day", "rows", "start", "end", "pm25_n", "pm25_mean", "pm25_min", "pm25_max", F.col("n_stations").alias("stations"),
+        F.col("n_cells").alias("cells"), (holds[0] & holds[1]).alias("sketch_holds")))
+
+
 def stream_score(spark: SparkSession, sf_dir: str):
     prepare(spark)
     model, ready = fitted(spark, sf_dir)
