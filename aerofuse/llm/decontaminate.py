@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 
 from aerofuse.llm.names import fresh
 from aerofuse.llm.text import blocks, utf8, words
+from aerofuse.session import materialize
 
 WINDOW = 10
-BLOCK_ITEMS = 4_000  # items per search table, which is sent to every task
+BLOCK_ITEMS = 4_000  # items that are searched at once
+BLOCK_CHARS = 16_000_000  # and code points of them
 TABLE_BITS = 16
 LANE = 512  # window ends that one cursor of the search walks over
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
@@ -202,12 +204,38 @@ def _hits(text: Column, tables: list[Table], with_spans: bool) -> Column:
     return F.arrow_udf(find, f"struct<{_FOUND}{',spans:' + SPANS if with_spans else ''}>")(text)
 
 
-def item_blocks(items: DataFrame, block_items: int, item_col: str, text_col: str) -> list[list[tuple[str | None, str]]]:
-    """The test items in blocks of about ``block_items``, so that what a task gets at once is bounded."""
-    rows = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    n = max(1, -(-rows.count() // block_items))
+def item_blocks(items: DataFrame, block_items: int, item_col: str, text_col: str) -> tuple[int, Iterator[list[tuple[str | None, str]]]]:
+    """The number of blocks and the blocks, one after another: distinct test items, about ``block_items`` and at most about
+    BLOCK_CHARS code points of them in each (more only where one item is longer)."""
+    rows = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
+    size = rows.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    n = max(1, -(-size["items"] // block_items), -(-size["chars"] // BLOCK_CHARS))
     number = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[(r["item"], r["text"]) for r in rows.where(number == k).collect()] for k in range(n)]
+    return n, ([(r["item"], r["text"]) for r in rows.where(number == k).toLocalIterator()] for k in range(n))
+
+
+def _by_block(docs: DataFrame, blocks_of_items: Iterator[list], window: int, text_col: str, with_spans: bool, names: list[str]) -> DataFrame:
+    """``docs`` with the hits of all blocks in a column, searched block by block.
+
+    A search leaves the hits of the distinct texts that have any, under the digest of the text; they are united and joined
+    back at the end, so neither the driver nor a task holds more than one block.
+    """
+    found, key = names
+    kept = ["covered", "items", *(["spans"] if with_spans else [])]
+    parts = []
+    for k, block in enumerate(blocks_of_items):
+        searched = docs.select(F.sha2(F.col(text_col), 256).alias("digest"), _hits(F.col(text_col), tables_of(block, window), with_spans).alias("hits"))
+        hit = searched.where(F.size("hits.covered") > 0).select("digest", *(f"hits.{c}" for c in kept))
+        parts.append(materialize(hit.dropDuplicates(["digest"]), f"hits-{k}"))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.union(part)
+    united = materialize(every.groupBy("digest").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in kept)), "hits")
+    whole = united.select(F.col("digest").alias(key), F.struct(*kept).alias(found))
+    joined = docs.withColumn(key, F.sha2(F.col(text_col), 256)).join(whole, key, "left")
+    fields = united.schema
+    return joined.withColumn(found, F.struct(word_count(text_col).alias("n_words"), *(
+        F.coalesce(F.col(f"{found}.{c}"), F.array().cast(fields[c].dataType)).alias(c) for c in kept))).select(*docs.columns, found)
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS,
@@ -217,24 +245,26 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
 
     n_hit counts the words inside any occurrence, items are the sorted ids with occurrences (nulls left out), unnamed
     tells whether an item without id occurs; spans hold every place of every item, a null item for those without id.
-    The text is scanned once; each block of items is one search within the same task.
+    Items of one block take one scan of the texts; more blocks are searched one after another.
     """
-    found = [_hits(F.col(text_col), tables_of(block, window), with_spans) for block in item_blocks(items, block_items, item_col, item_text_col)]
-    names = fresh([f"_found_{k}" for k in range(len(found))], docs)
-    wide = docs.select("*", *(c.alias(n) for c, n in zip(found, names, strict=True)))
-
-    def all_of(field: str) -> Column:
-        return F.concat(*(F.col(f"{n}.{field}") for n in names))
+    n, searched = item_blocks(items, block_items, item_col, item_text_col)
+    names = fresh(["_found", "_digest"], docs)
+    found = names[0]
+    if n == 1:
+        wide = docs.withColumn(found, _hits(F.col(text_col), tables_of(next(searched), window), with_spans))
+    else:
+        wide = _by_block(docs, searched, window, text_col, with_spans, names)
 
     # Stretches of one block do not meet, those of several blocks are joined in order.
     nothing = F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto"))
-    n_hit = F.aggregate(F.array_sort(all_of("covered")), nothing, lambda x, r: F.struct(
+    n_hit = F.aggregate(F.array_sort(f"{found}.covered"), nothing, lambda x, r: F.struct(
         (x.n + F.greatest(r.e - F.greatest(r.s, x.upto), F.lit(0))).alias("n"), F.greatest(r.e, x.upto).alias("upto"))).n
+    ids = F.col(f"{found}.items")
     result = F.struct(
-        F.col(f"{names[0]}.n_words").alias("n_words"), n_hit.cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.array_compact(all_of("items")))).alias("items"),
-        F.exists(all_of("items"), lambda i: i.isNull()).alias("unnamed"), *([all_of("spans").alias("spans")] if with_spans else []))
-    return wide.withColumn(into, result).drop(*names)
+        F.col(f"{found}.n_words").alias("n_words"), n_hit.cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.array_compact(ids))).alias("items"),
+        F.exists(ids, lambda i: i.isNull()).alias("unnamed"), *([F.col(f"{found}.spans").alias("spans")] if with_spans else []))
+    return wide.withColumn(into, result).drop(found)
 
 
 def remove_hits(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

@@ -301,7 +301,7 @@ def test_rows_that_share_an_id_are_kept_by_their_class(spark):
     assert found == {(5, 5, 0): 1, (5, 3, 1): 1, (3, 3, 1): 2, (None, None, 0): 2}
 
 
-CLASHING = ["_language", "_leak", "into", "_leak_0", "_found_0", "_kept", "_id", "_hash", "_d", "_h", "_runs", "_key", "_doc", "_deleted",
+CLASHING = ["_language", "_leak", "into", "_leak_0", "_found_0", "_found", "_digest", "_kept", "_id", "_hash", "_d", "_h", "_runs", "_key", "_doc", "_deleted",
             "cls", "values", "s", "e", "n", "rank", "run", "h_", "_KEY_"]
 
 
@@ -329,3 +329,22 @@ def test_hits_of_a_repeated_item_are_stretches(spark):
     assert rows[2]["n_hit"] == 1 and len(rows[2]["items"]) == 300
     some = decontaminate.contamination(docs.where("doc_id = 2"), items, into="leak", with_spans=True, block_items=100).first()["leak"]
     assert len(some["spans"]) == 301 and {(s["start"], s["length"]) for s in some["spans"]} == {(0, 1)}
+
+
+def test_blocks_of_items_give_what_one_search_gives(spark):
+    texts = [(k, " and ".join(prose(s, 15) for s in (k % 4, 40 + k))) for k in range(12)] * 2 + [(50, None), (51, ""), (52, "lone end")]
+    docs = spark.createDataFrame([(i, t, "own", 7) for i, t in texts], "doc_id long, text string, _found string, _digest long")
+    items = spark.createDataFrame(
+        [(k, prose(k, 15)) for k in range(3)] * 2 + [(9, prose(45, 15)), (None, prose(46, 15)), (8, "lone"), (5, "never")], "item_id long, text string")
+
+    def of(**options):
+        rows = decontaminate.contamination(docs, items, into="leak", with_spans=True, **options).collect()
+        return sorted((r["doc_id"], r["_found"], r["_digest"], r["leak"]["n_words"], r["leak"]["n_hit"], r["leak"]["items"], r["leak"]["unnamed"],
+                       sorted((s["item"] or "", s["start"], s["length"]) for s in r["leak"]["spans"])) for r in rows)
+
+    one = of()
+    # Nine of the twelve texts hold one of the items 0 to 2, each text twice, and one is the lone word.
+    assert len(one) == len(texts) and sum(r[4] > 0 for r in one) == 19
+    assert of(block_items=2) == one and of(block_items=1) == one
+    sizes = [len(b) for b in decontaminate.item_blocks(items, 2, "item_id", "text")[1]]
+    assert sum(sizes) == 7  # repeated items are searched once
