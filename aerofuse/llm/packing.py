@@ -52,7 +52,7 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 some = batch.slice(lo, 1000)
-                ids, counts = own.encode(some.column(1).to_pylist())
+                ids, counts = own.encode(some.column(1))
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 counts = counts + 1
                 at = np.concatenate([[0], np.cumsum(counts)])

@@ -148,7 +148,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = 0, file_ids
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 some = batch.slice(lo, 1000)
-                found, n = own.encode(some.column(1).to_pylist())
+                found, n = own.encode(some.column(1))
                 with_end = np.insert(found.astype(np.uint32), np.cumsum(n), end_id)
                 ids.append(with_end)
                 counts.append(n + 1)

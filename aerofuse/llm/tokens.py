@@ -9,14 +9,23 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-
-# Where no two white-space characters meet, a single space or line feed always begins a new piece of the
-# byte-level pattern: a piece holds a space only in front, and a line feed between other characters is a
-# piece of its own. So a text may be cut there and the parts encoded alone, whatever stands around them.
-_MEETING = re.compile(r"\s\s")
-_FEED = ("\n",)
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# A single space or line feed between two other characters always begins a new piece of the byte-level
+# pattern: a piece holds a space only in front, and a line feed there is a piece of its own. So a text may
+# be cut at these places and the parts encoded alone, whatever stands around them. Arrow cuts texts in which
+# no two white-space characters meet; in the others the places are looked for one by one.
+_BLANK = "[\\t-\\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"  # \\s of str
+_LOOSE = f"^{_BLANK}|{_BLANK}$|{_BLANK}{_BLANK}"
+_PLACE = re.compile(r"(?<=\S)([ \n])(?=\S)")
+# A unit follows a space, unless it begins with this mark. No unit begins with a tabulator of its own but the
+# first of a text, which has the mark before it.
+_MARK = "\t"
+_FEED = "\n"
 _ENDINGS = ".,;:!?"
 
+MERGED_UNITS = 64  # longer texts take longer for each unit
 MEMO_UNITS = 1_200_000  # distinct units remembered by a worker; the memory is emptied when full
 
 
@@ -32,11 +41,23 @@ def cuts_at_spaces(path: str) -> bool:
     )
     return (
         before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-        and spec.get("normalizer") is None and plain and (spec.get("post_processor") or {}).get("type") in (None, "ByteLevel")
+        and spec.get("normalizer") is None and plain and _merges_text_only(spec["model"])
+        and (spec.get("post_processor") or {}).get("type") in (None, "ByteLevel")
+    )
+
+
+def _merges_text_only(model: dict) -> bool:
+    """Whether the model merges byte characters, all of which it knows, and never the two that no text has."""
+    merges = (m if isinstance(m, str) else " ".join(m) for m in model.get("merges", ()))
+    ends = {_BYTE_CHARACTERS[_END_OF_UNIT], _BYTE_CHARACTERS[_END_OF_PIECE]}
+    special = ("continuing_subword_prefix", "end_of_word_suffix", "dropout", "ignore_merges")
+    return (
+        model.get("type") == "BPE" and not any(model.get(x) for x in special) and all(c in model["vocab"] for c in _BYTE_CHARACTERS.values())
+        and not any(ends.intersection(m) for m in merges)
     )
 
 
-BLOCK_CHARS = 1_000_000  # code points whose units are held at a time
+BLOCK_BYTES = 2_000_000  # bytes of text whose units are held at a time
 
 
 class _Units(dict):
@@ -60,6 +81,9 @@ def _byte_characters() -> dict[int, str]:
 
 
 _BYTE_CHARACTERS = _byte_characters()
+# Bytes that no UTF-8 text has.
+_END_OF_UNIT, _END_OF_PIECE = 0xFE, 0xFF
+_SEPARATED = _BYTE_CHARACTERS | {ord("\n"): _BYTE_CHARACTERS[_END_OF_UNIT], ord("\r"): _BYTE_CHARACTERS[_END_OF_PIECE]}
 
 
 class Encoder:
@@ -70,124 +94,138 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merging = Tokenizer(self.tokenizer.model)  # takes what it gets as one piece
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memo_units = memo_units
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.by_unit = cuts_at_spaces(path) and len(feed) == 1
         self.feed = feed[0] if self.by_unit else 0
+        self.end_of_unit, self.end_of_piece = (self.tokenizer.token_to_id(_BYTE_CHARACTERS[b]) for b in (_END_OF_UNIT, _END_OF_PIECE))
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._forget()
 
     def _forget(self) -> None:
         self.known = _Units()
         self.ids = np.full(1 << 16, self.feed, self.dtype)
-        self.starts = np.zeros(1 << 14, np.int64)  # one more than there are units
-        self.starts[1] = 1
+        self.used = 1
+        self.begins = np.zeros(1 << 14, np.int64)
+        self.lengths = np.ones(1 << 14, np.int32)
 
     def _learn(self) -> None:
-        """Encode the waiting units: single pieces by the model itself, the others through the whole tokenizer."""
+        """Encode the waiting units: words and their marks by the model itself, the others through the whole tokenizer."""
         units, self.known.waiting = self.known.waiting, []
         n = len(self.known) - len(units)
-        found: list = [None] * len(units)
-        others = []
-        for k, unit in enumerate(units):
-            if type(unit) is tuple:
-                space, unit = "", unit[0]
+        self.begins, self.lengths = _room(self.begins, len(self.known)), _room(self.lengths, len(self.known))
+        words, word_at, others, other_at, alone, alone_at = [], [], [], [], [], []
+        for k, unit in enumerate(units, n):
+            if unit[:1] == _MARK:
+                space, unit = "", unit[1:]
             else:
                 space = " "
             if unit.isalpha():
-                found[k] = self._piece(space + unit)
+                words.append(space + unit)
+                word_at.append(k)
             elif unit[:-1].isalpha() and unit[-1] in _ENDINGS:
-                found[k] = self._piece(space + unit[:-1]) + self._piece(unit[-1])
+                words.append(f"{space}{unit[:-1]}\r{unit[-1]}")
+                word_at.append(k)
+            elif not unit or unit[0].isspace() or unit[-1].isspace() or "\n" in unit:
+                alone.append(space + unit)
+                alone_at.append(k)
             else:
-                others.append((k, space + unit))
+                others.append(space + unit)
+                other_at.append(k)
+        if words:
+            self._add(word_at, *self._merged(words))
         if others:
             # One to a line: the line feed's id, which none of them holds, separates them.
-            ids = self.tokenizer.encode_batch_fast(["\n".join([u for _, u in others])], add_special_tokens=False)[0].ids
-            k = 0
-            found[others[0][0]] = part = []
-            for i in ids:
-                if i == self.feed:
-                    k += 1
-                    found[others[k][0]] = part = []
-                else:
-                    part.append(i)
-            assert k == len(others) - 1
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), self.dtype, int(lengths.sum()))
-        end = int(self.starts[n])
-        self.ids = _room(self.ids, end + len(flat))
-        self.starts = _room(self.starts, n + len(units) + 1)
-        self.ids[end : end + len(flat)] = flat
-        self.starts[n + 1 : n + 1 + len(units)] = end + np.cumsum(lengths)
-
-    def _piece(self, piece: str) -> list:
-        if piece.isascii():
-            piece = piece.replace(" ", _BYTE_CHARACTERS[0x20])
-        else:
-            piece = piece.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-        return [t.id for t in self.tokenizer.model.tokenize(piece)]
-
-    def _whole(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(others)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.append(np.flatnonzero(ids == self.feed), len(ids))
+            self._add(other_at, ids[ids != self.feed], np.diff(ends, prepend=-1) - 1)
+        if alone:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+            self._add(alone_at, np.fromiter(chain.from_iterable(found), self.dtype), np.fromiter(map(len, found), np.int64))
+
+    def _merged(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units made of letters, with a carriage return between their pieces. Many are merged in one call:
+        no merge holds the bytes that stand for the ends of units and pieces, so none goes across."""
+        some = ["\n".join(words[k : k + MERGED_UNITS]) + "\n" for k in range(0, len(words), MERGED_UNITS)]
+        some = [text.encode().decode("latin-1").translate(_SEPARATED) for text in some]
+        found = self.merging.encode_batch_fast(some, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable([e.ids for e in found]), self.dtype)
+        ends = ids == self.end_of_unit
+        kept = ~ends & (ids != self.end_of_piece)
+        return ids[kept], np.diff(np.cumsum(kept)[ends], prepend=0)
+
+    def _add(self, at: list, ids: np.ndarray, lengths: np.ndarray) -> None:
+        assert len(lengths) == len(at) and lengths.sum() == len(ids)
+        self.ids = _room(self.ids, self.used + len(ids))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.begins[at] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[at] = lengths
+        self.used += len(ids)
+
+    def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), self.dtype, int(counts.sum())), counts
 
-    def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end to end, and the number of ids of each. None counts as empty."""
-        ends = np.cumsum([len(t or "") for t in texts])
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        texts = pc.fill_null(texts, "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
         found, lo = [(np.zeros(0, self.dtype), np.zeros(0, np.int64))], 0
         while lo < len(texts):  # some at a time, for the memory that their units take
-            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK_CHARS, "right")))
-            found.append(self._some(texts[lo:hi]))
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK_BYTES, "right")))
+            some = texts.slice(lo, hi - lo)
+            found.append(self._by_unit(some) if self.by_unit else self._whole(some))
             lo = hi
         ids, counts = (np.concatenate(x) for x in zip(*found, strict=True))
         return ids, counts
 
-    def _some(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        counts = np.zeros(len(texts), np.int64)
-        loose = [k for k, t in enumerate(texts) if t and not (self.by_unit and _can_be_cut(t))]
-        if not loose:
-            return self._by_unit(texts)
-        # Runs of texts that can be cut and texts that cannot, put back in order.
-        parts: list = [None] * len(texts)
-        some, lengths = self._whole([texts[k] for k in loose])
-        for k, ids in zip(loose, np.split(some, np.cumsum(lengths)[:-1]), strict=True):
-            parts[k], counts[k] = ids, len(ids)
-        rest = [k for k in range(len(texts)) if parts[k] is None]
-        if rest:
-            some, lengths = self._by_unit([texts[k] for k in rest])
-            for k, ids in zip(rest, np.split(some, np.cumsum(lengths)[:-1]), strict=True):
-                parts[k], counts[k] = ids, len(ids)
-        return np.concatenate(parts), counts
-
-    def _by_unit(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        units: list = []
-        ends = np.zeros(len(texts) + 1, np.int64)
-        for k, text in enumerate(texts):
-            if text:
-                for line in text.split("\n"):
-                    parts = line.split(" ")
-                    parts[0] = (parts[0],)  # stands without a space
-                    units += parts
-                    units.append(_FEED)
-                units.pop()
-            ends[k + 1] = len(units)
+    def _by_unit(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists = _units(texts)
+        coded = lists.flatten().dictionary_encode()
         if len(self.known) > self.memo_units:
             self._forget()
+        units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
         at = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
         if self.known.waiting:
             self._learn()
-        begin, lengths = self.starts[at], self.starts[at + 1] - self.starts[at]
+        at = at[coded.indices.to_numpy()]
+        begin, lengths = self.begins[at], self.lengths[at]
         total = np.zeros(len(at) + 1, np.int64)
         np.cumsum(lengths, out=total[1:])
         ids = self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], lengths)]
-        return ids, np.diff(total[ends])
+        ends = np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)
+        return ids, np.diff(total[ends], prepend=0)
+
+
+def _units(texts: pa.Array) -> pa.Array:
+    """The units of each text, as a list per text."""
+    loose = pc.match_substring_regex(texts, _LOOSE)
+    if not pc.any(loose).as_py():
+        return _cut(texts)
+    tight = pc.invert(loose)
+    found = pa.concat_arrays([_cut(texts.filter(tight)), pa.array([_cut_loose(t) for t in texts.filter(loose).to_pylist()], pa.list_(texts.type))])
+    # Back into the order of the texts.
+    order = np.concatenate([np.flatnonzero(tight.to_numpy(zero_copy_only=False)), np.flatnonzero(loose.to_numpy(zero_copy_only=False))])
+    return found.take(pa.array(np.argsort(order)))
+
+
+def _cut(texts: pa.Array) -> pa.Array:
+    marked = pc.binary_join_element_wise(pa.scalar(_MARK, texts.type), texts, pa.scalar("", texts.type))
+    return pc.split_pattern(pc.replace_substring(marked, "\n", f" \n {_MARK}"), " ")
 
 
-def _can_be_cut(text: str) -> bool:
-    return not (text[0].isspace() or text[-1].isspace() or _MEETING.search(text))
+def _cut_loose(text: str) -> list[str]:
+    parts = _PLACE.split(text)
+    units = [_MARK + parts[0]]
+    for separator, unit in zip(parts[1::2], parts[2::2], strict=True):
+        units += [unit] if separator == " " else [_FEED, _MARK + unit]
+    return units
 
 
 def _room(array: np.ndarray, n: int) -> np.ndarray:

@@ -35,6 +35,15 @@ def test_units_give_the_ids_of_whole_texts(texts):
     assert [found[e - n : e].tolist() for e, n in zip(np.cumsum(counts), counts, strict=True)] == [ids(t) for t in [*texts, None]]
 
 
+def test_texts_with_blanks_that_meet_are_cut_as_well():
+    text = " lead  in\r\n" + "one two,  three\n\nfour. five\t\tsix\n" * 300 + "\t end "
+    own = Encoder(PATH)
+    found, counts = own.encode(["", text, "\t", "\n", " ", None, "plain text\nof two lines", text])
+    assert found.tolist() == [i for t in ("", text, "\t", "\n", " ", "", "plain text\nof two lines", text) for i in ids(t)]
+    assert counts[1] == len(ids(text))
+    assert max(map(len, own.known)) < 25  # no unit is a whole text
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(PARTS, min_size=30, max_size=200).map("".join), st.integers(4, 40), st.integers(1, 9))
 def test_spliced_counts(text, chunk, overlap):
