@@ -57,7 +57,7 @@ def _merges_text_only(model: dict) -> bool:
     )
 
 
-BLOCK_BYTES = 2_000_000  # bytes of text whose units are held at a time
+BLOCK_BYTES = 4_000_000  # bytes of text whose units are held at a time
 
 
 class _Units(dict):
@@ -194,13 +194,14 @@ class Encoder:
         at = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
         if self.known.waiting:
             self._learn()
-        at = at[coded.indices.to_numpy()]
+        # The ids of the block's distinct units, then those of all its units in order.
         begin, lengths = self.begins[at], self.lengths[at]
-        total = np.zeros(len(at) + 1, np.int64)
-        np.cumsum(lengths, out=total[1:])
-        ids = self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], lengths)]
-        ends = np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)
-        return ids, np.diff(total[ends], prepend=0)
+        ends = np.zeros(len(at) + 1, np.int32)
+        np.cumsum(lengths, out=ends[1:])
+        distinct = self.ids[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], lengths)]
+        found = pa.ListArray.from_arrays(pa.array(ends), pa.array(distinct)).take(coded.indices)
+        last = np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)
+        return found.flatten().to_numpy(), np.diff(found.offsets.to_numpy()[last], prepend=0).astype(np.int64)
 
 
 def _units(texts: pa.Array) -> pa.Array:
