@@ -25,6 +25,7 @@ _MARK = "\t"
 _FEED = "\n"
 _ENDINGS = ".,;:!?"
 
+LEARNT_UNITS = 1 << 14  # encoded at a time
 MERGED_UNITS = 64  # longer texts take longer for each unit
 MEMO_UNITS = 1_200_000  # distinct units remembered by a worker; the memory is emptied when full
 
@@ -135,13 +136,15 @@ class Encoder:
             else:
                 others.append(space + unit)
                 other_at.append(k)
-        if words:
-            self._add(word_at, *self._merged(words))
-        if others:
+        # Some at a time, for the memory that the library's results take.
+        for k in range(0, len(words), LEARNT_UNITS):
+            self._add(word_at[k : k + LEARNT_UNITS], *self._merged(words[k : k + LEARNT_UNITS]))
+        for k in range(0, len(others), LEARNT_UNITS):
             # One to a line: the line feed's id, which none of them holds, separates them.
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(others)], add_special_tokens=False)[0].ids, self.dtype)
+            text = "\n".join(others[k : k + LEARNT_UNITS])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.append(np.flatnonzero(ids == self.feed), len(ids))
-            self._add(other_at, ids[ids != self.feed], np.diff(ends, prepend=-1) - 1)
+            self._add(other_at[k : k + LEARNT_UNITS], ids[ids != self.feed], np.diff(ends, prepend=-1) - 1)
         if alone:
             found = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
             self._add(alone_at, np.fromiter(chain.from_iterable(found), self.dtype), np.fromiter(map(len, found), np.int64))
@@ -176,9 +179,10 @@ class Encoder:
             texts = pa.array(texts, pa.string())
         texts = pc.fill_null(texts, "")
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        size = BLOCK_BYTES if self.by_unit else BLOCK_BYTES // 4
         found, lo = [(np.zeros(0, self.dtype), np.zeros(0, np.int64))], 0
         while lo < len(texts):  # some at a time, for the memory that their units take
-            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK_BYTES, "right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
             some = texts.slice(lo, hi - lo)
             found.append(self._by_unit(some) if self.by_unit else self._whole(some))
             lo = hi
