@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerofuse import sources
+from aerofuse.operators.ordering import with_position
 from aerofuse.params import ForestParams, FusionParams, TrainingParams
 from aerofuse.plans import training
 from aerofuse.plans.fusion import ON_INVALID, fuse_period, validated
@@ -71,6 +72,16 @@ def _radii(args: argparse.Namespace) -> FusionParams:
     return FusionParams(aerosol_radius_km=args.aerosol_radius_km, weather_radius_km=args.weather_radius_km)
 
 
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Rows numbered by time, place and then all their other columns, whatever files they came in.
+
+    Of two readings for one target the one of the greater number wins. Rows that agree in every column may swap numbers.
+    """
+    first = [c for c in ("time", "lat", "lon") if c in rows.columns]
+    ordered = [f.name for f in rows.schema if f.name not in first and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return with_position(rows, ["`" + c.replace("`", "``") + "`" for c in (*first, *sorted(ordered))], name=name)
+
+
 def _load(spark: SparkSession, args: argparse.Namespace) -> None:
     frames = [
         validated(frame, rules, args.on_invalid, args.rejected, name)
@@ -80,13 +91,8 @@ def _load(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     ]
     readings = sources.unify_layout(_read(spark, args, args.measurements, schemas.LONG_MEASUREMENT))
-    # Numbers in the order of the files, written once so that a repeated task cannot give others.
-    number = F.monotonically_increasing_id()
-    stations = materialize(frames[0].withColumn("row_number", number), "stations")
-    readings = materialize(
-        validated(readings, sources.STATION_RULES, args.on_invalid, args.rejected, "measurements")
-        .withColumn("reading_number", number), "readings",
-    )
+    readings = validated(readings, sources.STATION_RULES, args.on_invalid, args.rejected, "measurements")
+    stations, readings = _numbered(frames[0], "row_number"), _numbered(readings, "reading_number")
     loaded = load_measured(
         readings, stations, *frames[1:], row_key="row_number", measurement_key="reading_number", params=_radii(args),
     )

@@ -108,3 +108,23 @@ def test_shuffles_are_sized_by_the_input(spark):
         assert size_shuffles(spark, 1) == 8
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_load_job_does_not_depend_on_files(spark, tmp_path):
+    frames = grids(spark)
+    place = frames[0].where("station_id = 'Delhi'").orderBy("time").first()
+    # Several readings for one target, two of them at the same instant, one of them twice.
+    readings = spark.createDataFrame(
+        [(f"m{k % 3}", place["lat"] + 0.01, place["lon"], place["time"] + timedelta(minutes=k // 2), 100.0 + 7 * (k * 5 % 11)) for k in range(12)] * 2,
+        "station_id string, lat double, lon double, time timestamp_ntz, pm25 double",
+    )
+    found = []
+    for files, by in ((1, F.col("pm25")), (5, F.col("pm25").desc())):
+        folder = tmp_path / str(files)
+        for name, df in zip(("stations", "aerosol", "weather", "measurements"), (*frames, readings)):
+            df.repartition(files).sortWithinPartitions(by if "pm25" in df.columns else df.columns[0]).write.parquet(str(folder / name))
+        main(["load", *(x for n in ("stations", "aerosol", "weather", "measurements", "output") for x in (f"--{n}", str(folder / n)))])
+        found.append(sorted(map(str, spark.read.parquet(str(folder / "output")).collect())))
+    assert found[0] == found[1]
+    last = max((r["time"], r["station_id"], r["pm25"]) for r in readings.collect())
+    assert any(f"pm25={last[2]}" in row for row in found[0])
