@@ -58,7 +58,7 @@ def _merges_text_only(model: dict) -> bool:
     )
 
 
-BLOCK_BYTES = 4_000_000  # bytes of text whose units are held at a time
+BLOCK_BYTES = 1_000_000  # bytes of text whose units are held at a time
 
 
 class _Units(dict):
@@ -179,10 +179,9 @@ class Encoder:
             texts = pa.array(texts, pa.string())
         texts = pc.fill_null(texts, "")
         ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
-        size = BLOCK_BYTES if self.by_unit else BLOCK_BYTES // 4
         found, lo = [(np.zeros(0, self.dtype), np.zeros(0, np.int64))], 0
         while lo < len(texts):  # some at a time, for the memory that their units take
-            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK_BYTES, "right")))
             some = texts.slice(lo, hi - lo)
             found.append(self._by_unit(some) if self.by_unit else self._whole(some))
             lo = hi
