@@ -130,3 +130,21 @@ def test_nodes_answer_like_the_model(spark, tmp_path):
     both = scored.join(score_by_nodes(rows, nodes, params.features, ["k"]), "k").collect()
     assert len(both) == 400 and all(abs(r["prediction"] - r["by_nodes"]) < 1e-9 for r in both)
     assert len({r["prediction"] for r in both}) > 50
+
+
+def test_rows_are_not_multiplied_by_the_trees_and_a_large_forest_is_walked_in_blocks(spark, tmp_path, monkeypatch):
+    from aerofuse.plans import forest_table
+
+    rows = spark.createDataFrame([(k, (k * 37 % 101) / 101) for k in range(200)], "k long, a double").selectExpr("*", "10 * a AS y")
+    params = TrainingParams(features=("a",), target="y", forest=ForestParams(trees=5, max_depth=4))
+    model = training.train_forest(rows, params)
+    model.write().save(f"{tmp_path}/model")
+    nodes = forest_nodes(spark, f"{tmp_path}/model")
+    expected = {r["k"]: pytest.approx(r["prediction"], abs=1e-9) for r in training.score(model, rows, params).collect()}
+    written, keep = {}, forest_table.materialize
+    monkeypatch.setattr(forest_table, "materialize", lambda df, label: written.setdefault(label, keep(df, label)))
+    for most in (500_000, 1):  # all trees at once, each alone
+        written.clear()
+        got = score_by_nodes(rows, nodes, params.features, ["k"], most).collect()
+        assert {r["k"]: r["by_nodes"] for r in got} == expected and len(got) == 200
+        assert set(written) == {"nodes", "by-nodes"} and written["by-nodes"].count() == 200  # no level is written
