@@ -184,3 +184,25 @@ def test_rows_without_a_time_stay_in_the_ordered_split(spark):
     df = spark.createDataFrame([(i, None if i < 3 else START + timedelta(i)) for i in range(10)], "id long, time timestamp_ntz")
     train, test = split(df, TrainingParams(shuffle=False), ["id"])
     assert (train.count(), {r["id"] for r in test.collect()}) == (8, {8, 9})
+
+
+@pytest.mark.parametrize("few", [3, 10_000])
+def test_digests_are_cut_like_the_sorted_list_in_few_passes(spark, few):
+    import hashlib
+
+    from aerofuse.operators import split as splitting
+
+    df = spark.range(3000).union(spark.range(3)).selectExpr("nullif(id, 7) AS id")
+    digests = sorted(hashlib.md5(("42" if r["id"] is None else f"{r['id']}-42").encode()).hexdigest() for r in df.collect())
+    digest = splitting._digest(["id"], 42)
+    for rows in (1, 600, 3003):
+        assert splitting._cut(df, digest, lambda _: rows, few) == (3003, digests[rows - 1])
+    assert splitting._cut(df, digest, lambda _: 0) == splitting._cut(df, digest, lambda _: 4000) == (3003, None)
+    fitted = splitting.rows_to_fit(df, TrainingParams(fit_rows=50), ["id"])
+    assert sorted(r["d"] for r in fitted.select(digest.alias("d")).collect()) == [d for d in digests if d <= digests[49]]
+    spark.sparkContext.setJobGroup(f"cut {few}", "")
+    try:
+        mark_test(df, TrainingParams(), ["id"])
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cut {few}")) <= 4  # two passes
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
