@@ -31,8 +31,8 @@ BINS = 4096
 FEW = 10_000
 # A sketched rank is off by at most one in so many.
 ACCURACY = 10_000
-# Rows meant for one range, so that a task sorts some hundred megabytes at any size of input.
-SHARD_ROWS = 4_000_000
+# Rows meant for one range, so that a task that sweeps some of them keeps to some hundred megabytes at any size of input.
+SHARD_ROWS = 100_000
 
 
 def range_shards(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -41,14 +41,13 @@ def range_shards(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     ``order_by`` must identify a row. The layout is written once, since a second evaluation
     could sample other bounds and so give a row another shard.
 
-    AQE merges ranges but does not cut them, so their number follows from the counted rows wherever the
-    session's number of shuffle partitions is too small for them.
+    Beyond one range's rows their number follows from the counted rows, since AQE would merge ranges by their bytes
+    on disk, which say little of the memory that a sweep over them takes.
     """
     row_id = F.monotonically_increasing_id()
     ranges = -(-df.count() // SHARD_ROWS)
-    enough = ranges <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = (
-        df.repartitionByRange(*([] if enough else [ranges]), *order_by)
+        df.repartitionByRange(*([ranges] if ranges > 1 else []), *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(INDEX, row_id)
     )
@@ -98,7 +97,8 @@ def with_known_neighbours(laid: DataFrame, partition_by: Sequence[str], known: d
     index of the row in the whole order, and ``_before_<name>`` and ``_after_<name>``, structs of
     ``at`` and ``value``, both of which include the row itself.
 
-    Each (key, shard) group is swept alone. What a group needs from elsewhere comes from a table with
+    Each (key, shard) group is swept alone, in twice as many tasks as there are shards, so a task meets few of them however
+    many there are in all. What a group needs from elsewhere comes from a table with
     one row per group; only the first and the last group of a shard can need it, so it holds at most two
     rows per shard. It is broadcast if the counted shards permit it.
     """
@@ -137,11 +137,14 @@ def with_known_neighbours(laid: DataFrame, partition_by: Sequence[str], known: d
         *(F.last(end("first", n), True).over(downward).alias(f"_out_{n}") for n in known),
     ).where(reduce(or_, (F.col(f"_{side}_{n}").isNotNull() for side in ("in", "out") for n in known)))
     same_group = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys))
+    met = rows.join(broadcast_if_small(handed, 2 * shards), same_group, "left")
+    if shards > 1:
+        met = met.repartition(2 * shards, *keys)
 
     group = Window.partitionBy(*keys)
     # Both frames end at the current row, so each is one sweep.
     up, down = (group.orderBy(o).rowsBetween(*SO_FAR) for o in (F.col("_at").asc(), F.col("_at").desc()))
-    return rows.join(broadcast_if_small(handed, 2 * shards), same_group, "left").select(
+    return met.select(
         *rows.columns,
         *(F.coalesce(F.last(p, True).over(up), F.col(f"_in_{n}")).alias(f"_before_{n}") for n, p in points.items()),
         *(F.coalesce(F.last(p, True).over(down), F.col(f"_out_{n}")).alias(f"_after_{n}") for n, p in points.items()),

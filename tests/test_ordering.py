@@ -206,3 +206,13 @@ def test_digests_are_cut_like_the_sorted_list_in_few_passes(spark, few):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cut {few}")) <= 4  # two passes
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ranges_keep_to_their_rows_where_few_bytes_would_be_merged(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SHARD_ROWS", 1500)
+    df = spark.range(10_000).selectExpr("id", "id % 3 AS station", "IF(id % 4 = 0, double(id), NULL) AS x")
+    laid = ordering.range_shards(df, ["station", "id"])
+    assert laid.groupBy(ordering.SHARD).count().agg(F.max("count")).first()[0] <= 3000
+    swept = interpolate_linear(df, ["x"], order_by=("id",), partition_by=("station",))
+    assert "hashpartitioning(station#" in str(swept._jdf.queryExecution()) and ", 14)" in str(swept._jdf.queryExecution())
+    assert swept.where("x IS NULL").count() == 0 and swept.count() == 10_000
