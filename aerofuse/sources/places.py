@@ -20,6 +20,7 @@ from aerofuse.sources.readers import within_box
 BITS = 20  # of each axis: cells of 38 m by 19 m at the equator
 KEY = "place_key"
 FILE_ROWS = 2_000_000
+TASK_ROWS = 1_000_000  # rows that a task sorts and cuts into files
 MAX_RANGES = 64  # a box is covered by at most so many ranges of keys, larger ones where it needs more
 
 
@@ -79,12 +80,18 @@ def box_ranges(*, lat_min: float, lat_max: float, lon_min: float, lon_max: float
 
 
 def write_by_place(df: DataFrame, path: str, file_rows: int = FILE_ROWS, lat: str = "lat", lon: str = "lon") -> None:
-    """Write ``path/rows``, sorted by place into files of about ``file_rows`` rows, and ``path/index``."""
-    files = max(1, -(-df.count() // file_rows))
+    """Write ``path/rows``, sorted by place into files of at most ``file_rows`` rows, and ``path/index``.
+
+    A task writes as many files as its rows make, so that small files do not mean as many tasks, each of which
+    would be sampled for and answer to the driver.
+    """
+    rows = df.count()
+    files = max(1, -(-rows // file_rows))
+    tasks = min(files, max(-(-rows // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism))
     keyed = df.withColumn(KEY, place_key(F.col(lat), F.col(lon)))
     # Rows of one place are dealt over several files by a hash of the row, so that a crowded place is no single task.
     order = [KEY, F.xxhash64(*df.columns)]
-    keyed.repartitionByRange(files, *order).sortWithinPartitions(KEY).write.parquet(f"{path}/rows")
+    keyed.repartitionByRange(tasks, *order).sortWithinPartitions(KEY).write.option("maxRecordsPerFile", file_rows).parquet(f"{path}/rows")
     rows = df.sparkSession.read.schema(f"{KEY} long").parquet(f"{path}/rows")
     index = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
         F.min(KEY).alias("low"), F.max(KEY).alias("high"), F.count(F.lit(1)).alias("rows"))
@@ -106,4 +113,4 @@ def read_box(spark: SparkSession, path: str, schema: T.StructType, **box: float)
     keyed = T.StructType([*schema.fields, T.StructField(KEY, T.LongType())])
     rows = spark.read.schema(keyed).parquet(*(f"{path}/rows/{f}" for f in files))
     near = reduce(lambda a, b: a | b, (F.col(KEY).between(low, high) for low, high in box_ranges(**box)))
-    return nan_to_null(rows.where(near & within_box(**box)).select(*schema.names))
+    return nan_to_null(rows.where(within_box(**box) & near).select(*schema.names))

@@ -110,3 +110,11 @@ def test_medians_are_exact_whatever_the_sketch_says(spark, sketch, few):
         known = sorted(v for v in values if v == v)
         n = len(known)
         assert got[c] == (None if not n else (known[(n - 1) // 2] + known[n // 2]) / 2), c
+
+
+def test_small_files_by_place_do_not_mean_as_many_tasks(spark, tmp_path):
+    df = spark.range(12_000).selectExpr("id AS k", "double(id % 83) AS lat", "double(id % 97) AS lon")
+    sources.write_by_place(df, str(tmp_path), 100)
+    index = spark.read.parquet(f"{tmp_path}/index").collect()
+    assert len(index) >= 120 and max(r["rows"] for r in index) <= 100 and sum(r["rows"] for r in index) == 12_000
+    assert len({r["file"][:10] for r in index}) <= spark.sparkContext.defaultParallelism
