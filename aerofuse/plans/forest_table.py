@@ -63,7 +63,7 @@ def _descent(nodes: pa.Table, keys: int, names: Sequence[str]) -> Callable[[Iter
     return descend
 
 
-def _blocks(nodes: DataFrame, most: int) -> list[tuple[int, int]]:
+def tree_blocks(nodes: DataFrame, most: int) -> list[tuple[int, int]]:
     """First and last tree of blocks that hold at most ``most`` nodes each, or one tree."""
     blocks: list[tuple[int, int]] = []
     held = 0
@@ -91,7 +91,7 @@ def score_by_nodes(df: DataFrame, nodes: DataFrame, features: Sequence[str], key
         some = nodes.where(F.col("tree").between(first, last)).toArrow()
         return rows.mapInArrow(_descent(some, len(key), schema.names), schema)
 
-    first, *others = [part(*block) for block in _blocks(nodes, most)]
+    first, *others = [part(*block) for block in tree_blocks(nodes, most)]
     for other in others:
         first = first.unionByName(other)
     mean = (F.sum("total") / F.sum("trees")).alias("by_nodes")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aerofuse.params import TrainingParams
+from aerofuse.plans.forest_model import ForestModel
 from aerofuse.plans.training import score
 from aerofuse.streaming.committed import CommittedTable, stream_id
 
@@ -116,7 +116,7 @@ def _by_batch(stream: DataFrame, add, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def score_stream(stream: DataFrame, model: PipelineModel, params: TrainingParams = TrainingParams(),
+def score_stream(stream: DataFrame, model: ForestModel, params: TrainingParams = TrainingParams(),
                  time: str = "time") -> DataFrame:
     """Predictions with the day they are filed under."""
     scored = score(model, stream, params, "predicted_pm25")
