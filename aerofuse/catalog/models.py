@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from aerofuse.catalog.fixtures import spark_view, with_views
 from aerofuse.catalog.scans import landing_path
-from aerofuse.operators.split import rows_to_fit, split
+from aerofuse.operators.split import split
 from aerofuse.operators.summaries import regression_metrics
 from aerofuse.params import FEATURES, TrainingParams
 from aerofuse.plans import training
@@ -23,8 +23,7 @@ from aerofuse.plans.preprocess import preprocess
 from aerofuse.session import materialize, prepare, small_table
 from aerofuse.sources import load_metrics, save_metrics
 
-FIT_ROWS = 1_000
-PARAMS = TrainingParams(fit_rows=FIT_ROWS)
+PARAMS = TrainingParams()
 KEY = ("event_id",)
 
 Fitted = tuple[ForestModel, DataFrame]
@@ -42,7 +41,7 @@ def fitted(spark: SparkSession, sf_dir: str) -> Fitted:
             preprocess(features, PARAMS, order_by=("time", "event_id"), partition_by=("station_id",)), "prepared"
         )
         train, _ = split(ready, PARAMS, KEY)
-        _fits[key] = training.train_forest(rows_to_fit(train, PARAMS, KEY), PARAMS, KEY), ready
+        _fits[key] = training.train_forest(train, PARAMS, KEY), ready
     return _fits[key]
 
 

@@ -57,6 +57,15 @@ def test_forest_proof_fits_all_training_rows(spark, tables, fits):
     assert train == 2400 and abs(drawn - 2400) < 60  # a sample of all rows, with replacement
 
 
+def test_the_shared_forest_is_fitted_on_all_training_rows(spark, tables, fits):
+    rows = models.QUERIES["rf_train"](spark, tables).collect()
+    assert sorted(map(tuple, rows)) == [(i, True, True) for i in range(20)]
+    [(train, drawn)] = fits
+    labelled = sum(1 for i in range(3000) if i % 11)
+    assert train == labelled - -(-labelled // 5) and abs(drawn - train) < 60
+    assert models.PARAMS.fit_rows is None
+
+
 def test_grown_splits_are_the_best_there_are():
     rng = np.random.default_rng(3)
     codes = rng.integers(0, 9, (300, 3)).astype(np.uint8)
